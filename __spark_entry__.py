@@ -90,21 +90,17 @@ def _history_rounds(current: DataFrame, table: DataFrame, results: DataFrame) ->
 
 
 def _race_view(current: DataFrame, table: DataFrame, results: DataFrame) -> DataFrame:
-    return history.race_history(history.position_history(current, table, results), current)
+    return history.race_history(history.history_rows(current, table, results))
 
 
 def _race_bounds(current: DataFrame, table: DataFrame, results: DataFrame) -> DataFrame:
-    return history.race_bounds(history.position_history(current, table, results), current)
+    return history.race_bounds(history.history_rows(current, table, results))
 
 
 def _form_strip(table: DataFrame, teams: DataFrame) -> DataFrame:
     return clubs.form_strip(clubs.form_matches(table, teams))
 
 
-def _season_strip(table: DataFrame, teams: DataFrame) -> DataFrame:
-    return clubs.strip_order(clubs.season_strip(table, teams))
-
-
 # --- contracts ----------------------------------------------------------------------
 
 
@@ -125,9 +121,9 @@ def _dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dq_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    customer, orders = (driver.read(spark, sf_dir, name) for name in ("customer", "orders"))
+    customer, events = (driver.read(spark, sf_dir, name) for name in ("customer", "events"))
     return contracts.orphan_keys(
-        customer, ["c_custkey"], orders, ["o_custkey"], parent_unique=False
+        customer, ["c_custkey"], events, ["user_id"], parent_unique=False
     )
 
 
@@ -257,7 +253,7 @@ def queries() -> dict[str, Query]:
         "match_explorer": _model(EXPLORER),
         "match_list": _on(_match_list, EXPLORER),
         "match_explorer_filtered": _on(_filtered, EXPLORER),
-        "club_options": _on(clubs.club_options, EXPLORER),
+        "club_options": _on(clubs.club_options, MATCHES, TEAMS),
         "recent_matches": _on(matches.recent_matches, MATCHES, TEAMS),
         "upcoming_matches": _on(matches.upcoming_matches, MATCHES, TEAMS),
         "match_status_summary": _on(matches.status_summary, MATCHES),
@@ -292,7 +288,7 @@ def queries() -> dict[str, Query]:
         "form_strip": _on(_form_strip, MATCHES, TEAMS),
         "club_recent": _on(clubs.recent_fixtures, MATCHES, TEAMS),
         "club_upcoming": _on(clubs.upcoming_fixtures, MATCHES, TEAMS),
-        "club_season_strip": _on(_season_strip, MATCHES, TEAMS),
+        "club_season_strip": _on(clubs.season_strip, MATCHES, TEAMS),
         "club_record": _on(clubs.club_record, CURRENT, PERFORMANCE),
         "official_vs_derived": _on(clubs.official_vs_derived, CURRENT, PERFORMANCE),
         "home_vs_away": _on(performance.home_vs_away, PERFORMANCE),

@@ -430,7 +430,8 @@ def _matrix_wide() -> str:
 
 
 _MATRIX = """
-  SELECT m.competition_code, m.season_id, m.home_team_id, m.away_team_id, m.home_team, m.away_tla, m.match_id,
+  SELECT m.competition_code, m.season_id, m.home_team_id, m.away_team_id, m.home_team, m.home_tla, m.away_team,
+    m.away_tla, m.match_id,
     CASE WHEN m.match_state = 'Finished' THEN CAST(home_score AS VARCHAR) || '–' || CAST(away_score AS VARCHAR)
       WHEN m.match_state = 'Live' THEN CAST(home_score AS VARCHAR) || '–' || CAST(away_score AS VARCHAR) || '*'
       ELSE '·' END AS cell,
@@ -640,7 +641,7 @@ ORACLE: dict[str, str] = {
     "dq_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
       WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
     "dq_orphan_keys": """SELECT c_custkey, count(*) AS rows FROM customer c WHERE c_custkey IS NOT NULL
-      AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey) GROUP BY c_custkey""",
+      AND NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey) GROUP BY c_custkey""",
     "reference_membership": f"""{TABLES}, current_clubs AS (
         SELECT competition_code, home_team_id AS team_id FROM stg_matches
         UNION SELECT competition_code, away_team_id FROM stg_matches

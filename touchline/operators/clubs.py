@@ -16,6 +16,7 @@ from touchline.functions.outcomes import (
 )
 from touchline.functions.text import MISSING_TEXT, text_or
 from touchline.operators import LEAGUE
+from touchline.operators.matches import with_clubs
 from touchline.operators.participants import both_sides
 from touchline.operators.standings import first_n
 
@@ -137,9 +138,10 @@ def season_strip(matches: DataFrame, teams: DataFrame) -> DataFrame:
     )
 
 
-def strip_order(strip: DataFrame) -> DataFrame:
-    return strip.orderBy(
-        *LEAGUE, "club", F.col("matchday").asc_nulls_last(), F.col("utc_date").asc_nulls_last(), "match_id"
+def strip_of(strip: DataFrame, club: str) -> DataFrame:
+    """One club's strip in playing order."""
+    return strip.filter(F.col("club") == club).orderBy(
+        *LEAGUE, F.col("matchday").asc_nulls_last(), F.col("utc_date").asc_nulls_last(), "match_id"
     )
 
 
@@ -167,11 +169,16 @@ def club_record(current: DataFrame, performance: DataFrame) -> DataFrame:
     )
 
 
-def club_options(explorer: DataFrame) -> DataFrame:
-    """Distinct club names on either side of a match, sorted, per league."""
+def club_options(matches: DataFrame, teams: DataFrame) -> DataFrame:
+    """Distinct club names on either side of a match, sorted, per league.
+
+    Matches collapse to distinct pairings before the names are joined.
+    """
+    pairings = matches.select(*LEAGUE, "home_team_id", "away_team_id").distinct()
     names = F.explode(F.array("home_team", "away_team")).alias("club")
     return (
-        explorer.select(*LEAGUE, names)
+        with_clubs(pairings, teams)
+        .select(*LEAGUE, names)
         .filter(F.col("club").isNotNull())
         .distinct()
         .orderBy(*LEAGUE, "club")

@@ -140,22 +140,63 @@ def orphan_keys(
     return children.join(parents, keys, "left_anti")
 
 
+def _relation_failures(child: DataFrame, parent: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Failure counts of several references from one child to the club table, in one scan.
+
+    Every row yields one (rule, key) per rule; those collapse in the map-side combine before
+    they meet the parent.
+    """
+    size = len(rules[0].tested)
+    parent_keys = ["competition_code", "team_id"][-size:]
+    references = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("rule_no"),
+                *[F.col(c).alias(f"k{j}") for j, c in enumerate(rule.tested)],
+            )
+            for i, rule in enumerate(rules)
+        ]
+    )
+    keys = [f"k{j}" for j in range(size)]
+    flat = child.select(F.explode(references).alias("r")).select("r.*")
+    parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys, strict=True)])
+    lost = (
+        flat.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        .groupBy("rule_no", *keys)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .join(parents, keys, "left_anti")
+    )
+    counts = lost.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("rule_no") == i, F.col("rows"))), F.lit(0)).alias(f"c{i}")
+            for i in range(len(rules))
+        ]
+    )
+    return _exploded(counts, _report(rules, [F.col(f"c{i}") for i in range(len(rules))]))
+
+
 def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
-    """(model, column_name, rule, failures) for every rule."""
+    """(model, column_name, rule, failures) for every rule.
+
+    Each table is scanned once for its row-level rules, once for its references and once per
+    unique key.
+    """
     rules = list(rules)
     parts: list[DataFrame] = []
     for model in dict.fromkeys(rule.model for rule in rules):
         table = models[model]
-        rows = [r for r in rules if r.model == model and r.kind in ROW_LEVEL]
-        if rows:
-            parts.append(row_failures(table, rows))
-        for rule in (r for r in rules if r.model == model and r.kind not in ROW_LEVEL):
+        mine = [r for r in rules if r.model == model]
+        row_level = [r for r in mine if r.kind in ROW_LEVEL]
+        if row_level:
+            parts.append(row_failures(table, row_level))
+        relations = [r for r in mine if r.kind == RELATION]
+        for parent in dict.fromkeys(r.parent for r in relations):
+            parts.append(
+                _relation_failures(table, models[parent], [r for r in relations if r.parent == parent])
+            )
+        for rule in (r for r in mine if r.kind in (UNIQUE, NOT_EMPTY)):
             if rule.kind == UNIQUE:
                 count = duplicate_keys(table, rule.tested).agg(F.count(F.lit(1)).alias("n"))
-            elif rule.kind == RELATION:
-                parent_keys = ["competition_code", "team_id"][-len(rule.tested):]
-                lost = orphan_keys(table, rule.tested, models[rule.parent], parent_keys)
-                count = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
             else:
                 count = table.agg((F.count(F.lit(1)) == 0).cast("int").alias("n"))
             parts.append(_exploded(count, _report([rule], [F.col("n")])))

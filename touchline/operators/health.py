@@ -16,15 +16,19 @@ def health_overview(matches: DataFrame, standings: DataFrame, current: DataFrame
     """One row of freshness and reconciliation figures.
 
     One aggregate per table; the one-row results are stacked and folded instead of being
-    cross joined.
+    cross joined. Rows collapse per snapshot date first, which keeps the text maximum off
+    the wide aggregate.
     """
+    loads = matches.groupBy("source_snapshot_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("loaded_at").alias("loaded_at")
+    )
     parts = [
-        matches.agg(
-            F.count(F.lit(1)).alias("match_rows"),
+        loads.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("match_rows"),
             F.max("source_snapshot_date").alias("latest_source_snapshot"),
             F.max("loaded_at").alias("latest_warehouse_load"),
         ),
-        standings.agg(F.countDistinct("snapshot_date").alias("standing_snapshots")),
+        standings.select("snapshot_date").distinct().agg(F.count("snapshot_date").alias("standing_snapshots")),
         current.agg(
             count_where(F.col("is_reconciled")).alias("reconciled_teams"),
             F.count(F.lit(1)).alias("total_teams"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from touchline.functions.numbers import clamp
 from touchline.operators import LEAGUE
 from touchline.operators.rounds import completed_rounds, round_status
-from touchline.operators.standings import RACES, race_clubs
+from touchline.operators.standings import races_of
 
 MEASURES = ["played", "points", "goals_for", "goals_against"]
 
@@ -35,8 +35,9 @@ def running_totals(rows: DataFrame, keys: list[str], order: str, measures: list[
     return rows.withColumns(sums)
 
 
-def position_history(current: DataFrame, matches: DataFrame, results: DataFrame) -> DataFrame:
-    """Cumulative table of each completed round, ranked by points, goal difference, goals.
+def history_rows(current: DataFrame, matches: DataFrame, results: DataFrame) -> DataFrame:
+    """Cumulative table of each completed round, with each club's official position and the
+    table size.
 
     Match rows are reduced to one row per team and round before anything is joined or
     windowed. Every club of the current table appears at every checkpoint of its league,
@@ -44,17 +45,31 @@ def position_history(current: DataFrame, matches: DataFrame, results: DataFrame)
     an equi join on the league. Running windows then replace a range join: all rounds up to
     a checkpoint are checkpoints themselves, because the completed prefix is contiguous.
     """
-    clubs = current.select(*LEAGUE, "team_id", "short_name", "tla", "sportsdb_badge_url")
+    clubs = current.select(
+        *LEAGUE, "team_id", "short_name", "tla", "sportsdb_badge_url",
+        F.col("position").alias("official_position"),
+    )
     checkpoints = completed_rounds(round_status(matches)).select(*LEAGUE, "matchday")
     grid = clubs.join(checkpoints, LEAGUE)
     dense = grid.join(round_totals(results), [*LEAGUE, "team_id", "matchday"], "left")
     table = running_totals(dense, [*LEAGUE, "team_id"], "matchday", MEASURES).withColumn(
         "goal_difference", F.col("goals_for") - F.col("goals_against")
     )
-    best_first = W.partitionBy(*LEAGUE, "matchday").orderBy(
+    checkpoint = W.partitionBy(*LEAGUE, "matchday")
+    best_first = checkpoint.orderBy(
         F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc()
     )
-    return table.withColumn("derived_position", F.rank().over(best_first)).select(
+    return table.withColumns(
+        {
+            "derived_position": F.rank().over(best_first),
+            "clubs": F.count(F.lit(1)).over(checkpoint),
+        }
+    )
+
+
+def position_history(current: DataFrame, matches: DataFrame, results: DataFrame) -> DataFrame:
+    """League position after each completed round, by points, goal difference and goals."""
+    return history_rows(current, matches, results).select(
         *LEAGUE, "matchday", "team_id", "short_name", "tla", "sportsdb_badge_url",
         "derived_position", *MEASURES, "goal_difference",
     )
@@ -66,10 +81,12 @@ def history_order(history: DataFrame) -> DataFrame:
     )
 
 
-def race_history(history: DataFrame, current: DataFrame) -> DataFrame:
-    """Position history of the clubs in each race preset."""
-    members = race_clubs(current).select(*LEAGUE, "team_id", "race")
-    return history.join(members, [*LEAGUE, "team_id"]).select(
+def race_history(rows: DataFrame) -> DataFrame:
+    """History of the clubs in each race preset, by their current official position.
+
+    The presets overlap, so a club may appear in two races.
+    """
+    return rows.withColumn("race", F.explode(races_of(F.col("official_position")))).select(
         *LEAGUE, "race", "matchday", "team_id", "short_name", "derived_position",
         *MEASURES, "goal_difference",
     )
@@ -80,21 +97,25 @@ def club_history(history: DataFrame, short_names: list[str]) -> DataFrame:
     return history.filter(F.col("short_name").isin(short_names))
 
 
-def race_bounds(history: DataFrame, current: DataFrame) -> DataFrame:
+def race_bounds(rows: DataFrame) -> DataFrame:
     """Chart range per race: min and max position, padded by one, within the table size."""
-    table_size = current.groupBy(*LEAGUE).agg(F.count(F.lit(1)).alias("clubs"))
-    spans = race_history(history, current).groupBy(*LEAGUE, "race").agg(
-        F.min("derived_position").alias("best_position"),
-        F.max("derived_position").alias("worst_position"),
+    spans = (
+        rows.withColumn("race", F.explode(races_of(F.col("official_position"))))
+        .groupBy(*LEAGUE, "race")
+        .agg(
+            F.min("derived_position").alias("best_position"),
+            F.max("derived_position").alias("worst_position"),
+            F.max("clubs").cast("int").alias("clubs"),
+        )
     )
-    one = F.lit(1).cast("bigint")
-    return spans.join(table_size, LEAGUE).select(
+    one, clubs = F.lit(1), F.col("clubs")
+    return spans.select(
         *LEAGUE,
         "race",
         "best_position",
         "worst_position",
-        clamp(F.col("best_position") - 1, one, F.col("clubs")).cast("int").alias("chart_top"),
-        clamp(F.col("worst_position") + 1, one, F.col("clubs")).cast("int").alias("chart_bottom"),
+        clamp(F.col("best_position") - 1, one, clubs).alias("chart_top"),
+        clamp(F.col("worst_position") + 1, one, clubs).alias("chart_bottom"),
     )
 
 
@@ -105,8 +126,3 @@ def history_rounds(history: DataFrame) -> DataFrame:
         F.max("matchday").alias("latest_derived_round"),
     )
 
-
-__all__ = [
-    "RACES", "round_totals", "running_totals", "position_history", "history_order",
-    "race_history", "club_history", "race_bounds", "history_rounds",
-]

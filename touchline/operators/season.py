@@ -46,19 +46,23 @@ def fixture_matrix(matches: DataFrame, current: DataFrame) -> DataFrame:
     pairs = matches.groupBy(*LEAGUE, "home_team_id", "away_team_id").agg(
         F.max_by(fixture, latest).alias("last")
     )
-    home = current.select(
-        *LEAGUE, F.col("team_id").alias("home_team_id"), F.col("short_name").alias("home_team")
-    )
-    away = current.select(
-        *LEAGUE, F.col("team_id").alias("away_team_id"), F.col("tla").alias("away_tla")
-    )
+
+    def club(side: str) -> DataFrame:
+        # The same columns in both roles, so Spark computes the current table once.
+        return current.select(
+            *LEAGUE,
+            F.col("team_id").alias(f"{side}_team_id"),
+            F.col("short_name").alias(f"{side}_team"),
+            F.col("tla").alias(f"{side}_tla"),
+        )
+
     state = match_state(F.col("last.status"))
     goals = F.col("last.home_score"), F.col("last.away_score")
     return (
-        pairs.join(home, [*LEAGUE, "home_team_id"])
-        .join(away, [*LEAGUE, "away_team_id"])
+        pairs.join(club("home"), [*LEAGUE, "home_team_id"])
+        .join(club("away"), [*LEAGUE, "away_team_id"])
         .select(
-            *LEAGUE, "home_team_id", "away_team_id", "home_team", "away_tla",
+            *LEAGUE, "home_team_id", "away_team_id", "home_team", "home_tla", "away_team", "away_tla",
             F.col("last.match_id").alias("match_id"),
             cell_text(state, *goals).alias("cell"),
             cell_outcome(state, *goals).alias("outcome"),

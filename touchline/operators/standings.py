@@ -188,9 +188,16 @@ def unreconciled(current: DataFrame) -> DataFrame:
 
 
 def snapshot_freshness(standings: DataFrame) -> DataFrame:
-    """Per league: number of snapshots, newest snapshot, newest load, highest round."""
-    return standings.groupBy(*LEAGUE).agg(
-        F.countDistinct("snapshot_date").alias("snapshots"),
+    """Per league: number of snapshots, newest snapshot, newest load, highest round.
+
+    Snapshots first collapse to one row each with a hash aggregate; the distinct count and
+    the text maximum then see only those.
+    """
+    snapshots = standings.groupBy(*LEAGUE, "snapshot_date").agg(
+        F.max("loaded_at").alias("loaded_at"), F.max("snapshot_matchday").alias("snapshot_matchday")
+    )
+    return snapshots.groupBy(*LEAGUE).agg(
+        F.count("snapshot_date").alias("snapshots"),
         F.max("snapshot_date").alias("latest_snapshot"),
         F.max("loaded_at").alias("latest_load"),
         F.max("snapshot_matchday").alias("latest_matchday"),
@@ -273,10 +280,3 @@ def points_race(current: DataFrame) -> DataFrame:
         F.row_number().over(league.orderBy(difference, "team_id")).alias("goal_difference_order"),
         F.row_number().over(league.orderBy(scored, "team_id")).alias("goals_for_order"),
     )
-
-
-def race_clubs(current: DataFrame) -> DataFrame:
-    """Clubs of each race preset by current official position."""
-    return current.select(
-        *LEAGUE, "team_id", "short_name", "position", F.explode(races_of(F.col("position"))).alias("race")
-    )

@@ -65,9 +65,11 @@ def publish(
     version: str,
     rules: list[Rule],
     partition_by: Mapping[str, list[str]] | None = None,
+    context: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Write a complete new version, check it, and only then make it current.
 
+    Rules run on the written tables; ``context`` holds other tables the rules mention.
     Readers follow the manifest, whose row is appended last. A failed write or a failed
     check leaves the previous version current; the rejected one stays behind for audit.
     """
@@ -78,7 +80,8 @@ def publish(
         name: read_table(spark, f"{root}/{version}/{name}", table.schema)
         for name, table in tables.items()
     }
-    gate(failures(written, rules))
+    if rules:
+        gate(failures({**(context or {}), **written}, rules))
     spark.range(1).select(
         F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
     ).write.mode("append").json(f"{root}/_manifest")
