@@ -32,15 +32,7 @@ EXPLORER = "mart_match_explorer"
 
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
-    tune(spark)
-    tables = driver.load(spark, sf_dir)
-    return Models(
-        {
-            "dim_team": tables.teams,
-            "fact_match": tables.matches,
-            "fact_standing_snapshot": tables.standings,
-        }
-    )
+    return Models(driver.load(tune(spark), sf_dir))
 
 
 def _on(build: Callable[..., DataFrame], *names: str, **options) -> Query:

@@ -13,6 +13,7 @@ from touchline.operators import runlog
 from touchline.operators.contracts import ContractError, Rule
 from touchline.operators.resolve import ARTWORK_COLUMNS
 from touchline.plans import warehouse
+from touchline.plans.models import Models
 from touchline.session import shared_dir
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
@@ -112,11 +113,11 @@ def test_failed_check_keeps_the_published_version(spark, tmp_path):
 
 
 def test_build_end_to_end(spark, sf_dir, tmp_path):
-    tables = driver.load(spark, sf_dir)
+    tables = Models(driver.load(spark, sf_dir))
     nation, region = driver.read(spark, sf_dir, "nation"), driver.read(spark, sf_dir, "region")
     raw = str(tmp_path / "raw")
-    clean = tables.standings.filter("played = won + drawn + lost")
-    docs.land(driver.match_documents(tables.matches), raw, "matches")
+    clean = tables["fact_standing_snapshot"].filter("played = won + drawn + lost")
+    docs.land(driver.match_documents(tables["fact_match"]), raw, "matches")
     docs.land(driver.standing_documents(clean), raw, "standings")
     docs.land(driver.team_documents(driver.clubs_from_nations(nation, region)), raw, "teams")
     log = str(tmp_path / "log")

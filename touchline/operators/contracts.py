@@ -48,63 +48,46 @@ class Rule:
         return self.condition if self.kind == ROW_RULE else self.kind
 
 
-def broken(rule: Rule) -> Column:
-    """True where a row breaks the rule. A comparison with NULL is not a violation."""
-    column = F.col(rule.column)
+def _literal(value) -> str:
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value)
+
+
+def broken(rule: Rule) -> str:
+    """SQL condition of a violating row. A comparison with NULL is not a violation."""
     if rule.kind == NOT_NULL:
-        return column.isNull()
+        return f"{rule.column} IS NULL"
     if rule.kind == ACCEPTED:
-        return column.isNotNull() & ~column.isin(list(rule.values))
-    return ~F.coalesce(F.expr(rule.condition), F.lit(True))
-
-
-def _report(rules: list[Rule], counts: list[Column]) -> Column:
-    """Array of (model, column_name, rule, failures) structs."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(rule.model).alias("model"),
-                F.lit(rule.column).alias("column_name"),
-                F.lit(rule.label).alias("rule"),
-                count.cast("bigint").alias("failures"),
-            )
-            for rule, count in zip(rules, counts, strict=True)
-        ]
-    )
+        return f"{rule.column} NOT IN ({', '.join(map(_literal, rule.values))})"
+    return f"NOT ({rule.condition})"
 
 
-def _exploded(table: DataFrame, report: Column) -> DataFrame:
-    return table.select(F.explode(report).alias("check")).select("check.*")
+def _report(counts: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row of counts c0, c1, ... turned into one row per rule."""
+    rows = ", ".join(
+        f"{_literal(r.model)}, {_literal(r.column)}, {_literal(r.label)}, bigint(c{i})"
+        for i, r in enumerate(rules)
+    )
+    return counts.selectExpr(f"stack({len(rules)}, {rows}) AS (model, column_name, rule, failures)")
 
 
 def row_failures(table: DataFrame, rules: list[Rule]) -> DataFrame:
     """Failure counts of all row-level rules of one table in a single pass."""
-    names = [f"c{i}" for i in range(len(rules))]
-    counts = table.agg(
-        *[F.count(F.when(broken(rule), F.lit(1))).alias(n) for n, rule in zip(names, rules, strict=True)]
-    )
-    return _exploded(counts, _report(rules, [F.col(n) for n in names]))
+    counts = [F.expr(f"count_if({broken(rule)}) AS c{i}") for i, rule in enumerate(rules)]
+    return _report(table.agg(*counts), rules)
 
 
 def violating_rows(table: DataFrame, key: Column, rules: list[Rule]) -> DataFrame:
     """Every violating row and the rule it breaks; one narrow pass, no shuffle."""
-    hits = F.array(
-        *[
-            F.when(
-                broken(rule),
-                F.struct(
-                    F.lit(rule.model).alias("model"),
-                    F.lit(rule.column).alias("column_name"),
-                    F.lit(rule.label).alias("rule"),
-                ),
-            )
-            for rule in rules
-        ]
+    hits = ", ".join(
+        f"CASE WHEN {broken(r)} THEN named_struct('model', {_literal(r.model)}, "
+        f"'column_name', {_literal(r.column)}, 'rule', {_literal(r.label)}) END"
+        for r in rules
     )
-    return table.select(
-        key.cast("string").alias("row_key"),
-        F.explode(F.filter(hits, lambda hit: hit.isNotNull())).alias("hit"),
-    ).select("hit.*", "row_key")
+    found = F.expr(f"explode(filter(array({hits}), hit -> hit IS NOT NULL)) AS hit")
+    return table.select(key.cast("string").alias("row_key"), found).select("hit.*", "row_key")
 
 
 def duplicate_keys(table: DataFrame, keys: list[str]) -> DataFrame:
@@ -148,31 +131,25 @@ def _relation_failures(child: DataFrame, parent: DataFrame, rules: list[Rule]) -
     """
     size = len(rules[0].tested)
     parent_keys = ["competition_code", "team_id"][-size:]
-    references = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("rule_no"),
-                *[F.col(c).alias(f"k{j}") for j, c in enumerate(rule.tested)],
-            )
-            for i, rule in enumerate(rules)
-        ]
-    )
     keys = [f"k{j}" for j in range(size)]
-    flat = child.select(F.explode(references).alias("r")).select("r.*")
+    references = ", ".join(
+        f"named_struct('rule_no', {i}, "
+        + ", ".join(f"'{k}', {column}" for k, column in zip(keys, rule.tested, strict=True))
+        + ")"
+        for i, rule in enumerate(rules)
+    )
+    flat = child.selectExpr(f"explode(array({references})) AS r").select("r.*")
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys, strict=True)])
     lost = (
-        flat.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        flat.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
         .groupBy("rule_no", *keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.expr("count(*) AS rows"))
         .join(parents, keys, "left_anti")
     )
-    counts = lost.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("rule_no") == i, F.col("rows"))), F.lit(0)).alias(f"c{i}")
-            for i in range(len(rules))
-        ]
-    )
-    return _exploded(counts, _report(rules, [F.col(f"c{i}") for i in range(len(rules))]))
+    counts = [
+        F.expr(f"coalesce(sum(if(rule_no = {i}, rows, 0)), 0) AS c{i}") for i in range(len(rules))
+    ]
+    return _report(lost.agg(*counts), rules)
 
 
 def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
@@ -196,10 +173,10 @@ def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFram
             )
         for rule in (r for r in mine if r.kind in (UNIQUE, NOT_EMPTY)):
             if rule.kind == UNIQUE:
-                count = duplicate_keys(table, rule.tested).agg(F.count(F.lit(1)).alias("n"))
+                count = duplicate_keys(table, rule.tested).agg(F.expr("count(*) AS c0"))
             else:
-                count = table.agg((F.count(F.lit(1)) == 0).cast("int").alias("n"))
-            parts.append(_exploded(count, _report([rule], [F.col("n")])))
+                count = table.agg(F.expr("if(count(*) = 0, 1, 0) AS c0"))
+            parts.append(_report(count, [rule]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -15,23 +15,17 @@ RESULT_COLUMNS = [
 ]
 
 
-def both_sides(matches: DataFrame) -> DataFrame:
-    """Every match twice, with ``team_id``/``opponent_team_id``/goals seen from each side."""
+# The two views of a match as one array expression.
+_SIDES = """explode(array(
+  named_struct('venue', 'HOME', 'team_id', home_team_id, 'opponent_team_id', away_team_id,
+               'goals_for', home_score, 'goals_against', away_score),
+  named_struct('venue', 'AWAY', 'team_id', away_team_id, 'opponent_team_id', home_team_id,
+               'goals_for', away_score, 'goals_against', home_score))) AS side"""
 
-    def side(venue: str, team: str, opponent: str, scored: str, conceded: str):
-        return F.struct(
-            F.lit(venue).alias("venue"),
-            F.col(team).alias("team_id"),
-            F.col(opponent).alias("opponent_team_id"),
-            F.col(scored).alias("goals_for"),
-            F.col(conceded).alias("goals_against"),
-        )
 
-    sides = F.array(
-        side("HOME", "home_team_id", "away_team_id", "home_score", "away_score"),
-        side("AWAY", "away_team_id", "home_team_id", "away_score", "home_score"),
-    )
-    return matches.select("*", F.explode(sides).alias("side")).select("*", "side.*").drop("side")
+def both_sides(matches: DataFrame) -> DataFrame:
+    """Every match twice, with ``team_id``/``opponent_team_id``/goals seen from each side."""
+    return matches.selectExpr("*", _SIDES).select("*", "side.*").drop("side")
 
 
 def team_match_results(matches: DataFrame) -> DataFrame:
@@ -42,8 +36,12 @@ def team_match_results(matches: DataFrame) -> DataFrame:
     )
     return (
         rows.withColumn("team_result", outcome)
-        .withColumn("points_earned", points_for(F.col("team_result")))
-        .withColumn("team_match_key", surrogate_key(F.col("match_id"), F.col("team_id")))
+        .withColumns(
+            {
+                "points_earned": points_for(F.col("team_result")),
+                "team_match_key": surrogate_key(F.col("match_id"), F.col("team_id")),
+            }
+        )
         .select(*RESULT_COLUMNS)
     )
 

@@ -57,21 +57,15 @@ def reconcile(
     A missing derived row counts as zero. A NULL official value gives a NULL delta and
     ``is_reconciled = false``. All official columns are kept.
     """
-    right = derived.select(*keys, *[F.col(c).alias(f"_derived_{c}") for c in paired])
-    joined = official.join(right, keys, "left")
-
-    def found(name: str) -> Column:
-        return F.coalesce(F.col(f"_derived_{name}"), F.lit(0)).cast("bigint")
-
-    agree = F.lit(True)
-    for name in compared:
-        agree = agree & (F.col(name) == found(name))
-    return joined.select(
-        *[F.col(c) for c in official.columns],
-        *[F.col(c).alias(f"official_{c}") for c in paired],
-        *[found(c).alias(f"derived_{c}") for c in paired],
-        *[(F.col(c) - found(c)).alias(f"{c}_delta") for c in compared],
-        F.when(agree, F.lit(True)).otherwise(F.lit(False)).alias("is_reconciled"),
+    right = derived.selectExpr(*keys, *[f"{c} AS _derived_{c}" for c in paired])
+    found = {c: f"bigint(coalesce(_derived_{c}, 0))" for c in paired}
+    agree = " AND ".join(f"{c} = {found[c]}" for c in compared)
+    return official.join(right, keys, "left").selectExpr(
+        *official.columns,
+        *[f"{c} AS official_{c}" for c in paired],
+        *[f"{found[c]} AS derived_{c}" for c in paired],
+        *[f"{c} - {found[c]} AS {c}_delta" for c in compared],
+        f"CASE WHEN {agree} THEN true ELSE false END AS is_reconciled",
     )
 
 

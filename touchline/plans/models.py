@@ -61,17 +61,21 @@ MARTS = [name for name, (layer, _) in BUILDERS.items() if layer == "Mart"]
 
 
 class Models(Mapping):
-    """Base tables plus every model derived from them, by name."""
+    """Base tables (or their builders) plus every model derived from them, by name."""
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         missing = set(SOURCES) - set(tables)
         if missing:
             raise KeyError(f"missing base tables: {sorted(missing)}")
-        self._built = dict(tables)
+        self._tables = tables
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = BUILDERS[name][1](self.__getitem__)
+            given = self._tables.get(name)
+            if given is None:
+                given = BUILDERS[name][1](self.__getitem__)
+            self._built[name] = given if isinstance(given, DataFrame) else given()
         return self._built[name]
 
     def __iter__(self):

@@ -7,10 +7,10 @@ the official standings aggregate.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchline.operators import LEAGUE
@@ -22,176 +22,145 @@ LATEST_SNAPSHOT = "2001-07-01"
 LOADED_AT = "2001-07-01 06:00:00"
 
 
-def _loaded_at() -> Column:
-    return F.lit(LOADED_AT).cast("timestamp")
-
-
-@dataclass(frozen=True)
-class LeagueTables:
-    """The three warehouse base tables."""
-
-    teams: DataFrame
-    matches: DataFrame
-    standings: DataFrame
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def matches_from_orders(orders: DataFrame) -> DataFrame:
-    day = F.col("o_orderdate").cast("timestamp")
-    code = F.col("o_orderstatus")
-    status = (
-        F.when(day < "2001-06-01", F.lit("FINISHED"))
-        .when(
-            day < "2001-06-21",
-            F.when(code == "F", F.lit("FINISHED"))
-            .when(code == "O", F.lit("IN_PLAY"))
-            .otherwise(F.lit("POSTPONED")),
-        )
-        .when(code == "F", F.lit("SCHEDULED"))
-        .otherwise(F.lit("TIMED"))
+    base = orders.selectExpr(
+        "o_orderkey AS match_id",
+        "o_custkey % 3 AS competition_id",
+        "concat('L', string(o_custkey % 3)) AS competition_code",
+        "bigint(year(o_orderdate)) AS season_id",
+        "int(floor((dayofyear(o_orderdate) - 1) / 10)) + 1 AS matchday",
+        "timestamp(o_orderdate) AS utc_date",
+        """CASE WHEN o_orderdate < '2001-06-01' THEN 'FINISHED'
+                WHEN o_orderdate < '2001-06-21' THEN
+                  CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'IN_PLAY' ELSE 'POSTPONED' END
+                WHEN o_orderstatus = 'F' THEN 'SCHEDULED' ELSE 'TIMED' END AS status""",
+        "o_custkey % 25 AS home_team_id",
+        "(o_custkey % 25 + 1 + o_orderkey % 24) % 25 AS away_team_id",
+        "int(floor(o_totalprice) % 5) AS home_goals",
+        "int((o_orderkey * 7 + o_custkey) % 4) AS away_goals",
     )
-    base = orders.select(
-        F.col("o_orderkey").alias("match_id"),
-        (F.col("o_custkey") % 3).alias("competition_id"),
-        F.concat(F.lit("L"), (F.col("o_custkey") % 3).cast("string")).alias("competition_code"),
-        F.year(day).cast("bigint").alias("season_id"),
-        (F.floor((F.dayofyear(day) - 1) / 10).cast("int") + 1).alias("matchday"),
-        F.lit("REGULAR_SEASON").alias("stage"),
-        day.alias("utc_date"),
-        status.alias("status"),
-        (F.col("o_custkey") % 25).alias("home_team_id"),
-        ((F.col("o_custkey") % 25 + 1 + F.col("o_orderkey") % 24) % 25).alias("away_team_id"),
-        (F.floor("o_totalprice") % 5).cast("int").alias("home_goals"),
-        ((F.col("o_orderkey") * 7 + F.col("o_custkey")) % 4).cast("int").alias("away_goals"),
-    )
-    scored = F.col("status").isin("FINISHED", "IN_PLAY")
-    home, away = F.col("home_goals"), F.col("away_goals")
-    result = F.when(
-        (F.col("status") == "FINISHED") & (F.col("match_id") % 997 != 0),
-        F.when(home > away, F.lit("H")).when(home < away, F.lit("A")).otherwise(F.lit("D")),
-    )
-    return base.select(
-        "match_id", "competition_id", *LEAGUE, "matchday", "stage", "utc_date", "status",
+    return base.selectExpr(
+        "match_id", "competition_id", *LEAGUE, "matchday", "'REGULAR_SEASON' AS stage", "utc_date", "status",
         "home_team_id", "away_team_id",
-        F.when(scored, home).alias("home_score"),
-        F.when(scored, away).alias("away_score"),
-        result.alias("result"),
-        F.col("utc_date").alias("source_last_updated"),
-        F.lit(LATEST_SNAPSHOT).alias("source_snapshot_date"),
-        _loaded_at().alias("loaded_at"),
+        "CASE WHEN status IN ('FINISHED', 'IN_PLAY') THEN home_goals END AS home_score",
+        "CASE WHEN status IN ('FINISHED', 'IN_PLAY') THEN away_goals END AS away_score",
+        """CASE WHEN status = 'FINISHED' AND match_id % 997 <> 0 THEN
+             CASE WHEN home_goals > away_goals THEN 'H' WHEN home_goals < away_goals THEN 'A' ELSE 'D' END
+           END AS result""",
+        "utc_date AS source_last_updated",
+        f"'{LATEST_SNAPSHOT}' AS source_snapshot_date",
+        f"timestamp '{LOADED_AT}' AS loaded_at",
     )
 
 
+EVERY_COMPETITION = "explode(array('L0', 'L1', 'L2')) AS competition_code"
+
+
 def clubs_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Club dimension without artwork: every nation in every competition."""
-    key = F.col("n_nationkey").cast("string")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("bigint").alias("team_id"),
-        F.col("n_name").alias("team_name"),
-        F.concat(F.lit("Nation "), key).alias("short_name"),
-        F.concat(F.lit("T"), F.lpad(key, 2, "0")).alias("tla"),
-        F.col("r_name").alias("country"),
-        F.concat(F.col("n_name"), F.lit(" Arena")).alias("venue_name"),
-        (F.col("n_nationkey") + 1900).cast("int").alias("founded"),
-        F.lit("Red / White").alias("club_colors"),
-        F.concat(F.lit("https://crests.example/"), key, F.lit(".png")).alias("crest_url"),
-        F.explode(F.array(*[F.lit(c) for c in COMPETITIONS])).alias("competition_code"),
-        _loaded_at().alias("loaded_at"),
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "bigint(n_nationkey) AS team_id",
+        "n_name AS team_name",
+        "concat('Nation ', n_nationkey) AS short_name",
+        "concat('T', lpad(n_nationkey, 2, '0')) AS tla",
+        "r_name AS country",
+        "concat(n_name, ' Arena') AS venue_name",
+        "int(n_nationkey + 1900) AS founded",
+        "'Red / White' AS club_colors",
+        "concat('https://crests.example/', n_nationkey, '.png') AS crest_url",
+        EVERY_COMPETITION,
+        f"timestamp '{LOADED_AT}' AS loaded_at",
     )
 
 
+def _artwork(key: str, name: str) -> list[str]:
+    return [
+        f"string({key} + 133700) AS sportsdb_team_id",
+        f"initcap({name}) AS sportsdb_team_name",
+        f"concat('https://badges.example/', {key} + 133700, '.png') AS sportsdb_badge_url",
+        "'TheSportsDB' AS sportsdb_source",
+        f"CASE WHEN {key} < 20 THEN 'ID_OVERRIDE' ELSE 'NAME_SEARCH' END AS sportsdb_resolution_method",
+        f"timestamp '{LOADED_AT}' AS sportsdb_fetched_at",
+    ]
+
+
 def reference_from_nations(nation: DataFrame) -> DataFrame:
     """Reviewed artwork reference for every competition."""
-    key = F.col("n_nationkey")
-    source_id = (key + 133700).cast("string")
-    method = F.when(key < 20, F.lit("ID_OVERRIDE")).otherwise(F.lit("NAME_SEARCH"))
-    return nation.select(
-        F.explode(F.array(*[F.lit(c) for c in COMPETITIONS])).alias("competition_code"),
-        key.cast("bigint").alias("team_id"),
-        source_id.alias("sportsdb_team_id"),
-        F.initcap("n_name").alias("sportsdb_team_name"),
-        F.concat(F.lit("https://badges.example/"), source_id, F.lit(".png")).alias("sportsdb_badge_url"),
-        F.lit("TheSportsDB").alias("sportsdb_source"),
-        method.alias("sportsdb_resolution_method"),
-        _loaded_at().alias("sportsdb_fetched_at"),
+    return nation.selectExpr(
+        EVERY_COMPETITION, "bigint(n_nationkey) AS team_id", *_artwork("n_nationkey", "n_name")
     )
 
 
 def teams_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Club dimension with artwork, built row by row from the same nation."""
-    clubs = clubs_from_nations(nation, region)
-    source_id = (F.col("team_id") + 133700).cast("string")
-    return clubs.select(
+    return clubs_from_nations(nation, region).selectExpr(
         "team_id", "team_name", "short_name", "tla", "country", "venue_name", "founded",
-        "club_colors", "crest_url",
-        source_id.alias("sportsdb_team_id"),
-        F.initcap("team_name").alias("sportsdb_team_name"),
-        F.concat(F.lit("https://badges.example/"), source_id, F.lit(".png")).alias("sportsdb_badge_url"),
-        F.lit("TheSportsDB").alias("sportsdb_source"),
-        F.when(F.col("team_id") < 20, F.lit("ID_OVERRIDE"))
-        .otherwise(F.lit("NAME_SEARCH"))
-        .alias("sportsdb_resolution_method"),
-        _loaded_at().alias("sportsdb_fetched_at"),
-        "competition_code", "loaded_at",
+        "club_colors", "crest_url", *_artwork("team_id", "team_name"), "competition_code", "loaded_at",
     )
 
 
 def standings_from_matches(matches: DataFrame) -> DataFrame:
     """Official snapshots: totals before each snapshot date; some clubs run ahead."""
-    season = F.col("season_id")
-    dates = F.when(
-        season < 2001, F.array(F.concat(season.cast("string"), F.lit("-12-31")))
-    ).otherwise(F.array(F.lit("2001-05-31"), F.lit("2001-07-01")))
-    results = team_match_results(matches)
-    due = F.filter(dates, lambda d: F.col("utc_date") < d.cast("timestamp"))
-    outcome = F.col("team_result")
-    totals = (
-        results.withColumn("snapshot_date", F.explode(due))
+    ahead = "if(snapshot_date = '2001-07-01' AND team_id % 7 = 0, 1, 0)"
+    league = "competition_code, season_id, snapshot_date"
+    return (
+        team_match_results(matches)
+        .selectExpr(
+            "*",
+            """explode(filter(
+                 if(season_id < 2001, array(concat(season_id, '-12-31')), array('2001-05-31', '2001-07-01')),
+                 d -> utc_date < timestamp(d))) AS snapshot_date""",
+        )
         .groupBy("competition_id", *LEAGUE, "snapshot_date", "team_id")
         .agg(
-            F.count(F.lit(1)).alias("played"),
-            F.count(F.when(outcome == "W", 1)).alias("won"),
-            F.count(F.when(outcome == "D", 1)).alias("drawn"),
-            F.count(F.when(outcome == "L", 1)).alias("lost"),
-            F.sum("goals_for").alias("goals_for"),
-            F.sum("goals_against").alias("goals_against"),
-            F.sum("points_earned").alias("points"),
+            F.expr("count(*) AS played"),
+            F.expr("count_if(team_result = 'W') AS won"),
+            F.expr("count_if(team_result = 'D') AS drawn"),
+            F.expr("count_if(team_result = 'L') AS lost"),
+            F.expr("sum(goals_for) AS goals_for"),
+            F.expr("sum(goals_against) AS goals_against"),
+            F.expr("sum(points_earned) AS points"),
+        )
+        .selectExpr(
+            "competition_id", *LEAGUE, "snapshot_date", "team_id",
+            f"int(played + {ahead}) AS played",
+            f"int(won + {ahead}) AS won",
+            "int(drawn) AS drawn",
+            "int(lost) AS lost",
+            f"int(goals_for + {ahead}) AS goals_for",
+            "int(goals_against) AS goals_against",
+            f"int(goals_for + {ahead} - goals_against) AS goal_difference",
+            f"int(points + 3 * {ahead}) AS points",
+        )
+        .selectExpr(
+            "competition_id", *LEAGUE,
+            "int(floor((dayofyear(to_date(snapshot_date)) - 1) / 10)) + 1 AS snapshot_matchday",
+            "snapshot_date", "team_id",
+            f"""rank() OVER (PARTITION BY {league}
+                  ORDER BY points DESC, goal_difference DESC, goals_for DESC) AS position""",
+            "played", "won", "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points",
+            "string(NULL) AS form",
+            f"timestamp '{LOADED_AT}' AS loaded_at",
         )
-    )
-    ahead = ((F.col("snapshot_date") == "2001-07-01") & (F.col("team_id") % 7 == 0)).cast("int")
-    totals = totals.withColumns(
-        {
-            "played": F.col("played") + ahead,
-            "won": F.col("won") + ahead,
-            "goals_for": F.col("goals_for") + ahead,
-            "points": F.col("points") + ahead * 3,
-        }
-    ).withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
-    table = W.partitionBy(*LEAGUE, "snapshot_date").orderBy(
-        F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc()
-    )
-    day = F.to_date("snapshot_date")
-    counts = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points"]
-    return totals.withColumn("position", F.rank().over(table)).select(
-        "competition_id", *LEAGUE,
-        (F.floor((F.dayofyear(day) - 1) / 10).cast("int") + 1).alias("snapshot_matchday"),
-        "snapshot_date", "team_id", "position",
-        *[F.col(c).cast("int").alias(c) for c in counts],
-        F.lit(None).cast("string").alias("form"),
-        _loaded_at().alias("loaded_at"),
     )
 
 
-def load(spark: SparkSession, sf_dir: str) -> LeagueTables:
-    matches = matches_from_orders(read(spark, sf_dir, "orders"))
-    return LeagueTables(
-        teams=teams_from_nations(read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")),
-        matches=matches,
-        standings=standings_from_matches(matches),
-    )
+def load(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """The three base tables as builders, so a query only prepares the tables it uses."""
+
+    @cache
+    def matches() -> DataFrame:
+        return matches_from_orders(read(spark, sf_dir, "orders"))
+
+    return {
+        "dim_team": lambda: teams_from_nations(read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")),
+        "fact_match": matches,
+        "fact_standing_snapshot": lambda: standings_from_matches(matches()),
+    }
 
 
 # --- inputs of the reference and run-log operators ------------------------------------
