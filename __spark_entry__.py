@@ -217,8 +217,7 @@ def _snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flatten only each competition's newest landed snapshot."""
     root = _landed_standings(spark, sf_dir)
-    newest = docs.latest_documents(docs.scan(spark, f"{root}/raw", "standings"))
-    return _typed_standings(docs.flatten_standings(newest))
+    return _typed_standings(docs.flatten_standings(docs.scan_newest(spark, f"{root}/raw", "standings")))
 
 
 def _incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

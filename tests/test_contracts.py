@@ -142,8 +142,11 @@ def test_membership_and_enrichment(spark):
     found = counts(c.failures({"enriched": shared}, resolve.ENRICHED_RULES))
     assert found["enriched", "sportsdb_team_id", "unique"] == 1
     assert found["enriched", "sportsdb_source", "accepted_values"] == 2
-    twice = counts(c.failures({"reference": table.unionByName(table)}, resolve.REFERENCE_RULES))
+    named = table.withColumn("team_name", F.lit(None).cast("string"))
+    twice = counts(c.failures({"reference": named.unionByName(named)}, resolve.reference_rules(["SA"])))
     assert twice["reference", "team_id", "unique"] == 2
+    assert twice["reference", "team_name", "present"] == 1 and twice["reference", "team_id", "present"] == 0
+    assert twice["reference", "competition_code", "accepted_values"] == 4
 
 
 def test_resolution_order(spark):

@@ -14,6 +14,7 @@ from touchline.operators.contracts import ContractError, Rule
 from touchline.operators.resolve import ARTWORK_COLUMNS
 from touchline.plans import warehouse
 from touchline.plans.models import Models
+from touchline.schemas import DIM_TEAM
 from touchline.session import shared_dir
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
@@ -55,7 +56,7 @@ def test_folder_documents_flatten(spark, tmp_path):
     put(tmp_path, "PD", "2026-08-31", matches=match_document, standings=table_document([(77, 1, 2), (78, 2, 2)]), teams=team_document)
     root = str(tmp_path)
 
-    newest = docs.latest_documents(docs.scan_folders(spark, root, "matches"))
+    newest = docs.newest_documents(docs.scan_folders(spark, root, "matches"))
     rows = {r["match_id"]: r for r in docs.flatten_matches(newest).collect()}
     assert rows[1]["result"] == "A" and rows[1]["competition_code"] == "PD"
     assert str(rows[1]["utc_date"]) == "2026-08-15 19:00:00" and rows[1]["source_snapshot_date"] == "2026-08-31"
@@ -65,7 +66,7 @@ def test_folder_documents_flatten(spark, tmp_path):
     assert sorted((r["snapshot_date"], r["team_id"], r["played"]) for r in every) == [
         ("2026-08-30", 77, 1), ("2026-08-31", 77, 2), ("2026-08-31", 78, 2),
     ]
-    club = docs.flatten_teams(docs.latest_documents(docs.scan_folders(spark, root, "teams"))).first()
+    club = docs.flatten_teams(docs.newest_documents(docs.scan_folders(spark, root, "teams"))).first()
     assert (club["team_name"], club["country"], club["founded"]) == ("Athletic Club", "Spain", None)
 
 
@@ -81,6 +82,34 @@ def test_reference_document(spark, tmp_path):
     assert str(row["sportsdb_fetched_at"]) == "2026-08-31 18:12:10.810821"
 
 
+def test_reference_roundtrip(spark, tmp_path):
+    clubs = teams(spark, [2, 1])
+    reference = clubs.select("competition_code", "team_id", *ARTWORK_COLUMNS).withColumn(
+        "sportsdb_fetched_at", F.lit("2026-08-31 18:12:10.5").cast("timestamp")
+    )
+    written = docs.reference_documents(reference, clubs, "2026-08-31")
+    written.write.json(str(tmp_path / "r"))
+    header = written.first()
+    assert (header["team_count"], header["resolved_count"], header["badge_count"]) == (2, 2, 2)
+    back = docs.read_reference(spark, str(tmp_path / "r"))
+    assert sorted(map(tuple, back.drop("team_name").collect())) == sorted(map(tuple, reference.collect()))
+
+
+def test_newest_snapshots_come_from_file_names(spark, tmp_path):
+    raw = str(tmp_path)
+    rows = [standing(1, 1), standing(1, 2, date="2026-09-01"), standing(1, 3, competition_code="S A")]
+    docs.land(driver.standing_documents(standings(spark, rows)), raw, "standings")
+    (tmp_path / "standings" / "competition_code=PD" / "snapshot_date=2026-08-31" / "broken.json").write_text("{")
+    found = docs.newest_snapshots(docs.landed_snapshots(spark, raw, "standings"))
+    assert {tuple(r) for r in found.collect()} == {("PD", "2026-09-01"), ("S A", "2026-08-31")}
+    newest = docs.scan_newest(spark, raw, "standings")
+    assert "PartitionFilters: [concat_ws" in newest._jdf.queryExecution().executedPlan().toString()
+    joined = docs.only_snapshots(docs.scan(spark, raw, "standings"), found, limit=1)
+    for documents in (newest, joined):
+        got = docs.flatten_standings(documents).select("competition_code", "position").collect()
+        assert sorted(map(tuple, got)) == [("PD", 2), ("S A", 3)]
+
+
 def test_rewriting_a_snapshot_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "table")
     first = standings(spark, [standing(1, 1, date="2026-08-30"), standing(1, 1, date="2026-08-31"), standing(2, 2, date="2026-08-31")])
@@ -107,9 +136,9 @@ def test_failed_check_keeps_the_published_version(spark, tmp_path):
         with pytest.raises(ContractError):
             store.publish(spark, {"clubs": bad}, root, "v2", rules)
         assert store.current_version(spark, root) == "v1"
-        assert store.read_published(spark, root, ["clubs"])["clubs"].count() == 2
+        assert store.read_published(spark, root, {"clubs": DIM_TEAM})["clubs"].count() == 2
     store.publish(spark, {"clubs": teams(spark, [1, 2, 3])}, root, "v3", rules)
-    assert store.read_published(spark, root, ["clubs"])["clubs"].count() == 3
+    assert store.read_published(spark, root, {"clubs": DIM_TEAM})["clubs"].count() == 3
 
 
 def test_build_end_to_end(spark, sf_dir, tmp_path):
@@ -127,7 +156,8 @@ def test_build_end_to_end(spark, sf_dir, tmp_path):
         warehouse.build(spark, "r0", reference=reference.filter("team_id <> 3"), competitions=driver.COMPETITIONS, **paths)
     models = warehouse.build(spark, "r1", reference=reference, competitions=driver.COMPETITIONS, **paths)
     assert models["mart_match_explorer"].count() == 1500
-    marts = store.read_published(spark, f"{tmp_path}/w/marts", ["mart_team_performance"])
+    schema = models["mart_team_performance"].schema
+    marts = store.read_published(spark, f"{tmp_path}/w/marts", {"mart_team_performance": schema})
     want = {(r["team_performance_key"], r["points"]) for r in models["mart_team_performance"].collect()}
     assert {(r["team_performance_key"], r["points"]) for r in marts["mart_team_performance"].collect()} == want
     runs = {r["run_id"]: r for r in runlog.fold_runs(warehouse.read_events(spark, log)).collect()}

@@ -18,7 +18,7 @@ from touchline.operators import LEAGUE
 
 NOT_NULL, UNIQUE = "not_null", "unique"
 ACCEPTED, RELATION = "accepted_values", "relationships"
-NOT_EMPTY, ROW_RULE = "not_empty", "row_rule"
+NOT_EMPTY, PRESENT, ROW_RULE = "not_empty", "present", "row_rule"
 ROW_LEVEL = (NOT_NULL, ACCEPTED, ROW_RULE)
 
 
@@ -171,11 +171,13 @@ def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFram
             parts.append(
                 _relation_failures(table, models[parent], [r for r in relations if r.parent == parent])
             )
-        for rule in (r for r in mine if r.kind in (UNIQUE, NOT_EMPTY)):
-            if rule.kind == UNIQUE:
-                count = duplicate_keys(table, rule.tested).agg(F.expr("count(*) AS c0"))
-            else:
-                count = table.agg(F.expr("if(count(*) = 0, 1, 0) AS c0"))
+        whole = [r for r in mine if r.kind in (NOT_EMPTY, PRESENT)]
+        if whole:
+            # An empty table, or a column without a single value.
+            counts = [F.expr(f"if(count({r.column}) = 0, 1, 0) AS c{i}") for i, r in enumerate(whole)]
+            parts.append(_report(table.agg(*counts), whole))
+        for rule in (r for r in mine if r.kind == UNIQUE):
+            count = duplicate_keys(table, rule.tested).agg(F.expr("count(*) AS c0"))
             parts.append(_report(count, [rule]))
     return reduce(DataFrame.unionByName, parts)
 

@@ -10,6 +10,7 @@ from touchline.operators.contracts import (
     ACCEPTED,
     NOT_EMPTY,
     NOT_NULL,
+    PRESENT,
     ROW_RULE,
     UNIQUE,
     Rule,
@@ -52,6 +53,7 @@ CLUB_KEY = ["competition_code", "team_id"]
 # Checks on the loaded reference, on the enriched clubs and on a resolved candidate.
 REFERENCE_RULES = [
     Rule("reference", NOT_EMPTY, "*"),
+    *[Rule("reference", PRESENT, column) for column in ("team_id", "team_name", *ARTWORK_COLUMNS)],
     Rule("reference", NOT_NULL, "team_id"),
     Rule("reference", UNIQUE, "team_id", keys=tuple(CLUB_KEY)),
 ]
@@ -73,6 +75,11 @@ CANDIDATE_RULES = [
 ]
 
 
+def reference_rules(competitions: list[str]) -> list[Rule]:
+    """Reference checks for a build that serves these competitions."""
+    return [*REFERENCE_RULES, Rule("reference", ACCEPTED, "competition_code", values=tuple(competitions))]
+
+
 def membership(clubs: DataFrame, reference: DataFrame) -> DataFrame:
     """Clubs against the reference, both ways: MATCHED, MISSING or OBSOLETE."""
     left = clubs.select(*CLUB_KEY).filter(F.col("team_id").isNotNull()).distinct()

@@ -11,15 +11,15 @@ from touchline.operators.contracts import FACT_RULES, failures, gate, model_rule
 from touchline.operators.resolve import (
     CANDIDATE_RULES,
     ENRICHED_RULES,
-    REFERENCE_RULES,
     SOURCE_RULES,
     candidate_size_check,
     enrich,
     membership,
+    reference_rules,
 )
 from touchline.operators.runlog import FAILED, STAGE, START, SUCCESS
 from touchline.plans.models import MARTS, Models
-from touchline.schemas import RUN_EVENT
+from touchline.schemas import DIM_TEAM, FACT_MATCH, RUN_EVENT
 from touchline.sources import documents as docs
 from touchline.sources.tables import publish, read_by_name, read_table, write_snapshots, write_table
 
@@ -58,9 +58,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 # --- stages -----------------------------------------------------------------------
 
 
-def club_dimension(clubs: DataFrame, reference: DataFrame) -> DataFrame:
+def club_dimension(clubs: DataFrame, reference: DataFrame, competitions: list[str]) -> DataFrame:
     """Clubs with artwork, after the reference contracts and exact membership hold."""
-    gate(failures({"reference": reference}, REFERENCE_RULES))
+    gate(failures({"reference": reference}, reference_rules(competitions)))
     gate(
         membership(clubs, reference)
         .filter(F.col("membership") != "MATCHED")
@@ -76,13 +76,19 @@ def club_dimension(clubs: DataFrame, reference: DataFrame) -> DataFrame:
     return enrich(clubs, reference)
 
 
-def transform(spark: SparkSession, raw_root: str, processed_root: str, reference: DataFrame) -> None:
+def transform(
+    spark: SparkSession,
+    raw_root: str,
+    processed_root: str,
+    reference: DataFrame,
+    competitions: list[str],
+) -> None:
     """Flatten the newest landed snapshots into checked processed tables."""
     newest = {
-        name: flatten(docs.latest_documents(docs.scan(spark, raw_root, name)))
+        name: flatten(docs.scan_newest(spark, raw_root, name))
         for name, flatten in docs.FLATTEN.items()
     }
-    teams = club_dimension(newest["teams"], reference)
+    teams = club_dimension(newest["teams"], reference, competitions)
     gate(failures({"enriched": teams}, ENRICHED_RULES))
     tables = {
         "dim_team": teams,
@@ -96,11 +102,12 @@ def transform(spark: SparkSession, raw_root: str, processed_root: str, reference
 
 
 def load_base_tables(spark: SparkSession, processed_root: str) -> dict[str, DataFrame]:
-    """Processed tables; files of different ages are united by column name."""
-    names = ("dim_team", "fact_match", "fact_standing_snapshot")
-    tables = {name: read_by_name(spark, f"{processed_root}/{name}") for name in names}
-    tables["fact_match"] = tables["fact_match"].withColumn("season_id", F.col("season_id").cast("bigint"))
-    return tables
+    """Processed tables; snapshot files of different ages are united by column name."""
+    return {
+        "dim_team": read_table(spark, f"{processed_root}/dim_team", DIM_TEAM),
+        "fact_match": read_table(spark, f"{processed_root}/fact_match", FACT_MATCH),
+        "fact_standing_snapshot": read_by_name(spark, f"{processed_root}/fact_standing_snapshot"),
+    }
 
 
 def publish_models(
@@ -165,7 +172,7 @@ def build(
         result["models"] = publish_models(spark, base, warehouse_root, run_id, competitions)
 
     stages: list[tuple[str, Callable[[], None]]] = [
-        ("TRANSFORMATION", lambda: transform(spark, raw_root, processed_root, reference)),
+        ("TRANSFORMATION", lambda: transform(spark, raw_root, processed_root, reference, competitions)),
         ("WAREHOUSE_LOAD", load),
     ]
     for stage, action in stages:

@@ -6,8 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Result-relevant (time zone) and plan-relevant (AQE) settings. Partition counts and
-# broadcast thresholds stay whatever the cluster configured.
+# Result-relevant (time zone) and plan-relevant (AQE) settings. The broadcast threshold stays
+# whatever the cluster configured: it is the size check of every small join side.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,10 +18,21 @@ SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the engine's runtime SQL settings to an existing session."""
+    """Apply the engine's runtime SQL settings to an existing session.
+
+    On a cluster a shuffle starts with four partitions per core, unless configured: adaptive
+    execution merges small partitions afterwards but cannot split too large ones.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL_PARTITIONS, str(max(configured, 4 * context.defaultParallelism)))
     return spark
 
 

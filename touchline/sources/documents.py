@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.clock import utc_timestamp
@@ -51,14 +51,51 @@ def scan_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     )
 
 
-def latest_documents(documents: DataFrame) -> DataFrame:
-    """Documents of each competition's newest snapshot.
+def landed_snapshots(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """Distinct (competition_code, snapshot_date) of the landed files, from their names only.
 
-    The newest dates come from the snapshot columns alone; joined back on them, they prune
-    the scan to the newest folders (dynamic partition pruning).
+    The file listing is a table here; no document is opened.
     """
-    newest = documents.groupBy("competition_code").agg(F.max("snapshot_date").alias("snapshot_date"))
-    return documents.join(newest, SNAPSHOT, "left_semi")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .load(f"{root}/{dataset}")
+    )
+
+    def folder(name: str) -> Column:
+        return F.url_decode(F.regexp_extract("path", f"/{name}=([^/]+)/", 1)).alias(name)
+
+    return files.select(*[folder(name) for name in SNAPSHOT]).distinct()
+
+
+def newest_snapshots(snapshots: DataFrame) -> DataFrame:
+    """Each competition's newest snapshot."""
+    return snapshots.groupBy("competition_code").agg(F.max("snapshot_date").alias("snapshot_date"))
+
+
+def only_snapshots(documents: DataFrame, wanted: DataFrame, limit: int = 1000) -> DataFrame:
+    """Documents of the wanted snapshots.
+
+    Up to ``limit`` snapshots become a literal filter on the folder columns, so only their
+    folders are listed and read. More than that are matched by a join, with the same result.
+    """
+    keys = wanted.select(*SNAPSHOT).limit(limit + 1).collect()
+    if len(keys) > limit:
+        return documents.join(wanted.select(*SNAPSHOT).distinct(), SNAPSHOT, "left_semi")
+    names = [f"{key['competition_code']}/{key['snapshot_date']}" for key in keys]
+    return documents.filter(F.concat_ws("/", *SNAPSHOT).isin(names))
+
+
+def scan_newest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """Landed documents of each competition's newest snapshot."""
+    newest = newest_snapshots(landed_snapshots(spark, root, dataset))
+    return only_snapshots(scan(spark, root, dataset), newest)
+
+
+def newest_documents(documents: DataFrame) -> DataFrame:
+    """Documents of each competition's newest snapshot, for an already loaded set."""
+    return documents.join(newest_snapshots(documents), SNAPSHOT, "left_semi")
 
 
 def flatten_teams(documents: DataFrame) -> DataFrame:
@@ -145,6 +182,31 @@ def read_reference(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def reference_documents(reference: DataFrame, clubs: DataFrame, snapshot_date: str) -> DataFrame:
+    """The reference as one document per competition, with its header counts.
+
+    A document holds one competition's clubs, as in the reviewed file.
+    """
+    named = reference.join(
+        clubs.select("competition_code", "team_id", "team_name"), ["competition_code", "team_id"]
+    )
+    item = F.struct(
+        F.col("team_id").alias("football_data_team_id"),
+        F.col("team_name").alias("football_data_team_name"),
+        "sportsdb_team_id", "sportsdb_team_name", "sportsdb_badge_url", "sportsdb_source",
+        "sportsdb_resolution_method",
+        F.date_format("sportsdb_fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("sportsdb_fetched_at"),
+    )
+    return named.groupBy("competition_code").agg(
+        F.lit(snapshot_date).alias("source_snapshot_date"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("refreshed_at"),
+        F.count(F.lit(1)).cast("int").alias("team_count"),
+        F.count("sportsdb_team_id").cast("int").alias("resolved_count"),
+        F.count("sportsdb_badge_url").cast("int").alias("badge_count"),
+        F.sort_array(F.collect_list(item)).alias("teams"),
+    )
+
+
 FLATTEN = {
     "teams": flatten_teams,
     "matches": flatten_matches,

@@ -91,7 +91,8 @@ def _artwork(key: str, name: str) -> list[str]:
 def reference_from_nations(nation: DataFrame) -> DataFrame:
     """Reviewed artwork reference for every competition."""
     return nation.selectExpr(
-        EVERY_COMPETITION, "bigint(n_nationkey) AS team_id", *_artwork("n_nationkey", "n_name")
+        EVERY_COMPETITION, "bigint(n_nationkey) AS team_id", "n_name AS team_name",
+        *_artwork("n_nationkey", "n_name"),
     )
 
 

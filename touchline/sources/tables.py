@@ -35,10 +35,10 @@ def write_snapshots(table: DataFrame, path: str) -> None:
     )
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Parquet scan; with a schema, folder columns get the declared type."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """Parquet scan with a declared schema, also for the folder columns; no file is opened
+    to infer one."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_by_name(spark: SparkSession, path: str) -> DataFrame:
@@ -94,9 +94,11 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return manifest.agg(F.max_by("version", "published_at").alias("v")).first()["v"]
 
 
-def read_published(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """Tables of the current version."""
+def read_published(
+    spark: SparkSession, root: str, schemas: Mapping[str, StructType | str]
+) -> dict[str, DataFrame]:
+    """Tables of the current version, by name and schema."""
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return {name: read_by_name(spark, f"{root}/{version}/{name}") for name in names}
+    return {name: read_table(spark, f"{root}/{version}/{name}", s) for name, s in schemas.items()}
