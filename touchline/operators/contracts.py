@@ -132,13 +132,8 @@ def _relation_failures(child: DataFrame, parent: DataFrame, rules: list[Rule]) -
     size = len(rules[0].tested)
     parent_keys = ["competition_code", "team_id"][-size:]
     keys = [f"k{j}" for j in range(size)]
-    references = ", ".join(
-        f"named_struct('rule_no', {i}, "
-        + ", ".join(f"'{k}', {column}" for k, column in zip(keys, rule.tested, strict=True))
-        + ")"
-        for i, rule in enumerate(rules)
-    )
-    flat = child.selectExpr(f"explode(array({references})) AS r").select("r.*")
+    references = ", ".join(f"{i}, {', '.join(rule.tested)}" for i, rule in enumerate(rules))
+    flat = child.selectExpr(f"stack({len(rules)}, {references}) AS (rule_no, {', '.join(keys)})")
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys, strict=True)])
     lost = (
         flat.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.operators import LEAGUE
 from touchline.operators.participants import team_match_results
@@ -22,8 +23,15 @@ LATEST_SNAPSHOT = "2001-07-01"
 LOADED_AT = "2001-07-01 06:00:00"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is taken from the file footers once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def matches_from_orders(orders: DataFrame) -> DataFrame:
@@ -108,15 +116,17 @@ def standings_from_matches(matches: DataFrame) -> DataFrame:
     """Official snapshots: totals before each snapshot date; some clubs run ahead."""
     ahead = "if(snapshot_date = '2001-07-01' AND team_id % 7 = 0, 1, 0)"
     league = "competition_code, season_id, snapshot_date"
+    # The snapshots a match is due in: 1 the year's last day, 2 both of 2001, 3 the later one.
+    due = """CASE WHEN season_id < 2001 THEN if(month(utc_date) = 12 AND dayofmonth(utc_date) = 31, 0, 1)
+                  WHEN utc_date < '2001-05-31' THEN 2 WHEN utc_date < '2001-07-01' THEN 3 ELSE 0 END AS due"""
+    dates = """explode(CASE due WHEN 1 THEN array(concat(season_id, '-12-31'))
+                 WHEN 2 THEN array('2001-05-31', '2001-07-01')
+                 WHEN 3 THEN array('2001-07-01') END) AS snapshot_date"""
+    counts = ["played", "won", "drawn", "lost", "goals_for", "goals_against", "points"]
     return (
         team_match_results(matches)
-        .selectExpr(
-            "*",
-            """explode(filter(
-                 if(season_id < 2001, array(concat(season_id, '-12-31')), array('2001-05-31', '2001-07-01')),
-                 d -> utc_date < timestamp(d))) AS snapshot_date""",
-        )
-        .groupBy("competition_id", *LEAGUE, "snapshot_date", "team_id")
+        .selectExpr("*", due)
+        .groupBy("competition_id", *LEAGUE, "due", "team_id")
         .agg(
             F.expr("count(*) AS played"),
             F.expr("count_if(team_result = 'W') AS won"),
@@ -126,6 +136,9 @@ def standings_from_matches(matches: DataFrame) -> DataFrame:
             F.expr("sum(goals_against) AS goals_against"),
             F.expr("sum(points_earned) AS points"),
         )
+        .selectExpr("competition_id", *LEAGUE, "team_id", dates, *counts)
+        .groupBy("competition_id", *LEAGUE, "snapshot_date", "team_id")
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in counts])
         .selectExpr(
             "competition_id", *LEAGUE, "snapshot_date", "team_id",
             f"int(played + {ahead}) AS played",
@@ -237,39 +250,33 @@ def run_events(events: DataFrame) -> DataFrame:
 MATCHES_PER_DOCUMENT = 512
 
 
-def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def _iso(ts: str) -> str:
+    return f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+
+
+# One match as it appears in a document.
+_MATCH_ITEM = f"""named_struct(
+  'id', match_id,
+  'competition', named_struct('id', competition_id),
+  'season', named_struct('id', season_id),
+  'matchday', matchday, 'stage', stage, 'utcDate', {_iso("utc_date")}, 'status', status,
+  'homeTeam', named_struct('id', home_team_id),
+  'awayTeam', named_struct('id', away_team_id),
+  'score', named_struct(
+    'winner', CASE result WHEN 'H' THEN 'HOME_TEAM' WHEN 'A' THEN 'AWAY_TEAM' WHEN 'D' THEN 'DRAW' END,
+    'fullTime', named_struct('home', home_score, 'away', away_score)),
+  'lastUpdated', {_iso("source_last_updated")})"""
 
 
 def match_documents(matches: DataFrame) -> DataFrame:
     """Match documents of at most 512 matches each, so no document grows with a league."""
-    winner = (
-        F.when(F.col("result") == "H", F.lit("HOME_TEAM"))
-        .when(F.col("result") == "A", F.lit("AWAY_TEAM"))
-        .when(F.col("result") == "D", F.lit("DRAW"))
-    )
-    item = F.struct(
-        F.col("match_id").alias("id"),
-        F.struct(F.col("competition_id").alias("id")).alias("competition"),
-        F.struct(F.col("season_id").alias("id")).alias("season"),
-        "matchday",
-        "stage",
-        _iso(F.col("utc_date")).alias("utcDate"),
-        "status",
-        F.struct(F.col("home_team_id").alias("id")).alias("homeTeam"),
-        F.struct(F.col("away_team_id").alias("id")).alias("awayTeam"),
-        F.struct(
-            winner.alias("winner"),
-            F.struct(F.col("home_score").alias("home"), F.col("away_score").alias("away")).alias("fullTime"),
-        ).alias("score"),
-        _iso(F.col("source_last_updated")).alias("lastUpdated"),
-    )
-    chunk = F.floor(F.col("match_id") / MATCHES_PER_DOCUMENT)
     return (
         matches.groupBy(
-            "competition_code", F.col("source_snapshot_date").alias("snapshot_date"), chunk.alias("chunk")
+            "competition_code",
+            F.col("source_snapshot_date").alias("snapshot_date"),
+            F.floor(F.col("match_id") / MATCHES_PER_DOCUMENT).alias("chunk"),
         )
-        .agg(F.collect_list(item).alias("matches"))
+        .agg(F.expr(f"collect_list({_MATCH_ITEM}) AS matches"))
         .drop("chunk")
     )
 
