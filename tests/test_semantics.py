@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from direct_forms import range_join_history, union_results
 from frames import match, matches, standing, standings, teams
 from pyspark.sql import functions as F
 
@@ -138,35 +139,16 @@ def test_history_window_form_equals_range_join_form(spark):
     table, official, club_table = history_case(spark)
     results = team_match_results(table)
     current = current_standings(official, results, club_table)
-    league = ["competition_code", "season_id"]
-    status = rounds.round_status(table)
-    later, earlier = status.alias("l"), status.alias("e")
-    open_before = later.join(
-        earlier,
-        (F.col("l.competition_code") == F.col("e.competition_code"))
-        & (F.col("l.season_id") == F.col("e.season_id"))
-        & (F.col("e.matchday") < F.col("l.matchday"))
-        & (F.col("e.total_matches") != F.col("e.finished_matches")),
-        "left_anti",
-    ).filter("total_matches = finished_matches")
-    spine = open_before.select(*league, "matchday").join(current.select(*league, "team_id"), league)
-    r = results.select(
-        *[F.col(c).alias(f"r_{c}") for c in (*league, "team_id", "matchday", "match_id", "points_earned")]
-    )
-    ranged = spine.join(
-        r,
-        (F.col("r_competition_code") == F.col("competition_code"))
-        & (F.col("r_season_id") == F.col("season_id"))
-        & (F.col("r_team_id") == F.col("team_id"))
-        & (F.col("r_matchday") <= F.col("matchday")),
-        "left",
-    ).groupBy(*league, "matchday", "team_id").agg(
-        F.count("r_match_id").alias("played"), F.coalesce(F.sum("r_points_earned"), F.lit(0)).alias("points")
-    )
-    windowed = history.position_history(current, table, results).select(
-        *league, "matchday", "team_id", "played", "points"
-    )
-    assert sorted(map(tuple, ranged.collect())) == sorted(map(tuple, windowed.collect()))
+    windowed = history.position_history(current, table, results)
+    ranged = range_join_history(current, table, results).select(*windowed.columns)
+    assert sorted(map(tuple, windowed.collect())) == sorted(map(tuple, ranged.collect()))
+
+
+def test_one_scan_equals_two_branches(spark):
+    table, _, _ = history_case(spark)
+    one = team_match_results(table)
+    two = union_results(table).select(*one.columns)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
 
 
 def test_two_notions_of_latest_round(spark):
