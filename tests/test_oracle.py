@@ -65,3 +65,18 @@ HOT = [
 @pytest.mark.parametrize("name", HOT)
 def test_hot_keys(spark, hot_dir, name):
     check(spark, hot_dir, name)
+
+
+@pytest.mark.parametrize("name", ["match_list", "position_history", "fixture_matrix_wide", "club_recent", "dq_relationships"])
+def test_shuffle_joins_give_the_same(spark, hot_dir, name):
+    """Beyond the broadcast threshold the same queries run on shuffle joins."""
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        plan = QUERIES[name](spark, hot_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "CartesianProduct" not in plan
+        check(spark, hot_dir, name)
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)

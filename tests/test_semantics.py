@@ -135,6 +135,20 @@ def test_position_history(spark):
     assert rows[2, 1]["goals_for"] == 3  # the match without a round is left out
 
 
+def test_history_views(spark):
+    table, official, club_table = history_case(spark)
+    results = team_match_results(table)
+    rows = history.history_rows(current_standings(official, results, club_table), table, results)
+    assert history.club_history(rows, ["C1", "C3"]).count() == 4
+    summary = history.history_rounds(rows).first()
+    assert (summary["completed_rounds"], summary["latest_derived_round"]) == (2, 2)
+    # Position 4 is in the title race and in the European race.
+    races = {(r["race"], r["team_id"]) for r in history.race_history(rows).collect()}
+    assert races == {("Title Race", t) for t in (1, 2, 3, 4)} | {("European Race", t) for t in (4, 5)}
+    bounds = {r["race"]: (r["chart_top"], r["chart_bottom"]) for r in history.race_bounds(rows).collect()}
+    assert bounds["Title Race"] == (1, 5)
+
+
 def test_history_window_form_equals_range_join_form(spark):
     table, official, club_table = history_case(spark)
     results = team_match_results(table)
