@@ -6,7 +6,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
-from frames import standing, standings, teams
+from frames import match, matches, standing, standings, teams
 from pyspark.sql import functions as F
 
 from touchline.operators import runlog
@@ -163,6 +163,10 @@ def test_build_end_to_end(spark, sf_dir, tmp_path):
     runs = {r["run_id"]: r for r in runlog.fold_runs(warehouse.read_events(spark, log)).collect()}
     assert (runs["r0"]["status"], runs["r0"]["failed_stage"]) == ("FAILED", "TRANSFORMATION")
     assert "MISSING" in runs["r0"]["error_message"]
+    with pytest.raises(ContractError, match="stg_matches.competition_code accepted_values"):
+        base = warehouse.load_base_tables(spark, paths["processed_root"])
+        warehouse.publish_marts(spark, base, paths["warehouse_root"], "r2", ["L0"])
+    assert store.current_version(spark, f"{tmp_path}/w/marts") == "r1"
     assert (runs["r1"]["status"], runs["r1"]["current_stage"], runs["r1"]["failed_stage"]) == ("SUCCESS", "COMPLETE", None)
     assert runs["r1"]["duration_seconds"] > 0
 
@@ -218,6 +222,18 @@ def test_incremental_ingestion_equals_batch(spark, tmp_path):
     ]
 
 
+def test_other_datasets_ingest_incrementally(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    played = matches(spark, [match(i, 1, 1, 2, (1, 0), source_snapshot_date="2026-08-31") for i in range(1, 4)])
+    docs.land(driver.match_documents(played), raw, "matches")
+    docs.land(driver.team_documents(teams(spark, [1, 2])), raw, "teams")
+    for dataset in ("matches", "teams"):
+        ingest_new_snapshots(spark, raw, dataset, str(tmp_path / dataset), str(tmp_path / f"{dataset}-state"))
+    kept = store.read_by_name(spark, str(tmp_path / "matches"))
+    assert kept.count() == 3 and kept.select("result").distinct().first()["result"] == "H"
+    assert store.read_by_name(spark, str(tmp_path / "teams")).count() == 2
+
+
 def test_replayed_stream_gives_the_same_table(spark, tmp_path):
     raw, table = str(tmp_path / "raw"), str(tmp_path / "table")
     docs.land(driver.standing_documents(standings(spark, [standing(1, 1), standing(2, 2)])), raw, "standings")
@@ -255,12 +271,11 @@ def test_run_log_folding(spark):
 
 
 def test_shared_dir_follows_the_session(spark):
-    def session(master, **settings):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(master=master)
-        )
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
 
-    assert shared_dir(session("yarn", **{"spark.checkpoint.dir": "s3://b/shared/"})) == "s3://b/shared"
+    cluster = {"spark.master": "yarn"}
+    assert shared_dir(session(**cluster, **{"spark.checkpoint.dir": "s3://b/shared/"})) == "s3://b/shared"
     with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
-        shared_dir(session("yarn"))
+        shared_dir(session(**cluster))
     assert shared_dir(spark)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from touchline.operators.resolve import (
 )
 from touchline.operators.runlog import FAILED, STAGE, START, SUCCESS
 from touchline.plans.models import MARTS, Models
-from touchline.schemas import DIM_TEAM, FACT_MATCH, RUN_EVENT
+from touchline.schemas import DIM_TEAM, FACT_MATCH, RUN_EVENT, column_names
 from touchline.sources import documents as docs
 from touchline.sources.tables import publish, read_by_name, read_table, write_snapshots, write_table
 
@@ -91,7 +91,7 @@ def transform(
     teams = club_dimension(newest["teams"], reference, competitions)
     gate(failures({"enriched": teams}, ENRICHED_RULES))
     tables = {
-        "dim_team": teams,
+        "dim_team": teams.select(*column_names(DIM_TEAM)),
         "fact_match": newest["matches"],
         "fact_standing_snapshot": newest["standings"],
     }
@@ -110,24 +110,31 @@ def load_base_tables(spark: SparkSession, processed_root: str) -> dict[str, Data
     }
 
 
-def publish_models(
+def publish_base(
+    spark: SparkSession, base: dict[str, DataFrame], root: str, version: str
+) -> dict[str, DataFrame]:
+    """Publish the three base tables together, only if they are sound."""
+    return publish(
+        spark, base, f"{root}/base", version, FACT_RULES, {"fact_match": ["competition_code", "season_id"]}
+    )
+
+
+def publish_marts(
     spark: SparkSession,
     base: dict[str, DataFrame],
     root: str,
     version: str,
     competitions: Iterable[str],
 ) -> Models:
-    """Publish the base tables, then the marts derived from them, each only if it is sound.
+    """Publish the marts of published base tables, only if all model contracts hold.
 
     The participant rows feed three models, so they are written once and read back. The
-    model contracts run on the written marts; nothing is computed twice.
+    contracts run on the written marts; nothing is computed twice.
     """
-    league = ["competition_code", "season_id"]
-    published = publish(spark, base, f"{root}/base", version, FACT_RULES, {"fact_match": league})
     path = f"{root}/intermediate/{version}/{INTERMEDIATE}"
-    participants = Models(published)[INTERMEDIATE]
-    write_table(participants, path, league)
-    known = {**published, INTERMEDIATE: read_table(spark, path, participants.schema)}
+    participants = Models(base)[INTERMEDIATE]
+    write_table(participants, path, ["competition_code", "season_id"])
+    known = {**base, INTERMEDIATE: read_table(spark, path, participants.schema)}
     models = Models(known)
     marts = publish(
         spark,
@@ -163,19 +170,24 @@ def build(
     competitions: list[str],
 ) -> Models:
     """All stages with run-log events; a failing stage is logged and re-raised."""
-    label = ",".join(competitions)
-    log_event(spark, log_path, run_id, START, competition_code=label)
-    result: dict[str, Models] = {}
-
-    def load() -> None:
-        base = load_base_tables(spark, processed_root)
-        result["models"] = publish_models(spark, base, warehouse_root, run_id, competitions)
-
-    stages: list[tuple[str, Callable[[], None]]] = [
-        ("TRANSFORMATION", lambda: transform(spark, raw_root, processed_root, reference, competitions)),
-        ("WAREHOUSE_LOAD", load),
-    ]
-    for stage, action in stages:
+    done: dict[str, dict[str, DataFrame] | Models] = {}
+
+    def transform_stage() -> None:
+        transform(spark, raw_root, processed_root, reference, competitions)
+
+    def load_stage() -> None:
+        tables = load_base_tables(spark, processed_root)
+        done["base"] = publish_base(spark, tables, warehouse_root, run_id)
+
+    def model_stage() -> None:
+        done["models"] = publish_marts(spark, done["base"], warehouse_root, run_id, competitions)
+
+    log_event(spark, log_path, run_id, START, competition_code=",".join(competitions))
+    for stage, action in (
+        ("TRANSFORMATION", transform_stage),
+        ("WAREHOUSE_LOAD", load_stage),
+        ("MODEL_BUILD", model_stage),
+    ):
         log_event(spark, log_path, run_id, STAGE, stage=stage)
         try:
             action()
@@ -183,4 +195,4 @@ def build(
             log_event(spark, log_path, run_id, FAILED, stage=stage, error_message=str(error))
             raise
     log_event(spark, log_path, run_id, SUCCESS)
-    return result["models"]
+    return done["models"]

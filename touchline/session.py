@@ -21,6 +21,10 @@ SETTINGS = {
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "local").startswith("local")
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the engine's runtime SQL settings to an existing session.
 
@@ -29,10 +33,10 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+    if not is_local(spark) and spark.conf.get(INITIAL_PARTITIONS, None) is None:
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(INITIAL_PARTITIONS, str(max(configured, 4 * context.defaultParallelism)))
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(INITIAL_PARTITIONS, str(max(configured, 4 * cores)))
     return spark
 
 
@@ -61,6 +65,6 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="touchline-")

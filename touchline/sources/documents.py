@@ -99,8 +99,8 @@ def newest_documents(documents: DataFrame) -> DataFrame:
 
 
 def flatten_teams(documents: DataFrame) -> DataFrame:
-    """``teams[]`` to one row per club, without artwork columns."""
-    return documents.select("competition_code", F.explode("teams").alias("t")).select(
+    """``teams[]`` to one row per club and snapshot, without artwork columns."""
+    return documents.select(*SNAPSHOT, F.explode("teams").alias("t")).select(
         F.col("t.id").alias("team_id"),
         F.col("t.name").alias("team_name"),
         F.col("t.shortName").alias("short_name"),
@@ -110,7 +110,7 @@ def flatten_teams(documents: DataFrame) -> DataFrame:
         "t.founded",
         F.col("t.clubColors").alias("club_colors"),
         F.col("t.crest").alias("crest_url"),
-        "competition_code",
+        *SNAPSHOT,
         F.current_timestamp().alias("loaded_at"),
     )
 
