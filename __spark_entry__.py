@@ -183,7 +183,7 @@ def _json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
         "competition_code", "snapshot_date", F.to_json(F.struct("matches")).alias("body")
     )
     parsed = text.select(
-        "competition_code", "snapshot_date", F.from_json("body", MATCHES_DOCUMENT).alias("d")
+        "competition_code", "snapshot_date", F.from_json("body", MATCHES_DOCUMENT, {"mode": "FAILFAST"}).alias("d")
     ).select("competition_code", "snapshot_date", "d.matches")
     return docs.flatten_matches(parsed).drop("loaded_at")
 

@@ -110,6 +110,13 @@ def test_fact_rules_and_violating_rows(spark):
     ]
 
 
+def test_every_served_competition_needs_rows(spark):
+    tables = good_models(spark)
+    rules = [r for r in c.fact_rules(["PD", "SA", "PL"]) if r.kind == c.COVERS]
+    assert set(counts(c.failures(tables, rules)).values()) == {2}
+    c.gate(c.failures(tables, c.fact_rules(["PD"])))
+
+
 def test_key_checks_return_keys(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (7,), (7,)], "k int")
     parent = spark.createDataFrame([(1,), (2,), (2,)], "id int")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import pytest
-from frames import match, matches, teams
+from frames import match, matches, standing, standings, teams
 
 import __spark_entry__ as entry
 from touchline.operators.clubs import form_matches
 from touchline.operators.participants import team_match_results
 from touchline.operators.performance import team_performance
-from touchline.sources.tables import read_table, write_table
+from touchline.operators.standings import latest_per_league
+from touchline.sources.tables import read_table, write_snapshots, write_table
 
 WRITES_FILES = {"snapshot_roundtrip", "latest_documents", "incremental_ingest"}
 
@@ -50,6 +51,14 @@ def test_top_n_limits_before_the_exchange(spark, stored):
     assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[exchange:])
 
 
+def test_newest_snapshot_limits_before_the_exchange(spark, tmp_path):
+    table = standings(spark, [standing(1, 1)])
+    write_snapshots(table, str(tmp_path / "s"))
+    lines = plan(latest_per_league(read_table(spark, str(tmp_path / "s"), table.schema))).splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[exchange:])
+
+
 def test_participants_scan_once_without_exchange(spark, stored):
     text = plan(team_match_results(stored))
     assert text.count("FileScan") == 1 and "Exchange" not in text

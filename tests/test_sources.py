@@ -70,6 +70,18 @@ def test_folder_documents_flatten(spark, tmp_path):
     assert (club["team_name"], club["country"], club["founded"]) == ("Athletic Club", "Spain", None)
 
 
+def test_malformed_documents_fail_the_read(spark, tmp_path):
+    put(tmp_path, "PD", "2026-08-31", standings=table_document([(77, 1, 1)]))
+    (tmp_path / "PD" / "2026-08-31" / "standings.json").write_text('{"standings": [')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        docs.flatten_standings(docs.scan_folders(spark, str(tmp_path), "standings")).collect()
+    docs.land(driver.standing_documents(standings(spark, [standing(1, 1)])), str(tmp_path), "standings")
+    folder = tmp_path / "standings" / "competition_code=PD" / "snapshot_date=2026-08-31"
+    (folder / "part-broken.json").write_text('{"standings": [\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        docs.flatten_standings(docs.scan(spark, str(tmp_path), "standings")).collect()
+
+
 def test_reference_document(spark, tmp_path):
     path = tmp_path / "reference.json"
     path.write_text(json.dumps({
@@ -99,15 +111,20 @@ def test_newest_snapshots_come_from_file_names(spark, tmp_path):
     raw = str(tmp_path)
     rows = [standing(1, 1), standing(1, 2, date="2026-09-01"), standing(1, 3, competition_code="S A")]
     docs.land(driver.standing_documents(standings(spark, rows)), raw, "standings")
-    (tmp_path / "standings" / "competition_code=PD" / "snapshot_date=2026-08-31" / "broken.json").write_text("{")
     found = docs.newest_snapshots(docs.landed_snapshots(spark, raw, "standings"))
     assert {tuple(r) for r in found.collect()} == {("PD", "2026-09-01"), ("S A", "2026-08-31")}
+
+    def positions(documents):
+        rows = docs.flatten_standings(documents).select("competition_code", "position").collect()
+        return sorted(map(tuple, rows))
+
+    joined = docs.only_snapshots(docs.scan(spark, raw, "standings"), found, limit=1)
+    assert positions(joined) == [("PD", 2), ("S A", 3)]
+    # A malformed document in an older folder is never opened.
+    (tmp_path / "standings" / "competition_code=PD" / "snapshot_date=2026-08-31" / "broken.json").write_text("{")
     newest = docs.scan_newest(spark, raw, "standings")
     assert "PartitionFilters: [concat_ws" in newest._jdf.queryExecution().executedPlan().toString()
-    joined = docs.only_snapshots(docs.scan(spark, raw, "standings"), found, limit=1)
-    for documents in (newest, joined):
-        got = docs.flatten_standings(documents).select("competition_code", "position").collect()
-        assert sorted(map(tuple, got)) == [("PD", 2), ("S A", 3)]
+    assert positions(newest) == [("PD", 2), ("S A", 3)]
 
 
 def test_rewriting_a_snapshot_keeps_the_others(spark, tmp_path):

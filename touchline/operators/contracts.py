@@ -18,7 +18,7 @@ from touchline.operators import LEAGUE
 
 NOT_NULL, UNIQUE = "not_null", "unique"
 ACCEPTED, RELATION = "accepted_values", "relationships"
-NOT_EMPTY, PRESENT, ROW_RULE = "not_empty", "present", "row_rule"
+NOT_EMPTY, PRESENT, COVERS, ROW_RULE = "not_empty", "present", "covers", "row_rule"
 ROW_LEVEL = (NOT_NULL, ACCEPTED, ROW_RULE)
 
 
@@ -64,6 +64,14 @@ def broken(rule: Rule) -> str:
     return f"NOT ({rule.condition})"
 
 
+def _absent(rule: Rule) -> str:
+    """1 for an empty table or a column without a value; for ``covers``, the number of
+    expected values without a row."""
+    if rule.kind == COVERS:
+        return " + ".join(f"if(count_if({rule.column} = {_literal(v)}) = 0, 1, 0)" for v in rule.values)
+    return f"if(count({rule.column}) = 0, 1, 0)"
+
+
 def _report(counts: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row of counts c0, c1, ... turned into one row per rule."""
     rows = ", ".join(
@@ -166,10 +174,9 @@ def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFram
             parts.append(
                 _relation_failures(table, models[parent], [r for r in relations if r.parent == parent])
             )
-        whole = [r for r in mine if r.kind in (NOT_EMPTY, PRESENT)]
+        whole = [r for r in mine if r.kind in (NOT_EMPTY, PRESENT, COVERS)]
         if whole:
-            # An empty table, or a column without a single value.
-            counts = [F.expr(f"if(count({r.column}) = 0, 1, 0) AS c{i}") for i, r in enumerate(whole)]
+            counts = [F.expr(f"{_absent(r)} AS c{i}") for i, r in enumerate(whole)]
             parts.append(_report(table.agg(*counts), whole))
         for rule in (r for r in mine if r.kind == UNIQUE):
             count = duplicate_keys(table, rule.tested).agg(F.expr("count(*) AS c0"))
@@ -287,4 +294,13 @@ FACT_RULES = [
         "fact_standing_snapshot", RELATION, "team_id", keys=(_CLUB_KEY, "team_id"), parent="dim_team"
     ),
 ]
+
+
+def fact_rules(competitions: Iterable[str]) -> list[Rule]:
+    """Fact checks, and rows for every served competition in each base table."""
+    served = tuple(competitions)
+    tables = ("dim_team", "fact_match", "fact_standing_snapshot")
+    return [*FACT_RULES, *[Rule(t, COVERS, "competition_code", values=served) for t in tables]]
+
+
 ROW_RULES = [rule for rule in FACT_RULES if rule.kind == ROW_RULE]

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators.contracts import FACT_RULES, failures, gate, model_rules
+from touchline.operators.contracts import FACT_RULES, fact_rules, failures, gate, model_rules
 from touchline.operators.resolve import (
     CANDIDATE_RULES,
     ENRICHED_RULES,
@@ -95,7 +95,7 @@ def transform(
         "fact_match": newest["matches"],
         "fact_standing_snapshot": newest["standings"],
     }
-    gate(failures(tables, FACT_RULES))
+    gate(failures(tables, fact_rules(competitions)))
     write_table(tables["dim_team"], f"{processed_root}/dim_team")
     write_table(tables["fact_match"], f"{processed_root}/fact_match", ["competition_code", "season_id"])
     write_snapshots(tables["fact_standing_snapshot"], f"{processed_root}/fact_standing_snapshot")

@@ -32,8 +32,13 @@ def document_schema(dataset: str) -> str:
 
 
 def scan(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Landed documents of one dataset with their snapshot columns."""
-    return spark.read.schema(document_schema(dataset)).json(f"{root}/{dataset}")
+    """Landed documents of one dataset with their snapshot columns.
+
+    A malformed document fails the read instead of losing its rows.
+    """
+    return (
+        spark.read.schema(document_schema(dataset)).option("mode", "FAILFAST").json(f"{root}/{dataset}")
+    )
 
 
 def scan_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
@@ -42,6 +47,7 @@ def scan_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return (
         spark.read.schema(DOCUMENTS[dataset])
         .option("multiLine", True)
+        .option("mode", "FAILFAST")
         .json(f"{root}/*/*/{dataset}.json")
         .select(
             "*",
@@ -168,7 +174,12 @@ def flatten_standings(documents: DataFrame) -> DataFrame:
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
     """Reviewed artwork reference: one typed row per club, keyed like the club table."""
-    documents = spark.read.schema(REFERENCE_DOCUMENT).option("multiLine", True).json(path)
+    documents = (
+        spark.read.schema(REFERENCE_DOCUMENT)
+        .option("multiLine", True)
+        .option("mode", "FAILFAST")
+        .json(path)
+    )
     return documents.select("competition_code", F.explode("teams").alias("t")).select(
         "competition_code",
         F.col("t.football_data_team_id").cast("bigint").alias("team_id"),

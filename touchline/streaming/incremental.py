@@ -43,6 +43,7 @@ def ingest_new_snapshots(
     (
         spark.readStream.schema(document_schema(dataset))
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("mode", "FAILFAST")
         .json(f"{raw_root}/{dataset}")
         .writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
