@@ -234,7 +234,6 @@ def _incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
-    rules = contracts
     return {
         "stg_matches": _model(MATCHES),
         "stg_teams": _model(TEAMS),
@@ -287,12 +286,12 @@ def queries() -> dict[str, Query]:
         "fixture_matrix_wide": _on(
             season.fixture_matrix_wide, MATCHES, CURRENT, away_codes=driver.AWAY_CODES
         ),
-        "dq_not_null": _contract(rules.not_null_rules()),
-        "dq_unique": _contract(rules.unique_rules()),
+        "dq_not_null": _contract(contracts.not_null_rules()),
+        "dq_unique": _contract(contracts.unique_rules()),
         # L2 is deliberately not among the served competitions, so the check has failures.
-        "dq_accepted": _contract(rules.accepted_rules(["L0", "L1"])),
-        "dq_relationships": _contract(rules.relationship_rules()),
-        "dq_row_rules": _contract(rules.ROW_RULES),
+        "dq_accepted": _contract(contracts.accepted_rules(["L0", "L1"])),
+        "dq_relationships": _contract(contracts.relationship_rules()),
+        "dq_row_rules": _contract(contracts.ROW_RULES),
         "dq_violating_rows": _dq_violating_rows,
         "dq_duplicate_keys": _dq_duplicate_keys,
         "dq_orphan_keys": _dq_orphan_keys,

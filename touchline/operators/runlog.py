@@ -10,11 +10,6 @@ from touchline.functions.clock import seconds_between, utc_label
 # Event kinds and the values the folded log shows.
 START, STAGE, SUCCESS, FAILED = "START", "STAGE", "SUCCESS", "FAILED"
 
-RUN_COLUMNS = [
-    "run_id", "competition_code", "started_at", "finished_at", "status", "current_stage",
-    "failed_stage", "duration_seconds", "error_message",
-]
-
 
 def fold_runs(events: DataFrame) -> DataFrame:
     """Current state of every run.
