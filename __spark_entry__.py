@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -232,8 +233,8 @@ def _incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- registry -----------------------------------------------------------------------
 
 
-def queries() -> dict[str, Query]:
-    """Every registered query by name."""
+def core_queries() -> dict[str, Query]:
+    """The league queries by name."""
     return {
         "stg_matches": _model(MATCHES),
         "stg_teams": _model(TEAMS),
@@ -313,13 +314,44 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _present(module: str) -> bool:
+    try:
+        return find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+def has_text_operators() -> bool:
+    """The text operators and their pipeline are an optional part of the library."""
+    return _present("touchline.llm.queries") and _present("corpus_pipeline")
+
+
+def queries() -> dict[str, Query]:
+    """Every registered query by name."""
+    found = core_queries()
+    if has_text_operators():
+        import corpus_pipeline
+        from touchline.llm.queries import QUERIES
+
+        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: league position after every completed round."""
     return queries()["position_history"](spark, "/root/testdata/sf0.001")
 
 
 def oracle_sql() -> dict[str, str]:
-    """Equivalent SQL for every registered query."""
+    """Equivalent SQL for every league query and for the text queries that SQL can express."""
     from oracle_queries import ORACLE
 
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    if has_text_operators():
+        import corpus_pipeline
+        from touchline.llm.oracle import ORACLE as TEXT_ORACLE
+
+        found |= TEXT_ORACLE
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = entry.core_queries()
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 def check(spark, folder, name):
