@@ -19,9 +19,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES_FILES))
+@pytest.mark.parametrize("name", sorted(set(entry.core_queries()) - WRITES_FILES))
 def test_no_slow_operators(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(entry.core_queries()[name](spark, sf_dir))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "ArrowEvalPython", "BatchEvalPython"):
         assert bad not in text
 
