@@ -10,8 +10,9 @@ indexed once per position left out, and a pair within the distance always shares
 Buckets never emit all pairs. First every member is paired with the bucket's smallest and
 largest member; confirmed links give components. Then only pairs across components are left:
 within a bucket, members outside its most frequent component meet the members of other
-components. A pair inside one component needs no check, so no component is lost, and each
-link used has been confirmed on the full sets.
+components, unless shingles that no other member has rule a link out. Buckets with many such
+pairs are checked in blocks of members, without a row per pair. A pair inside one component
+needs no check, so no component is lost, and each link used has been confirmed on full sets.
 
 Texts that are null or without words have no set and are linked with nothing. Texts with fewer
 words than ``width`` have one shingle. Repeated rows fall into one class and are returned one
@@ -39,6 +40,13 @@ DOC_BITS = 12  # documents of one slice; the other bits of a sort key hold the s
 SLICE = 1 << DOC_BITS
 BLOCK = 1 << 16
 WIDTH, PERCENT = 5, 80
+SALTS = (0x51ED270B, 0xB5297A4D)  # of the two hashes that identify a set
+FIRST_KEYS = 4  # of a signature's keys, in the first search across components
+DENSE = 1024  # pairs across components in a bucket, above which they are checked in blocks
+BLOCK_MEMBERS = 256
+
+# Keys in an order that spreads over the chunks.
+POSITION_ORDER = np.arange(POSITIONS) * 29 % POSITIONS
 
 _FACTORS = np.random.default_rng(7).integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -126,7 +134,7 @@ def _signed(width: int):
                 h1, h2 = np.zeros((2, len(n)), np.int64)
                 rows = np.zeros((len(n), POSITIONS), np.uint16)
                 if len(full):
-                    h1[full], h2[full] = (_sums(values, places[full], salt) for salt in (0x51ED270B, 0xB5297A4D))
+                    h1[full], h2[full] = (_sums(values, places[full], salt) for salt in SALTS)
                     rows[full] = signatures(values, np.append(places[full], len(values)))
                 columns = [batch["doc_id"], batch["body"], pa.array(n), pa.array(h1), pa.array(h2), _binary(rows)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "body", "n", "h1", "h2", "signature"])
@@ -134,22 +142,29 @@ def _signed(width: int):
     return run
 
 
+def keys_of(rows: np.ndarray, plan: Plan) -> np.ndarray:
+    """The keys of signatures, one per position left out of its chunk, in search order."""
+    out = np.empty((len(rows), POSITIONS), np.uint64)
+    for chunk in plan.chunks:
+        for left_out in chunk:
+            key = np.full(len(rows), int(left_out) + 1, np.uint64)
+            for k in chunk[chunk != left_out]:
+                key = mix64(key * np.uint64(0xC2B2AE3D27D4EB4F) + rows[:, k].astype(np.uint64))
+            out[:, POSITION_ORDER[left_out]] = key
+    return out
+
+
 def _keyed(plan: Plan):
-    """(cid, signature) -> (key, cid), one per chunk and position left out."""
+    """(cid, signature) -> (number, key, cid), one per key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cid = batch["cid"].to_numpy()
-            rows = _matrix(batch["signature"])
-            for number, chunk in enumerate(plan.chunks):
-                for left_out in chunk:
-                    key = np.full(len(rows), (number << 32) + int(left_out) + 1, np.uint64)
-                    for k in chunk[chunk != left_out]:
-                        key = mix64(key * np.uint64(0xC2B2AE3D27D4EB4F) + rows[:, k].astype(np.uint64))
-                    columns = [pa.array(key.view(np.int64)), pa.array(cid)]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "cid"])
+            keys = keys_of(_matrix(batch["signature"]), plan).view(np.int64)
+            for number in range(POSITIONS):
+                columns = [pa.array(np.full(len(keys), number, np.int32)), pa.array(keys[:, number].copy()), batch["cid"]]
+                yield pa.RecordBatch.from_arrays(columns, ["number", "key", "cid"])
 
     return run
 
@@ -164,11 +179,18 @@ def _differences(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((_matrix(a) != _matrix(b)).sum(axis=1).astype(np.int32))
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column, and where each list begins."""
+    places = column.offsets.to_numpy()
+    return column.values.to_numpy(), places
+
+
 def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     """Size of the intersection of two sorted sets, row by row."""
+    (x, at), (y, by) = _lists(a), _lists(b)
     out = np.zeros(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a, b)):
-        both = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)])
+    for i in range(len(a)):
+        both = np.concatenate([x[at[i] : at[i + 1]], y[by[i] : by[i + 1]]])
         both.sort()
         out[i] = np.count_nonzero(both[1:] == both[:-1])
     return pa.array(out)
@@ -178,57 +200,175 @@ _differences.__annotations__ = _shared.__annotations__ = {"a": pa.Array, "b": pa
 
 
 def _set_column(width: int):
+    """(cid, h1, h2, text) -> (cid, shingles), for the rows whose text has the class's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(begin, SLICE)
                 values, places = shingle_sets(batch["text"], width)
-                h1, h2 = (np.zeros(batch.num_rows, np.int64) for _ in range(2))
+                h1, h2 = np.zeros((2, batch.num_rows), np.int64)
                 full = np.flatnonzero(np.diff(places))
                 if len(full):
-                    h1[full], h2[full] = (_sums(values, places[full], salt) for salt in (0x51ED270B, 0xB5297A4D))
-                same = np.flatnonzero((h1 == batch["h1"].to_numpy()) & (h2 == batch["h2"].to_numpy()))
-                sets = pa.array([values[places[i] : places[i + 1]].tobytes() for i in same], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch["cid"].take(pa.array(same)), sets], ["cid", "shingles"])
+                    h1[full], h2[full] = (_sums(values, places[full], salt) for salt in SALTS)
+                same = (h1 == batch["h1"].to_numpy()) & (h2 == batch["h2"].to_numpy())
+                sets = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(values.view(np.int64)))
+                at = pa.array(np.flatnonzero(same))
+                yield pa.RecordBatch.from_arrays([batch["cid"].take(at), sets.take(at)], ["cid", "shingles"])
 
     return run
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, plan: Plan) -> DataFrame:
+def _sets(members: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(cid) -> (cid, shingles), computed anew from one document of each class."""
+    whose = classes.join(members, "cid").select("cid", F.col("doc_id").alias("rep"), "h1", "h2")
+    texts = docs.join(whose, docs["doc_id"].eqNullSafe(whose["rep"])).select("cid", "h1", "h2", "text")
+    return texts.mapInArrow(_set_column(width), "cid long, shingles array<long>")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     """Pairs (u, v) of classes that are within the signature distance and, on full sets, linked."""
     side = classes.select("cid", "n", "signature")
     u, v = (side.toDF(name, f"n_{name}", f"s_{name}") for name in ("u", "v"))
     percent = plan.percent
     sizes = 100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")
     near = F.arrow_udf(_differences, "int")(F.col("s_u"), F.col("s_v")) <= plan.distance
-    close = staged(pairs.join(u, "u").join(v, "v").filter(sizes).filter(near).select("u", "v", "n_u", "n_v"))
-    wanted = close.select(F.explode(F.array("u", "v")).alias("cid")).distinct()
-    whose = classes.join(wanted, "cid").select("cid", F.col("doc_id").alias("rep"), "h1", "h2")
-    texts = docs.join(whose, docs["doc_id"].eqNullSafe(whose["rep"])).select("cid", "h1", "h2", "text")
-    sets = staged(texts.mapInArrow(_set_column(width), "cid long, shingles binary"))
+    close = pairs.join(u, "u").join(v, "v").filter(sizes).filter(near).select("u", "v", "n_u", "n_v")
     a, b = (sets.toDF(name, f"set_{name}") for name in ("u", "v"))
     shared = F.arrow_udf(_shared, "long")(F.col("set_u"), F.col("set_v"))
     linked = close.join(a, "u").join(b, "v").select("u", "v", (F.col("n_u") + F.col("n_v")).alias("n"), shared.alias("shared"))
     return linked.filter(100 * F.col("shared") >= percent * (F.col("n") - F.col("shared"))).select("u", "v").distinct()
 
 
-def _across(buckets: DataFrame, stars: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of bucket members that are in different components and not yet tested."""
-    labelled = buckets.join(stars.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "key", "cid", F.coalesce("root", "cid").alias("comp")
+def _mixed(buckets: DataFrame, stars: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: number, key, cid, comp, ``most``
+    (the component with most members), the bucket's size, and if it has many pairs to check."""
+    marked = buckets.join(stars.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "number", "key", "cid", F.coalesce("root", "cid").alias("comp")
+    )
+    counts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("key").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("most"),
+        F.sum("n").alias("size"),
+        (F.sum("n") * (F.sum("n") - F.max("n")) > DENSE).alias("dense"),
+        F.count("*").alias("comps"),
+    )
+    return marked.join(largest.filter(F.col("comps") > 1).drop("comps"), "key")
+
+
+def _own(cids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cid) -> (cid, own): how many of its shingles no other of them has."""
+    each = sets.join(cids, "cid").select("cid", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("cid").alias("cid")).filter("n = 1")
+    return alone.groupBy("cid").agg(F.count("*").alias("own"))
+
+
+def _possible(n: Column, sharable: Column, other_n: Column, other_sharable: Column, percent: int) -> Column:
+    """Whether a pair can reach the threshold: shingles no other member has are not shared."""
+    common = F.least(sharable, other_sharable)
+    return 100 * common >= percent * (n + other_n - common)
+
+
+def _across(mixed: DataFrame, facts: DataFrame, tested: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs of bucket members in different components that may be linked, and are not tested."""
+    known = mixed.join(facts.select("cid", "n", "sharable"), "cid")
+    few = known.filter(F.col("comp") != F.col("most")).select(
+        "key", F.col("cid").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("sharable").alias("mx")
+    )
+    every = known.select(
+        "key", "most", F.col("cid").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("sharable").alias("my")
     )
-    counts = labelled.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.count("*").alias("comps"))
-    mixed = staged(labelled.join(largest.filter(F.col("comps") > 1).drop("comps"), "key"))
-    few = mixed.filter(F.col("comp") != F.col("most")).select("key", F.col("cid").alias("x"), F.col("comp").alias("cx"))
-    every = mixed.select("key", F.col("cid").alias("y"), F.col("comp").alias("cy"), "most")
     # Of two members outside the largest component, the smaller id leads.
     once = (F.col("cy") == F.col("most")) | (F.col("x") < F.col("y"))
-    pairs = few.join(every, "key").filter((F.col("cx") != F.col("cy")) & once)
+    possible = _possible(F.col("nx"), F.col("mx"), F.col("ny"), F.col("my"), plan.percent)
+    pairs = few.join(every, "key").filter((F.col("cx") != F.col("cy")) & once & possible)
     pairs = pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
     return pairs.join(tested, ["u", "v"], "left_anti")
 
 
+class _Block:
+    """Members of a block row as arrays."""
+
+    def __init__(self, column: pa.Array, row: int):
+        rows = column.values.slice(column.offsets[row].as_py(), column.offsets[row + 1].as_py() - column.offsets[row].as_py())
+        self.cid, self.comp, self.n, self.sharable = (
+            rows.field(i).to_numpy() for i in range(4)
+        )
+        self.signatures = _matrix(rows.field(4))
+        self.values, self.places = _lists(rows.field(5))
+
+    def shingles(self, i: int) -> np.ndarray:
+        return self.values[self.places[i] : self.places[i + 1]]
+
+
+def _block_links(number: int, one: _Block, two: _Block, same: bool, plan: Plan) -> list[dict]:
+    """Links between components, found by checking every candidate pair of two blocks.
+
+    A pair is checked in the bucket of its first shared key only, and not if links found
+    before join its components.
+    """
+    a, b = one.n[:, None], two.n[None, :]
+    common = np.minimum(one.sharable[:, None], two.sharable[None, :])
+    wanted = (one.comp[:, None] != two.comp[None, :]) & (100 * common >= plan.percent * (a + b - common))
+    if same:
+        wanted &= np.arange(len(one.cid))[:, None] < np.arange(len(two.cid))
+    i, j = np.nonzero(wanted)
+    near = (one.signatures[i] != two.signatures[j]).sum(axis=1) <= plan.distance
+    i, j = i[near], j[near]
+    keys, others = keys_of(one.signatures, plan), keys_of(two.signatures, plan)
+    first = (keys[i, : number + 1] == others[j, : number + 1]).argmax(axis=1) == number
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in parent:
+            x = parent[x]
+        return x
+
+    links = []
+    for p, q in zip(i[first], j[first]):
+        r, t = root(int(one.comp[p])), root(int(two.comp[q]))
+        if r == t:
+            continue
+        both = np.concatenate([one.shingles(p), two.shingles(q)])
+        both.sort()
+        shared = np.count_nonzero(both[1:] == both[:-1])
+        if 100 * shared >= plan.percent * (len(both) - shared):
+            parent[max(r, t)] = min(r, t)
+            links.append({"u": int(one.cid[p]), "v": int(two.cid[q])})
+    return links
+
+
+def _dense(mixed: DataFrame, facts: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Links across components in buckets with many pairs to check.
+
+    Members are gathered in blocks of about BLOCK_MEMBERS; two blocks are one row, whose pairs
+    are checked in place, so a large bucket makes blocks but no row per pair.
+    """
+    count = F.ceil(F.col("size") / BLOCK_MEMBERS)
+    cells = F.struct("cid", "comp", "n", "sharable", "signature", "shingles")
+    blocks = (
+        mixed.join(facts, "cid")
+        .filter(100 * F.col("sharable") >= plan.percent * F.col("n"))
+        .join(sets, "cid")
+        .withColumn("block", F.pmod(F.xxhash64("cid"), count))
+        .groupBy("number", "key", "block")
+        .agg(F.collect_list(cells).alias("members"))
+    )
+
+    def check(number: pa.Array, same: pa.Array, one: pa.Array, two: pa.Array) -> pa.Array:
+        found = [
+            _block_links(number[r].as_py(), _Block(one, r), _Block(two, r), same[r].as_py(), plan) for r in range(len(number))
+        ]
+        return pa.array(found, pa.list_(pa.struct([("u", pa.int64()), ("v", pa.int64())])))
+
+    check.__annotations__ = {"number": pa.Array, "same": pa.Array, "one": pa.Array, "two": pa.Array, "return": pa.Array}
+    left = blocks.select("number", "key", F.col("block").alias("i"), F.col("members").alias("one"))
+    right = blocks.select("key", F.col("block").alias("j"), F.col("members").alias("two"))
+    pairs = left.join(right, "key").filter("i <= j")
+    links = F.arrow_udf(check, "array<struct<u:long,v:long>>")("number", F.col("i") == F.col("j"), "one", "two")
+    return pairs.select(F.explode(links).alias("link")).select("link.u", "link.v").distinct()
+
+
 def _body(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -248,17 +388,28 @@ def labelled(
         groups.select("cid", "least").join(rows.withColumnRenamed("row_id", "cid"), "cid")
         .select("cid", "least", "doc_id", "n", "h1", "h2", "signature")
     )
-    keys = classes.select("cid", "signature").mapInArrow(_keyed(plan), "key long, cid long")
+    keys = classes.select("cid", "signature").mapInArrow(_keyed(plan), "number int, key long, cid long")
     ends = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
     buckets = staged(keys.join(ends, "key"))
-    star = F.explode(F.array("low", "high"))
-    first = buckets.select("cid", star.alias("hub")).filter("cid <> hub")
-    tested = staged(first.select(F.least("cid", "hub").alias("u"), F.greatest("cid", "hub").alias("v")).distinct())
-    links = staged(confirmed(tested, classes, docs, width, plan))
-    stars = components(links)
-    rest = staged(_across(buckets.select("key", "cid"), stars, tested))
-    more = staged(confirmed(rest, classes, docs, width, plan))
-    stars = components(stars.toDF("u", "v").unionByName(more))
+    sets = staged(_sets(buckets.select("cid").distinct(), classes, docs, width))
+    star = buckets.select("cid", F.explode(F.array("low", "high")).alias("hub")).filter("cid <> hub")
+    tested = staged(star.select(F.least("cid", "hub").alias("u"), F.greatest("cid", "hub").alias("v")).distinct())
+    stars = components(confirmed(tested, classes, sets, plan))
+    # A linked pair shares about half of its keys: a few keys find most links across components,
+    # and the search over all keys then meets few components that are still apart.
+    members = buckets.select("number", "key", "cid")
+    apart = staged(_mixed(members, stars).select("cid").distinct())
+    facts = staged(
+        classes.join(apart, "cid").join(_own(apart, sets), "cid", "left")
+        .select("cid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("sharable"), "signature")
+    )
+    early = F.col("number") < FIRST_KEYS
+    for searched in (members.filter(early), members.filter(~early)):
+        mixed = staged(_mixed(searched, stars))
+        rest = staged(_across(mixed.filter(~F.col("dense")), facts, tested, plan))
+        links = confirmed(rest, classes, sets, plan).unionByName(_dense(mixed.filter("dense"), facts, sets, plan))
+        stars = components(stars.toDF("u", "v").unionByName(links))
+        tested = tested.unionByName(rest)
     rooted = classes.join(stars.withColumnRenamed("node", "cid"), "cid", "left").select(
         "h1", "h2", "least", F.coalesce("root", "cid").alias("root")
     )
