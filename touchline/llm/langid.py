@@ -180,7 +180,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, crf.Crf, lis
     table = spark.sparkContext.broadcast(lexicon(counts))
     keep = min(1.0, sample / max(1, sum(per_language.values())))
     picked = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(keep * (1 << 30))
-    part = rows.filter(picked).select("lang", "text").repartition(PARTS, F.xxhash64("text"))
+    part = rows.filter(picked).select("lang", "text").repartition(PARTS)
     for _ in range(ROUNDS):
         trained = part.mapInArrow(_trained(table, model, labels), "n long, parameters array<double>").collect()
         model = crf.mixed(model, [(r["n"], r["parameters"]) for r in trained])

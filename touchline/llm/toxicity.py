@@ -214,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     limit = int(min(1.0, sample / max(1.0, labelled * (FOLDS - 1) / FOLDS)) * (1 << 30))
     part = training_rows(
         docs.withColumnRenamed(key, "doc_id").filter(picked < limit), labels.filter(picked < limit), text
-    ).select("toxic", "text").repartition(PARTS, F.xxhash64("text"))
+    ).select("toxic", "text").repartition(PARTS)
     part = part.persist()
     field, schema = crf.Crf.blank(K, 2), "n long, parameters array<double>"
     for _ in range(ROUNDS):
