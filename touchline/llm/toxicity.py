@@ -191,7 +191,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", key: s
     texts = docs.filter(crc_bucket(F.col(key), FOLDS) != HELD_OUT).select(
         F.col(key).alias("doc_id"), F.col(text).alias("text")
     )
-    return texts.join(marked, "doc_id").select("doc_id", "toxic", "text")
+    # The same plan at every size: texts are dealt by id, labels are never sent whole.
+    return texts.join(marked.hint("merge"), "doc_id").select("doc_id", "toxic", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
