@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.llm.common import staged
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -119,6 +121,7 @@ def assign(
         *([F.xxhash64(F.col(text)).alias("tie")] if carry else [F.lit(0).cast("long").alias("tie")]),
         *carried,
     ).withColumn("block", F.substring("shuffled", 1, PREFIX))
+    sized = staged(sized)  # words are counted once; the later scans read the narrow columns
     keys = ["source_key", "block"]
     blocks = sized.groupBy(*keys).agg(F.sum("size").alias("words"))
     wanted = targets(blocks.groupBy("source_key").agg(F.sum("words").alias("source_size")), weights, share, repeat)
