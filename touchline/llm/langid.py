@@ -138,7 +138,7 @@ def _predicted(table, model: crf.Crf, names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total, words = np.zeros((batch.num_rows, len(names))), np.zeros(batch.num_rows)
+            total, words = np.zeros((batch.num_rows, max(len(names), 1))), np.zeros(batch.num_rows)
             scores, docs = [], []
             for piece in pieces(batch["text"], LETTERS):
                 if len(piece.start):
@@ -152,8 +152,8 @@ def _predicted(table, model: crf.Crf, names: list[str]):
                 for label in range(len(names)):
                     total[:, label] = np.bincount(doc, each[:, label], batch.num_rows)
             mean = total / np.maximum(words, 1)[:, None]
-            known = batch["letters"].to_numpy(zero_copy_only=False).astype(bool) & (words > 0)
-            best = mean.argmax(axis=1) if len(names) else np.zeros(batch.num_rows, int)
+            known = batch["letters"].to_numpy(zero_copy_only=False).astype(bool) & (words > 0) & bool(names)
+            best = mean.argmax(axis=1)
             language = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
             score = np.where(known, mean[np.arange(len(best)), best], 0.0).clip(0, 1)
             yield pa.RecordBatch.from_arrays(
