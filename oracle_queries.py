@@ -125,32 +125,24 @@ WITH stg_matches0 AS (
   SELECT s.* FROM stg_standings s
   WHERE snapshot_date = (SELECT max(x.snapshot_date) FROM stg_standings x
     WHERE x.competition_code = s.competition_code AND x.season_id = s.season_id)
-), derived AS (
-  SELECT competition_code, season_id, team_id,
-    count(*) AS played,
-    sum(CASE WHEN team_result = 'W' THEN 1 ELSE 0 END) AS won,
-    sum(CASE WHEN team_result = 'D' THEN 1 ELSE 0 END) AS drawn,
-    sum(CASE WHEN team_result = 'L' THEN 1 ELSE 0 END) AS lost,
-    sum(points_earned) AS points, sum(goals_for) AS goals_for, sum(goals_against) AS goals_against
+), booked AS (
+  SELECT competition_code, season_id, team_id, count(*) AS n, count(*) FILTER (team_result = 'W') AS w,
+    count(*) FILTER (team_result = 'D') AS d, count(*) FILTER (team_result = 'L') AS l,
+    sum(points_earned) AS pts, sum(goals_for) AS f, sum(goals_against) AS a
   FROM int_team_match_results GROUP BY ALL
+), paired AS (
+  SELECT latest.*, list_transform([n, w, d, l, pts, f, a], lambda x: CAST(coalesce(x, 0) AS BIGINT)) AS own
+  FROM latest LEFT JOIN booked USING (competition_code, season_id, team_id)
 ), int_standings_reconciliation AS (
-  SELECT s.competition_id, s.competition_code, s.season_id, s.snapshot_date, s.snapshot_matchday, s.team_id,
-    s.played AS official_played, CAST(coalesce(d.played, 0) AS BIGINT) AS derived_played,
-    s.won AS official_won, CAST(coalesce(d.won, 0) AS BIGINT) AS derived_won,
-    s.drawn AS official_drawn, CAST(coalesce(d.drawn, 0) AS BIGINT) AS derived_drawn,
-    s.lost AS official_lost, CAST(coalesce(d.lost, 0) AS BIGINT) AS derived_lost,
-    s.points AS official_points, CAST(coalesce(d.points, 0) AS BIGINT) AS derived_points,
-    s.goals_for AS official_goals_for, CAST(coalesce(d.goals_for, 0) AS BIGINT) AS derived_goals_for,
-    s.goals_against AS official_goals_against, CAST(coalesce(d.goals_against, 0) AS BIGINT) AS derived_goals_against,
-    CAST(s.played - coalesce(d.played, 0) AS BIGINT) AS played_delta,
-    CAST(s.points - coalesce(d.points, 0) AS BIGINT) AS points_delta,
-    CAST(s.goals_for - coalesce(d.goals_for, 0) AS BIGINT) AS goals_for_delta,
-    CAST(s.goals_against - coalesce(d.goals_against, 0) AS BIGINT) AS goals_against_delta,
-    CASE WHEN s.played = coalesce(d.played, 0) AND s.points = coalesce(d.points, 0)
-      AND s.goals_for = coalesce(d.goals_for, 0) AND s.goals_against = coalesce(d.goals_against, 0)
-      THEN true ELSE false END AS is_reconciled
-  FROM latest s LEFT JOIN derived d
-    ON s.competition_code = d.competition_code AND s.season_id = d.season_id AND s.team_id = d.team_id
+  SELECT competition_id, competition_code, season_id, snapshot_date, snapshot_matchday, team_id,
+    played AS official_played, won AS official_won, drawn AS official_drawn, lost AS official_lost,
+    points AS official_points, goals_for AS official_goals_for, goals_against AS official_goals_against,
+    own[1] AS derived_played, own[2] AS derived_won, own[3] AS derived_drawn, own[4] AS derived_lost,
+    own[5] AS derived_points, own[6] AS derived_goals_for, own[7] AS derived_goals_against,
+    played - own[1] AS played_delta, points - own[5] AS points_delta,
+    goals_for - own[6] AS goals_for_delta, goals_against - own[7] AS goals_against_delta,
+    (played, points, goals_for, goals_against) IS NOT DISTINCT FROM (own[1], own[5], own[6], own[7]) AS is_reconciled
+  FROM paired
 ), mart_current_standings AS (
   SELECT s.competition_code || '-' || CAST(s.season_id AS VARCHAR) || '-' || CAST(s.team_id AS VARCHAR)
       || '-' || s.snapshot_date AS standings_key,
@@ -162,24 +154,28 @@ WITH stg_matches0 AS (
   JOIN stg_teams t ON s.competition_code = t.competition_code AND s.team_id = t.team_id
   LEFT JOIN int_standings_reconciliation r ON s.competition_code = r.competition_code
     AND s.season_id = r.season_id AND s.team_id = r.team_id AND s.snapshot_date = r.snapshot_date
-), performance0 AS (
-  SELECT competition_id, competition_code, season_id, team_id,
-    count(*) AS played,
-    CAST(sum(CASE WHEN team_result = 'W' THEN 1 ELSE 0 END) AS BIGINT) AS won,
-    CAST(sum(CASE WHEN team_result = 'D' THEN 1 ELSE 0 END) AS BIGINT) AS drawn,
-    CAST(sum(CASE WHEN team_result = 'L' THEN 1 ELSE 0 END) AS BIGINT) AS lost,
-    CAST(sum(points_earned) AS BIGINT) AS points,
-    CAST(sum(goals_for) AS BIGINT) AS goals_for,
-    CAST(sum(goals_against) AS BIGINT) AS goals_against,
-    CAST(sum(goals_for) - sum(goals_against) AS BIGINT) AS goal_difference,
-    round(sum(points_earned) * 1.0 / nullif(count(*), 0), 3) AS points_per_game,
-    round(avg(goals_for), 3) AS goals_for_per_game,
-    round(avg(goals_against), 3) AS goals_against_per_game,
-    CAST(sum(CASE WHEN venue = 'HOME' THEN 1 ELSE 0 END) AS BIGINT) AS home_played,
-    CAST(sum(CASE WHEN venue = 'HOME' THEN points_earned ELSE 0 END) AS BIGINT) AS home_points,
-    CAST(sum(CASE WHEN venue = 'AWAY' THEN 1 ELSE 0 END) AS BIGINT) AS away_played,
-    CAST(sum(CASE WHEN venue = 'AWAY' THEN points_earned ELSE 0 END) AS BIGINT) AS away_points
+), by_venue AS (
+  SELECT competition_id, competition_code, season_id, team_id, venue, count(*) AS n,
+    list(team_result) AS results,
+    sum(points_earned) AS pts, sum(goals_for) AS f, count(goals_for) AS fn,
+    sum(goals_against) AS a, count(goals_against) AS an
   FROM int_team_match_results GROUP BY ALL
+), outcomes AS (
+  SELECT *, len(list_filter(results, lambda x: x = 'W')) AS w,
+    len(list_filter(results, lambda x: x = 'D')) AS d,
+    len(list_filter(results, lambda x: x = 'L')) AS l FROM by_venue
+), performance0 AS (
+  SELECT competition_id, competition_code, season_id, team_id, CAST(sum(n) AS BIGINT) AS played,
+    CAST(sum(w) AS BIGINT) AS won, CAST(sum(d) AS BIGINT) AS drawn, CAST(sum(l) AS BIGINT) AS lost,
+    CAST(sum(pts) AS BIGINT) AS points, CAST(sum(f) AS BIGINT) AS goals_for, CAST(sum(a) AS BIGINT) AS goals_against,
+    CAST(sum(f) - sum(a) AS BIGINT) AS goal_difference, round(CAST(sum(pts) AS DOUBLE) / sum(n), 3) AS points_per_game,
+    round(CAST(sum(f) AS DOUBLE) / sum(fn), 3) AS goals_for_per_game,
+    round(CAST(sum(a) AS DOUBLE) / sum(an), 3) AS goals_against_per_game,
+    CAST(coalesce(sum(n) FILTER (venue = 'HOME'), 0) AS BIGINT) AS home_played,
+    CAST(coalesce(sum(pts) FILTER (venue = 'HOME'), 0) AS BIGINT) AS home_points,
+    CAST(coalesce(sum(n) FILTER (venue = 'AWAY'), 0) AS BIGINT) AS away_played,
+    CAST(coalesce(sum(pts) FILTER (venue = 'AWAY'), 0) AS BIGINT) AS away_points
+  FROM outcomes GROUP BY ALL
 ), mart_team_performance AS (
   SELECT a.competition_code || '-' || CAST(a.season_id AS VARCHAR) || '-' || CAST(a.team_id AS VARCHAR)
       AS team_performance_key,
@@ -212,22 +208,23 @@ WITH stg_matches0 AS (
     CAST(sum(CASE WHEN status = 'FINISHED' THEN 1 ELSE 0 END) AS BIGINT) AS finished_matches
   FROM stg_matches WHERE matchday IS NOT NULL GROUP BY ALL
 ), completed_matchdays AS (
-  SELECT c.* FROM matchday_status c
-  WHERE c.total_matches = c.finished_matches AND NOT EXISTS (
-    SELECT 1 FROM matchday_status e WHERE e.competition_code = c.competition_code
-      AND e.season_id = c.season_id AND e.matchday < c.matchday
-      AND e.total_matches <> e.finished_matches)
+  SELECT * EXCLUDE (barrier) FROM (
+    SELECT *, min(matchday) FILTER (finished_matches < total_matches)
+      OVER (PARTITION BY competition_code, season_id) AS barrier FROM matchday_status)
+  WHERE barrier IS NULL OR matchday < barrier
+), round_totals AS (
+  SELECT competition_code, season_id, team_id, matchday, count(*) AS n, sum(points_earned) AS pts,
+    sum(goals_for) AS f, sum(goals_against) AS a FROM int_team_match_results GROUP BY ALL
 ), cumulative AS (
-  SELECT md.competition_code, md.season_id, md.matchday, t.team_id, t.short_name, t.tla, t.sportsdb_badge_url,
-    count(r.match_id) AS played,
-    CAST(coalesce(sum(r.points_earned), 0) AS BIGINT) AS points,
-    CAST(coalesce(sum(r.goals_for), 0) AS BIGINT) AS goals_for,
-    CAST(coalesce(sum(r.goals_against), 0) AS BIGINT) AS goals_against
-  FROM completed_matchdays md
-  JOIN mart_current_standings t ON t.competition_code = md.competition_code AND t.season_id = md.season_id
-  LEFT JOIN int_team_match_results r ON r.competition_code = md.competition_code
-    AND r.season_id = md.season_id AND r.team_id = t.team_id AND r.matchday <= md.matchday
-  GROUP BY ALL
+  SELECT competition_code, season_id, matchday, team_id, short_name, tla, sportsdb_badge_url,
+    CAST(coalesce(sum(n) OVER so_far, 0) AS BIGINT) AS played,
+    CAST(coalesce(sum(pts) OVER so_far, 0) AS BIGINT) AS points,
+    CAST(coalesce(sum(f) OVER so_far, 0) AS BIGINT) AS goals_for,
+    CAST(coalesce(sum(a) OVER so_far, 0) AS BIGINT) AS goals_against
+  FROM completed_matchdays
+  JOIN mart_current_standings USING (competition_code, season_id)
+  LEFT JOIN round_totals USING (competition_code, season_id, team_id, matchday)
+  WINDOW so_far AS (PARTITION BY competition_code, season_id, team_id ORDER BY matchday)
 ), position_history AS (
   SELECT competition_code, season_id, matchday, team_id, short_name, tla, sportsdb_badge_url,
     CAST(rank() OVER (PARTITION BY competition_code, season_id, matchday
@@ -464,10 +461,12 @@ ORACLE: dict[str, str] = {
       UNION SELECT competition_code, season_id, away_team FROM mart_match_explorer""",
     "recent_matches": f"""{TABLES} SELECT competition_code, season_id, match_id, matchday, utc_date, home_team,
       home_badge_url, away_team, away_badge_url, home_score, away_score FROM mart_match_explorer
-      WHERE status = 'FINISHED' ORDER BY utc_date DESC, match_id DESC LIMIT 8""",
+      WHERE status = 'FINISHED' QUALIFY row_number() OVER (PARTITION BY competition_code, season_id
+        ORDER BY utc_date DESC NULLS LAST, match_id DESC) <= 8""",
     "upcoming_matches": f"""{TABLES} SELECT competition_code, season_id, match_id, matchday, utc_date, home_team,
       home_badge_url, away_team, away_badge_url, status FROM mart_match_explorer
-      WHERE status IN ('SCHEDULED', 'TIMED') ORDER BY utc_date, match_id LIMIT 8""",
+      WHERE status IN ('SCHEDULED', 'TIMED') QUALIFY row_number() OVER (PARTITION BY competition_code, season_id
+        ORDER BY utc_date NULLS LAST, match_id) <= 8""",
     "match_status_summary": f"{TABLES} SELECT status, count(*) AS match_count FROM stg_matches GROUP BY status",
     "match_state_summary": f"""{TABLES} SELECT competition_code, season_id, match_state, count(*) AS matches
       FROM mart_match_explorer GROUP BY ALL""",
@@ -637,7 +636,9 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'fact_standing_snapshot', 'goal_difference', 'goal_difference = goals_for - goals_against',
         competition_code || '-' || CAST(season_id AS VARCHAR) || '-' || snapshot_date || '-'
           || CAST(team_id AS VARCHAR)
-      FROM stg_standings WHERE goal_difference <> goals_for - goals_against""",
+      FROM stg_standings WHERE goal_difference <> goals_for - goals_against
+      UNION ALL SELECT 'fact_match', 'home_team_id', 'home_team_id <> away_team_id', CAST(match_id AS VARCHAR)
+      FROM stg_matches WHERE home_team_id = away_team_id""",
     "dq_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
       WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
     "dq_orphan_keys": """SELECT c_custkey, count(*) AS rows FROM customer c WHERE c_custkey IS NOT NULL

@@ -286,11 +286,21 @@ def test_fixture_matrix(spark):
     assert {k: (v["cell"], v["outcome"]) for k, v in cells.items()} == {
         ("C1", "T2"): ("0–3", "away win"), ("C2", "T1"): ("1–1*", "draw"), ("C3", "T1"): ("·", "blank"),
     }
-    codes = season.league_codes(current, "PD", 1)
+    columns = season.matrix_columns(current)
+    codes = list(columns.values())
     assert codes == ["T1", "T2", "T3"]
-    wide = by(season.fixture_matrix_wide(table, current, codes).collect(), "home_team")
+    wide = by(season.fixture_matrix_wide(table, current, columns).collect(), "home_team")
     assert [wide["C1"][c] for c in codes] == ["—", "0–3", "·"]
     assert [wide["C3"][c] for c in codes] == ["·", "·", "—"]
+    # A missing or shared code loses no result.
+    from pyspark.sql import functions as F
+
+    for code, labels in ((F.lit(None).cast("string"), ["C1", "C2", "C3"]), (F.lit("T"), ["T (1)", "T (2)", "T (3)"])):
+        plain = current.withColumn("tla", code)
+        columns = season.matrix_columns(plain)
+        assert list(columns.values()) == labels
+        wide = by(season.fixture_matrix_wide(table, plain, columns).collect(), "home_team")
+        assert [wide["C1"][c] for c in labels] == ["—", "0–3", "·"]
 
 
 def test_highlights_rankings_and_zones(spark):

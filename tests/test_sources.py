@@ -118,7 +118,7 @@ def test_newest_snapshots_come_from_file_names(spark, tmp_path):
         rows = docs.flatten_standings(documents).select("competition_code", "position").collect()
         return sorted(map(tuple, rows))
 
-    joined = docs.only_snapshots(docs.scan(spark, raw, "standings"), found, limit=1)
+    joined = docs.only_snapshots(docs.scan(spark, raw, "standings"), found)
     assert positions(joined) == [("PD", 2), ("S A", 3)]
     # A malformed document in an older folder is never opened.
     (tmp_path / "standings" / "competition_code=PD" / "snapshot_date=2026-08-31" / "broken.json").write_text("{")
@@ -127,6 +127,22 @@ def test_newest_snapshots_come_from_file_names(spark, tmp_path):
     assert positions(newest) == [("PD", 2), ("S A", 3)]
 
 
+def test_documents_without_a_competition_are_kept(spark, tmp_path):
+    rows = [standing(1, 1), standing(1, 2, competition_code=None), standing(1, 3, competition_code=None, date="2026-09-01")]
+    docs.land(driver.standing_documents(standings(spark, rows)), str(tmp_path), "standings")
+    newest = docs.scan_newest(spark, str(tmp_path), "standings").collect()
+    got = {(r["competition_code"], r["snapshot_date"]) for r in newest}
+    assert len(newest) == 2 and got == {("PD", "2026-08-31"), (None, "2026-09-01")}
+
+
+def test_a_rejected_retry_leaves_readers_alone(spark, tmp_path):
+    root, rules = str(tmp_path), [Rule("clubs", "unique", "team_id")]
+    store.publish(spark, {"clubs": teams(spark, [1, 2])}, root, "v1", rules)
+    with pytest.raises(ContractError):
+        store.publish(spark, {"clubs": teams(spark, [1, 1, 1])}, root, "v1", rules)
+    assert store.read_published(spark, root, {"clubs": DIM_TEAM})["clubs"].count() == 2
+
+
 def test_rewriting_a_snapshot_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "table")
     first = standings(spark, [standing(1, 1, date="2026-08-30"), standing(1, 1, date="2026-08-31"), standing(2, 2, date="2026-08-31")])

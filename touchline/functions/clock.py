@@ -27,8 +27,9 @@ def seconds_between(start: Column, end: Column) -> Column:
 def zone_label(ts: Column, zone: str = DISPLAY_ZONE) -> Column:
     """Abbreviation for the zone's offset at that moment (true offset, never a constant)."""
     minutes = ((F.unix_micros(local_time(ts, zone)) - F.unix_micros(ts)) / F.lit(60e6)).cast("int")
+    size = F.abs(minutes)
     label = F.format_string(
-        "UTC%+03d:%02d", (minutes / 60).cast("int"), F.abs(minutes % 60).cast("int")
+        "UTC%s%02d:%02d", F.when(minutes < 0, "-").otherwise("+"), (size / 60).cast("int"), size % 60
     )
     for offset, name in ZONE_LABELS.items():
         label = F.when(minutes == offset, F.lit(name)).otherwise(label)

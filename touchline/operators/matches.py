@@ -15,6 +15,7 @@ from touchline.functions.outcomes import (
     scoreline,
 )
 from touchline.operators import LEAGUE
+from touchline.operators.standings import first_n
 
 
 def _club_columns(teams: DataFrame, side: str) -> DataFrame:
@@ -91,30 +92,30 @@ def fixtures_of(explorer: DataFrame, team_id: int) -> DataFrame:
 
 
 def recent_matches(matches: DataFrame, teams: DataFrame, limit: int = 8) -> DataFrame:
-    """Newest finished matches (one top-k pass, no full sort)."""
+    """Each league's newest finished matches, picked before the club names are joined."""
     finished = matches.filter(F.col("status") == FINISHED)
+    order = [F.col("utc_date").desc_nulls_last(), F.col("match_id").desc()]
     return (
-        with_clubs(finished, teams)
+        with_clubs(first_n(finished, LEAGUE, order, limit, "row_no"), teams)
         .select(
             *LEAGUE, "match_id", "matchday", "utc_date", "home_team", "home_badge_url",
             "away_team", "away_badge_url", "home_score", "away_score",
         )
-        .orderBy(F.col("utc_date").desc_nulls_last(), F.col("match_id").desc())
-        .limit(limit)
+        .orderBy(*LEAGUE, *order)
     )
 
 
 def upcoming_matches(matches: DataFrame, teams: DataFrame, limit: int = 8) -> DataFrame:
-    """Next scheduled matches."""
+    """Each league's next scheduled matches."""
     scheduled = matches.filter(F.col("status").isin(UPCOMING_STATUSES))
+    order = [F.col("utc_date").asc_nulls_last(), F.col("match_id")]
     return (
-        with_clubs(scheduled, teams)
+        with_clubs(first_n(scheduled, LEAGUE, order, limit, "row_no"), teams)
         .select(
             *LEAGUE, "match_id", "matchday", "utc_date", "home_team", "home_badge_url",
             "away_team", "away_badge_url", "status",
         )
-        .orderBy(F.col("utc_date").asc_nulls_last(), F.col("match_id"))
-        .limit(limit)
+        .orderBy(*LEAGUE, *order)
     )
 
 

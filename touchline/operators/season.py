@@ -70,43 +70,43 @@ def fixture_matrix(matches: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def fixture_matrix_wide(matches: DataFrame, current: DataFrame, away_codes: list[str]) -> DataFrame:
-    """The matrix as a table: one row per home club, one column per away club code.
+def matrix_columns(current: DataFrame) -> dict[int, str]:
+    """Away columns of the wide matrix: club id -> label, by label.
 
-    The column list is explicit, so the schema does not depend on the data and no extra
-    pass looks for pivot values. Every club of the table has a row; cells without a
-    fixture are blank and a club against itself is marked.
+    The label is the code, or else the short name or the id; clubs sharing a label get their
+    id added. One row per club comes to the driver: it is the width of the table asked for.
+    """
+    label = F.coalesce("tla", "short_name", F.col("team_id").cast("string"))
+    rows = current.groupBy("team_id").agg(F.min(label).alias("label")).orderBy("label", "team_id").collect()
+    shared = {row["label"] for row, after in zip(rows, rows[1:]) if row["label"] == after["label"]}
+    return {
+        row["team_id"]: f"{row['label']} ({row['team_id']})" if row["label"] in shared else row["label"] for row in rows
+    }
+
+
+def fixture_matrix_wide(matches: DataFrame, current: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """The matrix as a table: one row per home club, one column per away club.
+
+    Columns are clubs, by id; codes are labels only, so clubs without a code or with the same
+    code keep their results. Every club of the table has a row; cells without a fixture are
+    blank and a club against itself is marked.
     """
     cells = (
         fixture_matrix(matches, current)
         .groupBy(*LEAGUE, "home_team_id")
-        .pivot("away_tla", away_codes)
+        .pivot("away_team_id", list(columns))
         .agg(F.first("cell"))
     )
     clubs = current.select(
-        *LEAGUE, F.col("team_id").alias("home_team_id"), F.col("short_name").alias("home_team"), "tla"
+        *LEAGUE, F.col("team_id").alias("home_team_id"), F.col("short_name").alias("home_team")
     )
     shown = [
         F.coalesce(
-            F.col(f"`{code}`"),
-            F.when(F.col("tla") == code, F.lit(SELF_CELL)).otherwise(F.lit(BLANK_CELL)),
-        ).alias(code)
-        for code in away_codes
+            F.col(f"`{club}`"),
+            F.when(F.col("home_team_id") == club, F.lit(SELF_CELL)).otherwise(F.lit(BLANK_CELL)),
+        ).alias(label)
+        for club, label in columns.items()
     ]
     return clubs.join(cells, [*LEAGUE, "home_team_id"], "left").select(
         *LEAGUE, "home_team_id", "home_team", *shown
     )
-
-
-def league_codes(current: DataFrame, competition: str, season: int, limit: int = 1000) -> list[str]:
-    """Away columns of one league's matrix, in table order; refuses implausibly wide tables."""
-    rows = (
-        current.filter((F.col("competition_code") == competition) & (F.col("season_id") == season))
-        .orderBy(F.col("position").asc_nulls_last(), "short_name", "team_id")
-        .select(F.coalesce("tla", "short_name").alias("code"))
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(rows) > limit:
-        raise ValueError(f"league {competition}-{season} has more than {limit} clubs")
-    return [row["code"] for row in rows]

@@ -86,7 +86,7 @@ RUN_EVENT = """
   competition_code string, stage string, error_message string
 """
 
-MANIFEST = "version string, published_at timestamp"
+MANIFEST = "version string, folder string, published_at timestamp"
 
 
 def column_names(ddl: str) -> list[str]:

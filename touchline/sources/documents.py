@@ -10,6 +10,7 @@ from touchline.functions.outcomes import winner_code
 from touchline.schemas import DOCUMENTS, REFERENCE_DOCUMENT
 
 SNAPSHOT = ["competition_code", "snapshot_date"]
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for NULL
 
 
 def land(documents: DataFrame, root: str, dataset: str) -> None:
@@ -70,7 +71,8 @@ def landed_snapshots(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     )
 
     def folder(name: str) -> Column:
-        return F.url_decode(F.regexp_extract("path", f"/{name}=([^/]+)/", 1)).alias(name)
+        value = F.url_decode(F.regexp_extract("path", f"/{name}=([^/]+)/", 1))
+        return F.nullif(value, F.lit(NO_VALUE)).alias(name)
 
     return files.select(*[folder(name) for name in SNAPSHOT]).distinct()
 
@@ -80,17 +82,16 @@ def newest_snapshots(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy("competition_code").agg(F.max("snapshot_date").alias("snapshot_date"))
 
 
-def only_snapshots(documents: DataFrame, wanted: DataFrame, limit: int = 1000) -> DataFrame:
-    """Documents of the wanted snapshots.
+def only_snapshots(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Documents of the wanted snapshots; a missing competition is a value like any other.
 
-    Up to ``limit`` snapshots become a literal filter on the folder columns, so only their
-    folders are listed and read. More than that are matched by a join, with the same result.
+    One plan for any number of snapshots: their names become a filter on the folder columns,
+    so other folders are never read. The driver gets one short name per wanted snapshot (one
+    per competition, or those changed by a micro-batch), never documents.
     """
-    keys = wanted.select(*SNAPSHOT).limit(limit + 1).collect()
-    if len(keys) > limit:
-        return documents.join(wanted.select(*SNAPSHOT).distinct(), SNAPSHOT, "left_semi")
-    names = [f"{key['competition_code']}/{key['snapshot_date']}" for key in keys]
-    return documents.filter(F.concat_ws("/", *SNAPSHOT).isin(names))
+    name = F.concat_ws("/", F.coalesce("competition_code", F.lit(NO_VALUE)), F.coalesce("snapshot_date", F.lit(NO_VALUE)))
+    names = [row[0] for row in wanted.select(name).distinct().collect()]
+    return documents.filter(name.isin(names))
 
 
 def scan_newest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
@@ -101,7 +102,7 @@ def scan_newest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
 
 def newest_documents(documents: DataFrame) -> DataFrame:
     """Documents of each competition's newest snapshot, for an already loaded set."""
-    return documents.join(newest_snapshots(documents), SNAPSHOT, "left_semi")
+    return only_snapshots(documents, newest_snapshots(documents))
 
 
 def flatten_teams(documents: DataFrame) -> DataFrame:

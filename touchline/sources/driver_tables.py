@@ -18,7 +18,6 @@ from touchline.operators import LEAGUE
 from touchline.operators.participants import team_match_results
 
 COMPETITIONS = ["L0", "L1", "L2"]
-AWAY_CODES = [f"T{n:02d}" for n in range(25)]
 LATEST_SNAPSHOT = "2001-07-01"
 LOADED_AT = "2001-07-01 06:00:00"
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -69,36 +70,43 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Write a complete new version, check it, and only then make it current.
 
-    Rules run on the written tables; ``context`` holds other tables the rules mention.
-    Readers follow the manifest, whose row is appended last. A failed write or a failed
-    check leaves the previous version current; the rejected one stays behind for audit.
+    Each attempt writes to a folder of its own, which its manifest row names, so a repeated
+    version never touches what readers see. Rules run on the written tables; ``context`` holds
+    other tables the rules mention. The manifest row is appended last: a failed write or check
+    leaves the previous attempt current and the rejected one behind for audit.
     """
     partition_by = partition_by or {}
+    folder = f"{version}-{uuid4().hex}"
     for name, table in tables.items():
-        write_table(table, f"{root}/{version}/{name}", partition_by.get(name))
+        write_table(table, f"{root}/{folder}/{name}", partition_by.get(name))
     written = {
-        name: read_table(spark, f"{root}/{version}/{name}", table.schema)
+        name: read_table(spark, f"{root}/{folder}/{name}", table.schema)
         for name, table in tables.items()
     }
     if rules:
         gate(failures({**(context or {}), **written}, rules))
     spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
+        F.lit(version).alias("version"), F.lit(folder).alias("folder"), F.current_timestamp().alias("published_at")
     ).write.mode("append").json(f"{root}/_manifest")
     return written
 
 
+def _current(spark: SparkSession, root: str) -> Row | None:
+    manifest = spark.read.schema(MANIFEST).json(f"{root}/_manifest")
+    return manifest.agg(F.max_by(F.struct("version", "folder"), "published_at").alias("last")).first()["last"]
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Newest published version (NULL before the first publication)."""
-    manifest = spark.read.schema(MANIFEST).json(f"{root}/_manifest")
-    return manifest.agg(F.max_by("version", "published_at").alias("v")).first()["v"]
+    last = _current(spark, root)
+    return last and last["version"]
 
 
 def read_published(
     spark: SparkSession, root: str, schemas: Mapping[str, StructType | str]
 ) -> dict[str, DataFrame]:
     """Tables of the current version, by name and schema."""
-    version = current_version(spark, root)
-    if version is None:
+    last = _current(spark, root)
+    if last is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return {name: read_table(spark, f"{root}/{version}/{name}", s) for name, s in schemas.items()}
+    return {name: read_table(spark, f"{root}/{last['folder']}/{name}", s) for name, s in schemas.items()}

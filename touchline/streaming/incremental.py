@@ -28,13 +28,12 @@ def ingest_new_snapshots(
     The file stream remembers which files it has seen. A batch only tells which snapshots
     changed; those are re-read whole and overwritten, so a snapshot spread over several
     batches, a replayed batch and a re-landed date all end in the same table. Snapshots
-    not touched by the batch stay as they are. Only the changed folders are read: a batch
-    has at most ``files_per_batch`` of them.
+    not touched by the batch stay as they are. Only the changed folders are read.
     """
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         changed = batch.select(*SNAPSHOT).distinct()
-        documents = only_snapshots(scan(spark, raw_root, dataset), changed, limit=files_per_batch)
+        documents = only_snapshots(scan(spark, raw_root, dataset), changed)
         rows = FLATTEN[dataset](documents)
         if "snapshot_date" not in rows.columns:
             rows = rows.withColumn("snapshot_date", F.col("source_snapshot_date"))
