@@ -21,7 +21,7 @@ from touchline.schemas import MATCHES_DOCUMENT
 from touchline.session import shared_dir, tune
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
-from touchline.sources.tables import read_by_name, write_snapshots
+from touchline.sources.tables import publish, read_by_name, read_published, write_snapshots
 from touchline.streaming.incremental import ingest_new_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,31 @@ def _incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_standings(read_by_name(spark, f"{root}/table"))
 
 
+def _published_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the standings under a version, and read what readers then get."""
+    root = _workspace(spark)
+    table = _typed_standings(models(spark, sf_dir)[STANDINGS])
+    rules = [contracts.Rule("standings", "not_empty", "*"), contracts.Rule("standings", "not_null", "team_id")]
+    publish(spark, {"standings": table}, root, "v1", rules)
+    return read_published(spark, root, {"standings": table.schema})["standings"]
+
+
+def _files_flatten_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land match documents as JSON files, scan and flatten them."""
+    root = _workspace(spark)
+    docs.land(driver.match_documents(models(spark, sf_dir)["fact_match"]), f"{root}/raw", "matches")
+    return docs.flatten_matches(docs.scan(spark, f"{root}/raw", "matches")).drop("loaded_at")
+
+
+def _club_fixtures(explorer: DataFrame) -> DataFrame:
+    return _match_list(matches.fixtures_of(explorer, 7))
+
+
+def _chosen_history(current: DataFrame, table: DataFrame, results: DataFrame) -> DataFrame:
+    found = history.position_history(current, table, results)
+    return history.history_order(history.club_history(found, ["Nation 3", "Nation 7"]))
+
+
 # --- registry -----------------------------------------------------------------------
 
 
@@ -260,6 +285,10 @@ def core_queries() -> dict[str, Query]:
         "match_explorer": _model(EXPLORER),
         "match_list": _on(_match_list, EXPLORER),
         "match_explorer_filtered": _on(_filtered, EXPLORER),
+        "club_fixtures": _on(_club_fixtures, EXPLORER),
+        "chosen_history": _on(_chosen_history, CURRENT, MATCHES, RESULTS),
+        "published_standings": _published_standings,
+        "files_flatten_matches": _files_flatten_matches,
         "club_options": _on(clubs.club_options, MATCHES, TEAMS),
         "recent_matches": _on(matches.recent_matches, MATCHES, TEAMS),
         "upcoming_matches": _on(matches.upcoming_matches, MATCHES, TEAMS),

@@ -12,7 +12,9 @@ from touchline.operators.performance import team_performance
 from touchline.operators.standings import latest_per_league
 from touchline.sources.tables import read_table, write_snapshots, write_table
 
-WRITES_FILES = {"snapshot_roundtrip", "latest_documents", "incremental_ingest"}
+WRITES_FILES = {
+    "snapshot_roundtrip", "latest_documents", "incremental_ingest", "published_standings", "files_flatten_matches",
+}
 
 
 def plan(df) -> str:

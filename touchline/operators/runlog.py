@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline.functions.clock import seconds_between, utc_label
 
 # Event kinds and the values the folded log shows.
-START, STAGE, SUCCESS, FAILED = "START", "STAGE", "SUCCESS", "FAILED"
+START, STAGE, SUCCESS, FAILED, RUNNING = "START", "STAGE", "SUCCESS", "FAILED", "RUNNING"
 
 
 def fold_runs(events: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def fold_runs(events: DataFrame) -> DataFrame:
             F.col("first.competition_code").alias("competition_code"),
             F.col("first.event_ts").alias("started_at"),
             end["event_ts"].alias("finished_at"),
-            F.coalesce(end["event"], F.lit("RUNNING")).alias("status"),
+            F.coalesce(end["event"], F.lit(RUNNING)).alias("status"),
             F.when(step.isNull(), F.lit("STARTING"))
             .when(step["event"] == SUCCESS, F.lit("COMPLETE"))
             .when(step["event"] == FAILED, F.lit("FAILED"))
@@ -87,6 +87,7 @@ def latest_run_line(runs: DataFrame) -> DataFrame:
         "status",
         utc_label(F.col("started_at"), year=False).alias("started"),
         F.when(F.col("status") == SUCCESS, F.lit("The latest run completed successfully."))
+        .when(F.col("status") == RUNNING, F.lit("The latest run is still running."))
         .otherwise(
             F.concat(
                 F.lit("Latest run failed during "),

@@ -18,9 +18,6 @@ SETTINGS = {
 }
 
 
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
 def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "local").startswith("local")
 
@@ -28,15 +25,11 @@ def is_local(spark: SparkSession) -> bool:
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the engine's runtime SQL settings to an existing session.
 
-    On a cluster a shuffle starts with four partitions per core, unless configured: adaptive
-    execution merges small partitions afterwards but cannot split too large ones.
+    Partition numbers are the cluster's to configure (``spark.sql.shuffle.partitions`` and
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``), the same way everywhere.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if not is_local(spark) and spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(INITIAL_PARTITIONS, str(max(configured, 4 * cores)))
     return spark
 
 
