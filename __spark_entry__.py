@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from importlib.util import find_spec
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +16,11 @@ from touchline.operators import clubs, contracts, health, history, matches, perf
 from touchline.operators import resolve, rounds, runlog, season, standings
 from touchline.operators.participants import clubs_of
 from touchline.plans.models import Models
-from touchline.schemas import MATCHES_DOCUMENT
-from touchline.session import shared_dir, tune
+from touchline.schemas import FACT_STANDING_SNAPSHOT, MATCHES_DOCUMENT
+from touchline.session import scratch_folder, tune
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
-from touchline.sources.tables import publish, read_by_name, read_published, write_snapshots
+from touchline.sources.tables import publish, read_by_name, read_published, write_snapshots, write_table
 from touchline.streaming.incremental import ingest_new_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +116,11 @@ def _dq_violating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of the base tables before a load; L9 is served but has no rows."""
+    return contracts.failures(models(spark, sf_dir), contracts.fact_rules([*driver.COMPETITIONS, "L9"]))
+
+
 def _matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = models(spark, sf_dir)
     current = found[CURRENT]
@@ -160,6 +164,17 @@ def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.badge_coverage(_enriched(spark, sf_dir))
 
 
+def _reference_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of the reviewed reference, by a build that does not serve L2."""
+    tune(spark)
+    return contracts.failures({"reference": _reviewed(spark, sf_dir)}, resolve.reference_rules(["L0", "L1"]))
+
+
+def _source_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of the clubs that artwork is searched for."""
+    return contracts.failures({"clubs": _current_clubs(spark, sf_dir)}, resolve.SOURCE_RULES)
+
+
 def _resolution_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     tune(spark)
     nation, region, supplier = (driver.read(spark, sf_dir, n) for n in ("nation", "region", "supplier"))
@@ -177,9 +192,13 @@ def _resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of the written candidate, as before publication: clubs are resolved once."""
     searched, candidate = _resolution_inputs(spark, sf_dir)
-    report = contracts.failures({"candidate": candidate}, resolve.CANDIDATE_RULES)
-    return report.unionByName(resolve.candidate_size_check(candidate, searched))
+    path = f"{scratch_folder(spark)}/candidate"
+    write_table(candidate, path)
+    kept = spark.read.schema(candidate.schema).parquet(path)
+    report = contracts.failures({"candidate": kept}, resolve.CANDIDATE_RULES)
+    return report.unionByName(resolve.candidate_size_check(kept, searched))
 
 
 # --- run log ------------------------------------------------------------------------
@@ -205,12 +224,8 @@ def _json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.flatten_matches(parsed).drop("loaded_at")
 
 
-def _workspace(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/touchline-{uuid4().hex}"
-
-
 def _landed_standings(spark: SparkSession, sf_dir: str) -> str:
-    root = _workspace(spark)
+    root = scratch_folder(spark)
     documents = driver.standing_documents(models(spark, sf_dir)["fact_standing_snapshot"])
     docs.land(documents, f"{root}/raw", "standings")
     return root
@@ -228,7 +243,7 @@ def _snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land documents, scan them, write per-snapshot tables, read them back by name."""
     root = _landed_standings(spark, sf_dir)
     write_snapshots(docs.flatten_standings(docs.scan(spark, f"{root}/raw", "standings")), f"{root}/table")
-    return _typed_standings(read_by_name(spark, f"{root}/table"))
+    return _typed_standings(read_by_name(spark, f"{root}/table", FACT_STANDING_SNAPSHOT))
 
 
 def _latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,12 +258,12 @@ def _incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_new_snapshots(
         spark, f"{root}/raw", "standings", f"{root}/table", f"{root}/checkpoint", files_per_batch=8
     )
-    return _typed_standings(read_by_name(spark, f"{root}/table"))
+    return _typed_standings(read_by_name(spark, f"{root}/table", FACT_STANDING_SNAPSHOT))
 
 
 def _published_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the standings under a version, and read what readers then get."""
-    root = _workspace(spark)
+    root = scratch_folder(spark)
     table = _typed_standings(models(spark, sf_dir)[STANDINGS])
     rules = [contracts.Rule("standings", "not_empty", "*"), contracts.Rule("standings", "not_null", "team_id")]
     publish(spark, {"standings": table}, root, "v1", rules)
@@ -257,11 +272,19 @@ def _published_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _files_flatten_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land match documents as JSON files, scan and flatten them."""
-    root = _workspace(spark)
+    root = scratch_folder(spark)
     docs.land(driver.match_documents(models(spark, sf_dir)["fact_match"]), f"{root}/raw", "matches")
     return docs.flatten_matches(docs.scan(spark, f"{root}/raw", "matches")).drop("loaded_at")
 
 
+def _files_flatten_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land club documents as JSON files, scan and flatten them."""
+    root = scratch_folder(spark)
+    nation, region = (driver.read(tune(spark), sf_dir, name) for name in ("nation", "region"))
+    docs.land(driver.team_documents(driver.clubs_from_nations(nation, region)), f"{root}/raw", "teams")
+    return docs.flatten_teams(docs.scan(spark, f"{root}/raw", "teams")).drop("loaded_at")
+
+
 def _club_fixtures(explorer: DataFrame) -> DataFrame:
     return _match_list(matches.fixtures_of(explorer, 7))
 
@@ -289,6 +312,7 @@ def core_queries() -> dict[str, Query]:
         "chosen_history": _on(_chosen_history, CURRENT, MATCHES, RESULTS),
         "published_standings": _published_standings,
         "files_flatten_matches": _files_flatten_matches,
+        "files_flatten_teams": _files_flatten_teams,
         "club_options": _on(clubs.club_options, MATCHES, TEAMS),
         "recent_matches": _on(matches.recent_matches, MATCHES, TEAMS),
         "upcoming_matches": _on(matches.upcoming_matches, MATCHES, TEAMS),
@@ -335,10 +359,13 @@ def core_queries() -> dict[str, Query]:
         # L2 is deliberately not among the served competitions, so the check has failures.
         "dq_accepted": _contract(contracts.accepted_rules(["L0", "L1"])),
         "dq_relationships": _contract(contracts.relationship_rules()),
+        "load_gate": _load_gate,
         "dq_row_rules": _contract(contracts.ROW_RULES),
         "dq_violating_rows": _dq_violating_rows,
         "dq_duplicate_keys": _dq_duplicate_keys,
         "dq_orphan_keys": _dq_orphan_keys,
+        "reference_checks": _reference_checks,
+        "source_checks": _source_checks,
         "reference_membership": _membership,
         "reference_enriched": _enriched,
         "badge_coverage": _coverage,

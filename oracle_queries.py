@@ -7,13 +7,6 @@ a completed prefix, scalar comparisons instead of dictionaries.
 
 from __future__ import annotations
 
-from touchline.operators.contracts import (
-    accepted_rules,
-    not_null_rules,
-    relationship_rules,
-    unique_rules,
-)
-
 LOADED = "TIMESTAMP '2001-07-01 06:00:00'"
 
 TABLES = f"""
@@ -362,37 +355,157 @@ def _rows(table: str) -> str:
     return f"{TABLES} SELECT * FROM {table}"
 
 
-def _check(rule, count: str, source: str) -> str:
+# The 62 declared checks, one table a line, independent of the library's rule lists.
+NOT_NULL = """
+stg_teams: team_id team_name competition_code sportsdb_team_id sportsdb_badge_url sportsdb_source
+stg_teams: sportsdb_resolution_method
+stg_matches: match_id home_team_id away_team_id status
+stg_standings: team_id position snapshot_date points
+int_team_match_results: team_match_key match_id team_id opponent_team_id
+int_standings_reconciliation: team_id snapshot_date is_reconciled
+mart_current_standings: standings_key team_id position points snapshot_date is_reconciled
+mart_team_performance: team_performance_key team_id played points points_per_game
+mart_match_explorer: match_id matchday home_team_id away_team_id status
+"""
+UNIQUE = """
+stg_teams: team_id within competition_code
+stg_matches: match_id
+int_team_match_results: team_match_key
+int_standings_reconciliation: team_id within competition_code season_id
+mart_current_standings: standings_key
+mart_team_performance: team_performance_key
+mart_match_explorer: match_id
+"""
+ACCEPTED = """
+stg_teams: sportsdb_source TheSportsDB
+stg_teams: sportsdb_resolution_method ID_OVERRIDE NAME_SEARCH
+stg_matches: competition_code L0 L1
+int_team_match_results: venue HOME AWAY
+int_team_match_results: team_result W D L
+int_team_match_results: points_earned 0 1 3
+mart_match_explorer: match_state Finished Live Upcoming Other
+"""
+REFERENCES = """
+stg_matches: home_team_id away_team_id
+stg_standings: team_id
+int_team_match_results: team_id opponent_team_id
+int_standings_reconciliation: team_id
+mart_current_standings: team_id
+mart_team_performance: team_id
+mart_match_explorer: home_team_id away_team_id
+"""
+
+
+def _listed(text: str) -> list[tuple[str, list[str]]]:
+    lines = [line.split(": ") for line in text.strip().splitlines()]
+    return [(model, words.split()) for model, words in lines]
+
+
+def _check(model: str, column: str, rule: str, count: str, source: str) -> str:
     return (
-        f"SELECT '{rule.model}' AS model, '{rule.column}' AS column_name, '{rule.label}' AS rule, "
+        f"SELECT '{model}' AS model, '{column}' AS column_name, '{rule}' AS rule, "
         f"CAST({count} AS BIGINT) AS failures FROM {source}"
     )
 
 
+def _twice(table: str, keys: str) -> str:
+    return f"(SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1) d"
+
+
+def _orphans(table: str, column: str) -> str:
+    return (
+        f"{table} c WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_teams t "
+        f"WHERE t.competition_code = c.competition_code AND t.team_id = c.{column})"
+    )
+
+
 def _checks(kind: str) -> str:
     parts = []
     if kind == "not_null":
-        for r in not_null_rules():
-            parts.append(_check(r, f"count(*) FILTER (WHERE {r.column} IS NULL)", r.model))
+        for model, columns in _listed(NOT_NULL):
+            parts += [_check(model, c, kind, f"count(*) - count({c})", model) for c in columns]
     elif kind == "unique":
-        for r in unique_rules():
-            keys = ", ".join(r.tested)
-            duplicated = f"(SELECT {keys} FROM {r.model} GROUP BY {keys} HAVING count(*) > 1) d"
-            parts.append(_check(r, "count(*)", duplicated))
+        for model, (column, *within) in _listed(UNIQUE):
+            parts.append(_check(model, column, kind, "count(*)", _twice(model, ", ".join([*within[1:], column]))))
     elif kind == "accepted_values":
-        for r in accepted_rules(["L0", "L1"]):
-            values = ", ".join(repr(v) for v in r.values)
-            parts.append(_check(r, f"count(*) FILTER (WHERE {r.column} NOT IN ({values}))", r.model))
+        for model, (column, *values) in _listed(ACCEPTED):
+            known = ", ".join(map(repr, values))
+            count = f"count(*) FILTER (WHERE CAST({column} AS VARCHAR) NOT IN ({known}))"
+            parts.append(_check(model, column, kind, count, model))
     else:
-        for r in relationship_rules():
-            orphan = (
-                f"{r.model} c WHERE {r.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_teams t "
-                f"WHERE t.competition_code = c.competition_code AND t.team_id = c.{r.column})"
-            )
-            parts.append(_check(r, "count(*)", orphan))
+        for model, columns in _listed(REFERENCES):
+            parts += [_check(model, c, kind, "count(*)", _orphans(model, c)) for c in columns]
+    return TABLES + " UNION ALL ".join(parts)
+
+
+def _load_gate() -> str:
+    base = {"dim_team": "stg_teams", "fact_match": "stg_matches", "fact_standing_snapshot": "stg_standings"}
+    ids = {"dim_team": "team_id", "fact_match": "match_id", "fact_standing_snapshot": "team_id"}
+    keys = {
+        "dim_team": "competition_code, team_id",
+        "fact_match": "match_id",
+        "fact_standing_snapshot": "competition_code, season_id, snapshot_date, team_id",
+    }
+    parts = []
+    for name, table in base.items():
+        parts.append(_check(name, "*", "not_empty", "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END", table))
+        parts.append(_check(name, ids[name], "not_null", f"count(*) - count({ids[name]})", table))
+        parts.append(_check(name, ids[name], "unique", "count(*)", _twice(table, keys[name])))
+        served = f"SELECT * FROM (VALUES ('L0'), ('L1'), ('L2'), ('L9')) v(c) EXCEPT SELECT competition_code FROM {table}"
+        parts.append(_check(name, "competition_code", "covers", "count(*)", f"({served}) missing"))
+    for column in ("home_team_id", "away_team_id"):
+        parts.append(_check("fact_match", column, "relationships", "count(*)", _orphans("stg_matches", column)))
+    parts.append(
+        _check("fact_standing_snapshot", "team_id", "relationships", "count(*)", _orphans("stg_standings", "team_id"))
+    )
+    wrong = {
+        "home_team_id <> away_team_id": ("fact_match", "home_team_id", "home_team_id = away_team_id"),
+        "played = won + drawn + lost": ("fact_standing_snapshot", "played", "won + drawn + lost <> played"),
+        "goal_difference = goals_for - goals_against": (
+            "fact_standing_snapshot", "goal_difference", "goals_for - goals_against <> goal_difference",
+        ),
+    }
+    for rule, (name, column, bad) in wrong.items():
+        parts.append(_check(name, column, rule, f"count(*) FILTER (WHERE {bad})", base[name]))
     return TABLES + " UNION ALL ".join(parts)
 
 
+CURRENT_CLUBS = """current_clubs AS (
+  SELECT competition_code, home_team_id AS team_id FROM stg_matches
+  UNION SELECT competition_code, away_team_id FROM stg_matches
+)"""
+
+
+def _reference_checks() -> str:
+    reference = """reference AS (
+      SELECT * REPLACE (CASE WHEN team_id = 3 THEN 99 ELSE team_id END AS team_id) FROM stg_teams)"""
+    none = "CASE WHEN count({}) = 0 THEN 1 ELSE 0 END"
+    present = [
+        "team_id", "team_name", "sportsdb_team_id", "sportsdb_team_name", "sportsdb_badge_url", "sportsdb_source",
+        "sportsdb_resolution_method", "sportsdb_fetched_at",
+    ]
+    parts = [
+        _check("reference", "*", "not_empty", none.format("*"), "reference"),
+        *[_check("reference", c, "present", none.format(c), "reference") for c in present],
+        _check("reference", "team_id", "not_null", "count(*) - count(team_id)", "reference"),
+        _check("reference", "team_id", "unique", "count(*)", _twice("reference", "competition_code, team_id")),
+        _check(
+            "reference", "competition_code", "accepted_values",
+            "count(*) FILTER (WHERE competition_code NOT IN ('L0', 'L1'))", "reference",
+        ),
+    ]
+    return f"{TABLES}, {reference} " + " UNION ALL ".join(parts)
+
+
+def _source_checks() -> str:
+    parts = [
+        _check("clubs", "*", "not_empty", "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END", "current_clubs"),
+        _check("clubs", "team_id", "not_null", "count(*) - count(team_id)", "current_clubs"),
+        _check("clubs", "team_id", "unique", "count(*)", _twice("current_clubs", "competition_code, team_id")),
+    ]
+    return f"{TABLES}, {CURRENT_CLUBS} " + " UNION ALL ".join(parts)
+
+
 def _inventory() -> str:
     models = [
         (1, "Warehouse", "dim_team", "stg_teams"),
@@ -623,6 +736,7 @@ ORACLE: dict[str, str] = {
     "dq_unique": _checks("unique"),
     "dq_accepted": _checks("accepted_values"),
     "dq_relationships": _checks("relationships"),
+    "load_gate": _load_gate(),
     "dq_row_rules": f"""{TABLES}
       SELECT 'fact_match' AS model, 'home_team_id' AS column_name, 'home_team_id <> away_team_id' AS rule,
         count(*) FILTER (WHERE home_team_id = away_team_id) AS failures FROM stg_matches
@@ -645,6 +759,8 @@ ORACLE: dict[str, str] = {
       WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
     "dq_orphan_keys": """SELECT c_custkey, count(*) AS rows FROM customer c WHERE c_custkey IS NOT NULL
       AND NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey) GROUP BY c_custkey""",
+    "reference_checks": _reference_checks(),
+    "source_checks": _source_checks(),
     "reference_membership": f"""{TABLES}, current_clubs AS (
         SELECT competition_code, home_team_id AS team_id FROM stg_matches
         UNION SELECT competition_code, away_team_id FROM stg_matches
@@ -709,6 +825,8 @@ ORACLE: dict[str, str] = {
     "files_flatten_matches": f"""{TABLES} SELECT match_id, competition_id, competition_code, season_id, matchday, stage,
       utc_date, status, home_team_id, away_team_id, home_score, away_score, result, source_last_updated,
       source_snapshot_date FROM stg_matches""",
+    "files_flatten_teams": f"""{TABLES} SELECT team_id, team_name, short_name, tla, country, venue_name, founded,
+      club_colors, crest_url, competition_code, '2001-07-01' AS snapshot_date FROM stg_teams""",
     "published_standings": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_standings",
     "snapshot_roundtrip": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_standings",
     "incremental_ingest": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_standings",

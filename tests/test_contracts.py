@@ -124,6 +124,16 @@ def test_key_checks_return_keys(spark):
     assert sorted(tuple(r) for r in c.duplicate_keys(child, ["k"]).collect()) == [(1, 2), (7, 2)]
 
 
+def test_references_to_any_parent_key(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,), (7,)], "club int")
+    parent = spark.createDataFrame([(1,), (2,), (2,)], "id int")
+    rules = [c.Rule("child", c.RELATION, "club", parent="parent", parent_keys=("id",))]
+    found = counts(c.failures({"child": child, "parent": parent}, rules))
+    assert found == {("child", "club", "relationships"): 1}
+    same = c.failures({"child": child, "parent": parent.toDF("club")}, [c.Rule("child", c.RELATION, "club", parent="parent")])
+    assert counts(same) == found
+
+
 def reference(spark, ids, **changes):
     table = teams(spark, ids).select("competition_code", "team_id", *resolve.ARTWORK_COLUMNS)
     stamped = table.withColumn("sportsdb_fetched_at", F.lit("2026-08-31").cast("timestamp"))

@@ -14,6 +14,7 @@ from touchline.sources.tables import read_table, write_snapshots, write_table
 
 WRITES_FILES = {
     "snapshot_roundtrip", "latest_documents", "incremental_ingest", "published_standings", "files_flatten_matches",
+    "files_flatten_teams",
 }
 
 

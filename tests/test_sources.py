@@ -19,6 +19,7 @@ from touchline.session import shared_dir
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
 from touchline.sources import tables as store
+from touchline.streaming import incremental
 from touchline.streaming.incremental import ingest_new_snapshots
 
 
@@ -204,6 +205,48 @@ def test_build_end_to_end(spark, sf_dir, tmp_path):
     assert runs["r1"]["duration_seconds"] > 0
 
 
+def test_seasons_and_relegated_clubs_stay(spark, tmp_path):
+    raw, log = str(tmp_path / "raw"), str(tmp_path / "log")
+    paths = {"raw_root": raw, "processed_root": str(tmp_path / "p"), "warehouse_root": str(tmp_path / "w"), "log_path": log}
+
+    def season(number, date, ids, more=()):
+        clubs = teams(spark, ids)
+        a, b, c = ids
+        played = [match(10 * number, 1, a, b, (1, 0)), match(10 * number + 1, 1, c, a, (0, 0)), *more]
+        rows = [
+            standing(a, 1, 2, 1, 1, 0, 1, 0, 4, date=date, season_id=number),
+            standing(b, 3, 1, 0, 0, 1, 0, 1, 0, date=date, season_id=number),
+            standing(c, 2, 1, 0, 1, 0, 0, 0, 1, date=date, season_id=number),
+        ]
+        played = [{"season_id": number, "source_snapshot_date": date, **m} for m in played]
+        docs.land(driver.match_documents(matches(spark, played)), raw, "matches")
+        docs.land(driver.standing_documents(standings(spark, rows)), raw, "standings")
+        docs.land(driver.team_documents(clubs).withColumn("snapshot_date", F.lit(date)), raw, "teams")
+        reference = clubs.select("competition_code", "team_id", "team_name", *ARTWORK_COLUMNS).withColumn(
+            "sportsdb_fetched_at", F.lit("2026-08-31").cast("timestamp")
+        )
+        return warehouse.build(spark, f"r{date}", reference=reference, competitions=["PD"], **paths)
+
+    season(1, "2026-06-01", [1, 2, 3])
+    models = season(2, "2027-06-01", [1, 2, 4])  # club 3 is relegated
+    seasons = {(r["season_id"], r["match_id"]) for r in models["stg_matches"].collect()}
+    assert seasons == {(1, 10), (1, 11), (2, 20), (2, 21)}
+    assert {r["team_id"] for r in models["stg_teams"].collect()} == {1, 2, 3, 4}
+    table = models["mart_current_standings"].collect()
+    assert {(r["season_id"], r["team_id"]) for r in table} == {(s, t) for s, last in ((1, 3), (2, 4)) for t in (1, 2, last)}
+    assert all(r["is_reconciled"] for r in table)
+    # A newer snapshot of a season replaces its matches and leaves the other season alone.
+    models = season(2, "2027-06-02", [1, 2, 4], more=[match(22, 2, 2, 4, None, "TIMED")])
+    assert {r["match_id"] for r in models["stg_matches"].collect()} == {10, 11, 20, 21, 22}
+    assert models["stg_teams"].count() == 4
+
+
+def test_nothing_is_published_at_first(spark, tmp_path):
+    assert store.current_version(spark, str(tmp_path)) is None
+    with pytest.raises(FileNotFoundError):
+        store.read_published(spark, str(tmp_path), {"clubs": DIM_TEAM})
+
+
 def test_publish_reference(spark, tmp_path):
     root, clubs = str(tmp_path), teams(spark, [1, 2])
     candidate = clubs.select("competition_code", "team_id", *ARTWORK_COLUMNS)
@@ -276,6 +319,42 @@ def test_replayed_stream_gives_the_same_table(spark, tmp_path):
     assert snapshot_rows(spark, table) == before and len(before) == 2
 
 
+def test_a_changed_snapshot_is_written_once(spark, tmp_path, monkeypatch):
+    raw, table, state = (str(tmp_path / n) for n in ("raw", "table", "state"))
+    written = []
+
+    def counting(rows, path):
+        written.append({(r["snapshot_date"], r["season_id"]) for r in rows.collect()})
+        store.write_snapshots(rows, path)
+
+    def failing(rows, path):
+        raise OSError("lost")
+
+    def land(rows):
+        docs.land(driver.standing_documents(standings(spark, rows)), raw, "standings")
+
+    def ingest():
+        ingest_new_snapshots(spark, raw, "standings", table, state, files_per_batch=1)
+
+    # Six documents of one snapshot, one file each, come in six batches.
+    for number in range(6):
+        document = driver.standing_documents(standings(spark, [standing(1, 1, season_id=number)]))
+        document.coalesce(1).write.mode("append").partitionBy("competition_code", "snapshot_date").json(f"{raw}/standings")
+    monkeypatch.setattr(incremental, "write_snapshots", counting)
+    ingest()
+    assert written == [{("2026-08-31", n) for n in range(6)}]
+    ingest()  # nothing new, nothing written
+    assert len(written) == 1
+    # A call that ends between the stream and the write leaves its batches to the next one.
+    land([standing(1, 2, date="2026-09-01")])
+    monkeypatch.setattr(incremental, "write_snapshots", failing)
+    with pytest.raises(OSError, match="lost"):
+        ingest()
+    monkeypatch.setattr(incremental, "write_snapshots", counting)
+    ingest()
+    assert written[1:] == [{("2026-09-01", 1)}] and len(snapshot_rows(spark, table)) == 7
+
+
 def test_run_log_folding(spark):
     def at(second):
         return f"2026-08-31 10:00:{second:02d}"

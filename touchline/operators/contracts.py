@@ -29,7 +29,8 @@ class ContractError(ValueError):
 @dataclass(frozen=True)
 class Rule:
     """One check on ``model``. ``column`` names the tested column in reports; ``keys`` are
-    the columns really compared (the column within its league, for example)."""
+    the columns really compared (the column within its league, for example), for a reference
+    with the ``parent_keys`` of ``parent``, by default columns of the same names."""
 
     model: str
     kind: str
@@ -37,12 +38,18 @@ class Rule:
     keys: tuple[str, ...] = ()
     values: tuple = ()
     parent: str = ""
+    parent_keys: tuple[str, ...] = ()
     condition: str = ""
 
     @property
     def tested(self) -> list[str]:
         return list(self.keys or (self.column,))
 
+    @property
+    def target(self) -> tuple[str, tuple[str, ...]]:
+        """What a reference points at: the parent and its keys."""
+        return self.parent, self.parent_keys or tuple(self.tested)
+
     @property
     def label(self) -> str:
         return self.condition if self.kind == ROW_RULE else self.kind
@@ -132,14 +139,13 @@ def orphan_keys(
 
 
 def _relation_failures(child: DataFrame, parent: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Failure counts of several references from one child to the club table, in one scan.
+    """Failure counts of several references from one child to one key of a parent, in one scan.
 
     Every row yields one (rule, key) per rule; those collapse in the map-side combine before
     they meet the parent.
     """
-    size = len(rules[0].tested)
-    parent_keys = ["competition_code", "team_id"][-size:]
-    keys = [f"k{j}" for j in range(size)]
+    parent_keys = rules[0].target[1]
+    keys = [f"k{j}" for j in range(len(parent_keys))]
     references = ", ".join(f"{i}, {', '.join(rule.tested)}" for i, rule in enumerate(rules))
     flat = child.selectExpr(f"stack({len(rules)}, {references}) AS (rule_no, {', '.join(keys)})")
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys, strict=True)])
@@ -170,9 +176,9 @@ def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFram
         if row_level:
             parts.append(row_failures(table, row_level))
         relations = [r for r in mine if r.kind == RELATION]
-        for parent in dict.fromkeys(r.parent for r in relations):
+        for target in dict.fromkeys(r.target for r in relations):
             parts.append(
-                _relation_failures(table, models[parent], [r for r in relations if r.parent == parent])
+                _relation_failures(table, models[target[0]], [r for r in relations if r.target == target])
             )
         whole = [r for r in mine if r.kind in (NOT_EMPTY, PRESENT, COVERS)]
         if whole:
@@ -195,6 +201,7 @@ def gate(report: DataFrame) -> None:
 # --- catalogue -----------------------------------------------------------------
 
 _CLUB_KEY = "competition_code"
+_CLUB = (_CLUB_KEY, "team_id")
 
 # Tested columns of every model. Identifiers of clubs are unique, and refer
 # to the club table, within a competition.
@@ -261,7 +268,7 @@ def accepted_rules(competitions: Iterable[str]) -> list[Rule]:
 
 
 def relationship_rules() -> list[Rule]:
-    return [Rule(m, RELATION, c, keys=(_CLUB_KEY, c), parent="stg_teams") for m, c in _RELATIONS]
+    return [Rule(m, RELATION, c, keys=(_CLUB_KEY, c), parent="stg_teams", parent_keys=_CLUB) for m, c in _RELATIONS]
 
 
 def model_rules(competitions: Iterable[str]) -> list[Rule]:
@@ -280,8 +287,10 @@ FACT_RULES = [
     Rule("fact_match", NOT_NULL, "match_id"),
     Rule("fact_match", UNIQUE, "match_id"),
     Rule("fact_match", ROW_RULE, "home_team_id", condition="home_team_id <> away_team_id"),
-    Rule("fact_match", RELATION, "home_team_id", keys=(_CLUB_KEY, "home_team_id"), parent="dim_team"),
-    Rule("fact_match", RELATION, "away_team_id", keys=(_CLUB_KEY, "away_team_id"), parent="dim_team"),
+    *[
+        Rule("fact_match", RELATION, side, keys=(_CLUB_KEY, side), parent="dim_team", parent_keys=_CLUB)
+        for side in ("home_team_id", "away_team_id")
+    ],
     Rule("fact_standing_snapshot", NOT_EMPTY, "*"),
     Rule("fact_standing_snapshot", NOT_NULL, "team_id"),
     Rule("fact_standing_snapshot", UNIQUE, "team_id", keys=(*LEAGUE, "snapshot_date", "team_id")),
@@ -290,9 +299,7 @@ FACT_RULES = [
         "fact_standing_snapshot", ROW_RULE, "goal_difference",
         condition="goal_difference = goals_for - goals_against",
     ),
-    Rule(
-        "fact_standing_snapshot", RELATION, "team_id", keys=(_CLUB_KEY, "team_id"), parent="dim_team"
-    ),
+    Rule("fact_standing_snapshot", RELATION, "team_id", keys=_CLUB, parent="dim_team", parent_keys=_CLUB),
 ]
 
 

@@ -7,9 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators import LEAGUE
 from touchline.operators.contracts import FACT_RULES, fact_rules, failures, gate, model_rules
 from touchline.operators.resolve import (
     CANDIDATE_RULES,
+    CLUB_KEY,
     ENRICHED_RULES,
     SOURCE_RULES,
     candidate_size_check,
@@ -19,9 +21,19 @@ from touchline.operators.resolve import (
 )
 from touchline.operators.runlog import FAILED, STAGE, START, SUCCESS
 from touchline.plans.models import MARTS, Models
-from touchline.schemas import DIM_TEAM, FACT_MATCH, RUN_EVENT, column_names
+from touchline.schemas import DIM_TEAM, FACT_MATCH, FACT_STANDING_SNAPSHOT, RUN_EVENT, column_names
+from touchline.session import scratch_folder
 from touchline.sources import documents as docs
-from touchline.sources.tables import publish, read_by_name, read_table, write_snapshots, write_table
+from touchline.sources.tables import (
+    current_version,
+    publish,
+    read_by_name,
+    read_published,
+    read_table,
+    replace_partitions,
+    write_snapshots,
+    write_table,
+)
 
 INTERMEDIATE = "int_team_match_results"
 
@@ -83,30 +95,52 @@ def transform(
     reference: DataFrame,
     competitions: list[str],
 ) -> None:
-    """Flatten the newest landed snapshots into checked processed tables."""
+    """Flatten the newest landed snapshots into checked processed tables.
+
+    Documents are parsed once, into staged tables; the checks read those, and they are what is
+    written. Leagues and snapshot dates that the newest documents do not hold keep their rows.
+    So do clubs of earlier seasons, which older matches refer to; the reference must match the
+    current clubs only.
+    """
+    staging = scratch_folder(spark)
+
+    def staged(name: str, rows: DataFrame) -> DataFrame:
+        write_table(rows, f"{staging}/{name}")
+        return read_table(spark, f"{staging}/{name}", rows.schema)
+
     newest = {
-        name: flatten(docs.scan_newest(spark, raw_root, name))
+        name: staged(name, flatten(docs.scan_newest(spark, raw_root, name)))
         for name, flatten in docs.FLATTEN.items()
     }
-    teams = club_dimension(newest["teams"], reference, competitions)
-    gate(failures({"enriched": teams}, ENRICHED_RULES))
+    enriched = staged("enriched", club_dimension(newest["teams"], reference, competitions))
+    gate(failures({"enriched": enriched}, ENRICHED_RULES))
+    teams = enriched.select(*column_names(DIM_TEAM))
+    if current_version(spark, f"{processed_root}/dim_team"):
+        teams = teams.unionByName(read_clubs(spark, processed_root).join(teams, CLUB_KEY, "left_anti"))
     tables = {
-        "dim_team": teams.select(*column_names(DIM_TEAM)),
+        "dim_team": staged("dim_team", teams),
         "fact_match": newest["matches"],
         "fact_standing_snapshot": newest["standings"],
     }
     gate(failures(tables, fact_rules(competitions)))
-    write_table(tables["dim_team"], f"{processed_root}/dim_team")
-    write_table(tables["fact_match"], f"{processed_root}/fact_match", ["competition_code", "season_id"])
+    publish(spark, {"dim_team": tables["dim_team"]}, f"{processed_root}/dim_team", staging.rsplit("/", 1)[-1], [])
+    replace_partitions(tables["fact_match"], f"{processed_root}/fact_match", LEAGUE)
     write_snapshots(tables["fact_standing_snapshot"], f"{processed_root}/fact_standing_snapshot")
 
 
+def read_clubs(spark: SparkSession, processed_root: str) -> DataFrame:
+    """Every club ever seen, as last written."""
+    return read_published(spark, f"{processed_root}/dim_team", {"dim_team": DIM_TEAM})["dim_team"]
+
+
 def load_base_tables(spark: SparkSession, processed_root: str) -> dict[str, DataFrame]:
     """Processed tables; snapshot files of different ages are united by column name."""
     return {
-        "dim_team": read_table(spark, f"{processed_root}/dim_team", DIM_TEAM),
+        "dim_team": read_clubs(spark, processed_root),
         "fact_match": read_table(spark, f"{processed_root}/fact_match", FACT_MATCH),
-        "fact_standing_snapshot": read_by_name(spark, f"{processed_root}/fact_standing_snapshot"),
+        "fact_standing_snapshot": read_by_name(
+            spark, f"{processed_root}/fact_standing_snapshot", FACT_STANDING_SNAPSHOT
+        ),
     }
 
 

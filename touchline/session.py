@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +62,23 @@ def shared_dir(spark: SparkSession) -> str:
     if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="touchline-")
+
+
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, which need not be a local one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _located(spark, path)
+    return files.exists(folder)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below ``shared_dir``; it is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/touchline-{uuid4().hex}"
+    folder, files = _located(spark, path)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path

@@ -7,10 +7,11 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from touchline.operators.contracts import Rule, failures, gate
 from touchline.schemas import MANIFEST
+from touchline.session import exists
 
 SNAPSHOT = ["competition_code", "snapshot_date"]
 
@@ -25,35 +26,38 @@ def write_table(table: DataFrame, path: str, partition_by: list[str] | None = No
         table.write.mode("overwrite").parquet(path)
 
 
-def write_snapshots(table: DataFrame, path: str) -> None:
-    """Replace exactly the snapshots present in ``table``; other dates stay."""
+def replace_partitions(table: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace exactly the partitions present in ``table``; the others stay."""
     (
-        table.hint("rebalance", *SNAPSHOT)
+        table.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*SNAPSHOT)
+        .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
+def write_snapshots(table: DataFrame, path: str) -> None:
+    """Replace exactly the snapshots present in ``table``; other dates stay."""
+    replace_partitions(table, path, SNAPSHOT)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Parquet scan with a declared schema, also for the folder columns; no file is opened
     to infer one."""
     return spark.read.schema(schema).parquet(path)
 
 
-def read_by_name(spark: SparkSession, path: str) -> DataFrame:
+def read_by_name(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Parquet files united by column name; a column missing from a file is NULL.
 
-    Snapshot dates are text, so partition values are not type-inferred.
+    With a declared schema no footer is opened beforehand. Without one, the columns of all
+    files are found from their footers, and the folder columns are text.
     """
-    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(inference)
-    spark.conf.set(inference, "false")
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    finally:
-        spark.conf.set(inference, before)
+    if schema is None:
+        merged = spark.read.option("mergeSchema", True).parquet(path).schema
+        schema = StructType([StructField(f.name, StringType()) if f.name in SNAPSHOT else f for f in merged])
+    return read_table(spark, path, schema)
 
 
 # --- published versions -----------------------------------------------------------
@@ -92,6 +96,8 @@ def publish(
 
 
 def _current(spark: SparkSession, root: str) -> Row | None:
+    if not exists(spark, f"{root}/_manifest"):
+        return None
     manifest = spark.read.schema(MANIFEST).json(f"{root}/_manifest")
     return manifest.agg(F.max_by(F.struct("version", "folder"), "published_at").alias("last")).first()["last"]
 
