@@ -50,6 +50,8 @@ def test_tokens_equal_the_library(docs_of):
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 512)
     assert len(list(tokens.parts("word " * 60000))) > 3
     assert tokens.count(docs_of([])).count() == 0
+    sizes = [sum(len(p.encode()) for p in group) for _, group in tokens.batches(["語" * 100 + " a"] * 50, 1000)]
+    assert sum(sizes) == 50 * 302 and all(1000 <= s <= 1302 for s in sizes[:-1])
 
 
 def brute_components(rows, width, percent):

@@ -38,13 +38,13 @@ def parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
 
 
 def batches(texts: list[str], size: int = BATCH_BYTES) -> Iterator[tuple[list[int], list[str]]]:
-    """Parts with their text's number, grouped up to about ``size`` characters."""
+    """Parts with their text's number, grouped up to about ``size`` bytes."""
     owners, group, held = [], [], 0
     for i, text in enumerate(texts):
         for part in parts(text):
             owners.append(i)
             group.append(part)
-            held += len(part)
+            held += len(part.encode())
             if held >= size:
                 yield owners, group
                 owners, group, held = [], [], 0
