@@ -175,7 +175,7 @@ def _source_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.failures({"clubs": _current_clubs(spark, sf_dir)}, resolve.SOURCE_RULES)
 
 
-def _resolution_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _resolution_inputs(spark: SparkSession, sf_dir: str, aliased: bool = False) -> tuple[DataFrame, DataFrame]:
     tune(spark)
     nation, region, supplier = (driver.read(spark, sf_dir, n) for n in ("nation", "region", "supplier"))
     searched = driver.clubs_from_nations(nation, region).select(
@@ -183,7 +183,10 @@ def _resolution_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     )
     candidates = driver.candidates_from_suppliers(supplier, nation, region)
     return searched, resolve.resolve_clubs(
-        searched, driver.overrides_from_suppliers(supplier), candidates
+        searched,
+        driver.overrides_from_suppliers(supplier),
+        candidates,
+        driver.search_aliases(nation) if aliased else None,
     )
 
 
@@ -191,6 +194,10 @@ def _resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolution_inputs(spark, sf_dir)[1]
 
 
+def _aliased_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _resolution_inputs(spark, sf_dir, aliased=True)[1]
+
+
 def _candidate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks of the written candidate, as before publication: clubs are resolved once."""
     searched, candidate = _resolution_inputs(spark, sf_dir)
@@ -370,6 +377,7 @@ def core_queries() -> dict[str, Query]:
         "reference_enriched": _enriched,
         "badge_coverage": _coverage,
         "entity_resolution": _resolution,
+        "entity_resolution_aliases": _aliased_resolution,
         "candidate_checks": _candidate_checks,
         "health_overview": _on(health.health_overview, MATCHES, STANDINGS, CURRENT),
         "model_row_counts": lambda spark, sf_dir: models(spark, sf_dir).inventory(),

@@ -312,8 +312,9 @@ WITH ev AS (
 
 RESOLUTION = """
 WITH clubs AS (
-  SELECT l.competition_code, CAST(n_nationkey AS BIGINT) AS team_id, n_name AS team_name, r_name AS preferred
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  SELECT l.competition_code, CAST(n_nationkey AS BIGINT) AS team_id, n_name AS team_name, r_name AS preferred,
+    n_name AS search_name
+  FROM nation n JOIN region ON n_regionkey = r_regionkey
   CROSS JOIN (VALUES ('L0'), ('L1'), ('L2')) l(competition_code)
 ), candidates AS (
   SELECT s_suppkey AS no, CAST(s_suppkey AS VARCHAR) AS id,
@@ -330,9 +331,9 @@ WITH clubs AS (
   SELECT c.competition_code, c.team_id, c.team_name, o.known_id,
     coalesce((SELECT k.no FROM candidates k WHERE k.id = o.known_id),
       CASE WHEN o.known_id IS NULL THEN coalesce(
-        (SELECT min(k.no) FROM candidates k WHERE lower(k.name) = lower(c.team_name) AND k.sport = 'Soccer'
+        (SELECT min(k.no) FROM candidates k WHERE lower(k.name) = lower(c.search_name) AND k.sport = 'Soccer'
           AND lower(k.country) = lower(c.preferred)),
-        (SELECT min(k.no) FROM candidates k WHERE lower(k.name) = lower(c.team_name) AND k.sport = 'Soccer'))
+        (SELECT min(k.no) FROM candidates k WHERE lower(k.name) = lower(c.search_name) AND k.sport = 'Soccer'))
       END) AS no
   FROM clubs c LEFT JOIN overrides o ON c.team_id = o.team_id
 ), resolved AS (
@@ -348,6 +349,12 @@ WITH clubs AS (
 )
 """
 
+ALIASED_RESOLUTION = RESOLUTION.replace(
+    "n_name AS search_name",
+    """coalesce((SELECT x.n_name FROM nation x
+      WHERE n.n_nationkey % 5 = 4 AND x.n_nationkey = n.n_nationkey - 1), n_name) AS search_name""",
+)
+
 LEAGUE_ORDER = "competition_code, season_id"
 
 
@@ -788,6 +795,7 @@ ORACLE: dict[str, str] = {
         ON c.competition_code = t.competition_code AND c.team_id = t.team_id AND t.team_id <> 3
       GROUP BY c.competition_code""",
     "entity_resolution": f"{RESOLUTION} SELECT * FROM resolved",
+    "entity_resolution_aliases": f"{ALIASED_RESOLUTION} SELECT * FROM resolved",
     "candidate_checks": f"""{RESOLUTION}
       SELECT 'candidate' AS model, 'team_id' AS column_name, 'unique' AS rule, count(*) AS failures FROM (
         SELECT 1 FROM resolved GROUP BY competition_code, team_id HAVING count(*) > 1) d

@@ -209,5 +209,17 @@ def test_resolution_order(spark):
     assert found == {("team_id", 0), ("sportsdb_team_id", 4), ("sportsdb_badge_url", 5), ("sportsdb_team_id", 0), ("*", 1)}
 
 
+def test_reviewed_ids_decide(spark):
+    clubs = spark.createDataFrame(
+        [("PD", 77, "Athletic", "Spain")], "competition_code string, team_id bigint, team_name string, preferred_country string"
+    )
+    candidates = spark.createDataFrame(
+        [(1, "5", "Athletic", "Soccer", "Spain", "b"), (2, "133727", "Bilbao", "Soccer", "Spain", "b")],
+        "candidate_no bigint, sportsdb_team_id string, sportsdb_team_name string, sport string, country string, badge_url string",
+    )
+    found = resolve.resolve_clubs(clubs, resolve.reviewed_overrides(spark), candidates).first()
+    assert (found["sportsdb_team_id"], found["status"]) == ("133727", "RESOLVED")
+
+
 def test_reviewed_ids_are_unique():
     assert len(resolve.REVIEWED_IDS) == len(set(resolve.REVIEWED_IDS.values())) == 20

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.text import same_text
@@ -75,6 +75,11 @@ CANDIDATE_RULES = [
 ]
 
 
+def reviewed_overrides(spark: SparkSession) -> DataFrame:
+    """The reviewed ids as override table of ``resolve_clubs``."""
+    return spark.createDataFrame(list(REVIEWED_IDS.items()), "team_id bigint, sportsdb_team_id string")
+
+
 def reference_rules(competitions: list[str]) -> list[Rule]:
     """Reference checks for a build that serves these competitions."""
     return [*REFERENCE_RULES, Rule("reference", ACCEPTED, "competition_code", values=tuple(competitions))]

@@ -16,8 +16,8 @@ def fold_runs(events: DataFrame) -> DataFrame:
 
     A run exists from its first START. Later events overwrite what they set: a stage the
     current stage; success and failure the end, status and duration; failure also the failed
-    stage and message. All of it is one aggregate of min/max_by, so nothing is sorted or
-    collected per run. An event before the START changes nothing: the newest event of a kind
+    stage and message. All of it is one aggregate of min/max_by, combined before the exchange,
+    so no list of events is formed per run. An event before the START changes nothing: the newest event of a kind
     is after the START whenever any event of that kind is.
     """
     at = F.struct("event_ts", "event_id")

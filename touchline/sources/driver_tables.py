@@ -213,6 +213,14 @@ def overrides_from_suppliers(supplier: DataFrame) -> DataFrame:
     )
 
 
+def search_aliases(nation: DataFrame) -> DataFrame:
+    """Every fifth club is searched under the name of the club before it."""
+    before = nation.select((F.col("n_nationkey") + 1).alias("key"), F.col("n_name").alias("search_name"))
+    return nation.join(before, (F.col("n_nationkey") == F.col("key")) & (F.col("n_nationkey") % 5 == 4)).select(
+        F.col("n_name").alias("team_name"), "search_name"
+    )
+
+
 def run_events(events: DataFrame) -> DataFrame:
     """Run events: one run per user and day."""
     ts = F.col("ts").cast("timestamp")
