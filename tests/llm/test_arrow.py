@@ -9,8 +9,9 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from touchline.llm import crf, langid, leaks, neardup, phrases, tokens, toxicity
+from touchline.llm import crf, langid, leaks, mixing, neardup, phrases, tokens, toxicity
 from touchline.llm import words as w
 
 
@@ -118,6 +119,14 @@ def test_one_document_of_each_group_stays(docs_of, copies):
     assert neardup.dedupe(docs_of([])).count() == 0
 
 
+def test_added_names_never_clash(docs_of):
+    docs = docs_of([(1, "a b c", "s", "Times"), (2, "a b c", "s", "Times"), (3, "d e", "s", "Times")])
+    kept = neardup.dedupe(docs)
+    assert kept.columns == docs.columns and {(r["doc_id"], r["Times"]) for r in kept.collect()} == {(1, "x"), (3, "x")}
+    mixed = mixing.mix(docs.withColumnRenamed("Times", "mix_position_").withColumn("MIX_position", F.lit(1)))
+    assert mixed.columns[-3:] == ["mix_copy", "mix_words", "mix_position__"] and mixed.count() > 0
+
+
 def test_index_finds_every_pair_within_the_distance():
     rng = np.random.default_rng(3)
     for percent in (80, 85):

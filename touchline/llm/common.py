@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterable
 from pathlib import Path
 from uuid import uuid4
 
@@ -59,6 +60,14 @@ def staged(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def fresh(name: str, columns: Iterable[str]) -> str:
+    """``name``, with underscores after it until it is none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

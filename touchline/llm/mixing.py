@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import staged
+from touchline.llm.common import fresh, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -158,6 +158,6 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     carry = tuple(docs.columns)
     extra = {"copy": "mix_copy", "words": "mix_words", "position": "mix_position"}
     rows = assign(docs, text, source, key, carry).select("carry", F.explode("copies").alias("one"))
-    fresh = {c: name + "_" * sum(x.startswith(name) for x in carry) for c, name in extra.items()}
-    out = rows.select("carry.*", *[F.col(f"one.{c}").alias(name) for c, name in fresh.items()])
-    return out.orderBy(fresh["position"], key, fresh["copy"])
+    named = {c: fresh(name, carry) for c, name in extra.items()}
+    out = rows.select("carry.*", *[F.col(f"one.{c}").alias(name) for c, name in named.items()])
+    return out.orderBy(named["position"], key, named["copy"])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import staged
+from touchline.llm.common import fresh, staged
 from touchline.llm.components import components
 from touchline.llm.words import WHITE, mix64, word_column
 
@@ -435,10 +435,11 @@ def dedupe(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int
     with an equal text stay once. Null ids cannot stand for a group and stay as they are."""
     found = labelled(docs, text, key, width, percent)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body")
+        F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body")
     )
-    same = (docs[key] == gone["_gone_id"]) & (_body(docs[text]) == gone["_gone_body"])
+    same = (docs[key] == gone["gone_id"]) & (_body(docs[text]) == gone["gone_body"])
     once = Window.partitionBy(key, _body(F.col(text))).orderBy(F.lit(1))
     named = docs.filter(docs[key].isNotNull()).join(gone.distinct(), same, "left_anti")
-    named = named.withColumn("_times", F.row_number().over(once)).filter("_times = 1").select(*docs.columns)
+    times = fresh("times", docs.columns)
+    named = named.withColumn(times, F.row_number().over(once)).filter(F.col(times) == 1).select(*docs.columns)
     return named.unionByName(docs.filter(docs[key].isNull()))
