@@ -223,6 +223,21 @@ def test_leaks(spark, docs_of, words):
     assert leaks.hits(docs, bench.limit(0)).count() == 0 and leaks.hits(docs.limit(0), bench).count() == 0
 
 
+def test_every_round_compares_all_its_passages(spark, docs_of, words, monkeypatch):
+    """An item is found at any offset, wherever the rounds of the search begin."""
+    item = words(18, 1000)
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    (index,) = leaks.build(docs_of([(i, " ".join(words(100, i))) for i in range(30)]), bench)
+    fill = words(150, 5000)
+    texts = pa.array([" ".join(fill[:n] + item + fill[n:]) for n in range(100)])
+    monkeypatch.setattr(leaks, "ROWS", 1 << 20)
+    whole = sorted(leaks.search(texts, index))
+    assert [t for t, *_ in whole] == list(range(100))
+    for rows in (1, 2, 3, 5, 8):
+        monkeypatch.setattr(leaks, "ROWS", rows)
+        assert np.allclose(sorted(leaks.search(texts, index)), whole)
+
+
 def test_leak_recall_against_exact_matching(spark, sf_dir):
     """Every item that stands word for word in a document is found, and little else."""
     from touchline.llm.common import table
