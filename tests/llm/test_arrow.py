@@ -350,3 +350,16 @@ def test_toxic_spans_and_edges(spark, docs_of, words):
     assert [text[a:b] for a, b in found] == ["fouléword", "fouléword", "vileword"]
     assert toxicity.score(docs.limit(0), marks).count() == 0
     assert {r["score"] for r in toxicity.score(docs, marks.limit(0)).collect()} == {0.0}
+
+
+def test_held_out_and_unmatched_labels_teach_nothing(spark, docs_of, words):
+    from zlib import crc32
+
+    docs = docs_of([(i, " ".join([*words(30, i % 37), *["vileword"] * (i % 5 == 0)])) for i in range(400)])
+    held = [i for i in range(400) if crc32(str(i).encode()) % toxicity.FOLDS == toxicity.HELD_OUT]
+    rows = [(i, int(i % 5 == 0)) for i in range(400)]
+    other = [(i, 1 - y if i in held else y) for i, y in rows] + [(i, 1) for i in range(1000, 1200)]
+    other += [r for r in rows if r[0] not in held and r[1]]  # a repeated label counts once
+    a, b = (toxicity.fit(docs, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (rows, other))
+    assert np.array_equal(a.evidence, b.evidence)
+    assert np.allclose(a.field.flat(), b.field.flat()) and np.allclose(a.judge, b.judge)

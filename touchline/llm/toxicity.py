@@ -50,10 +50,13 @@ def _slots(piece: Piece) -> list[np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) -> (slot, n, t): documents and toxic documents having the slot."""
-    n, t = np.zeros((2, int(PLACES[-1])), np.int64)
+    """(toxic, text) -> (slot, n, t): documents and toxic documents having the slot; the slot
+    after all others stands for all documents."""
+    n, t = np.zeros((2, int(PLACES[-1]) + 1), np.int64)
     for batch in batches:
         toxic = batch["toxic"].to_numpy().astype(bool)
+        n[-1] += len(toxic)
+        t[-1] += np.count_nonzero(toxic)
         for piece in pieces(batch["text"], LETTERS):
             for slots in _slots(piece):
                 at = np.flatnonzero(slots >= 0)
@@ -201,18 +204,14 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     rows = training_rows(docs, labels, text, key)
     found = rows.select("toxic", "text").mapInArrow(_counted, "slot int, n long, t long")
     summed = found.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()  # at most all slots
-    per_label = {
-        r["toxic"]: r["count"]
-        for r in labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()
-    }
-    labelled = sum(per_label.values())
-    if not labelled or not summed.num_rows:
-        return None
-    n, t = np.zeros((2, int(PLACES[-1])))
+    n, t = np.zeros((2, int(PLACES[-1]) + 1))
     n[summed["slot"].to_numpy()], t[summed["slot"].to_numpy()] = summed["n"].to_numpy(), summed["t"].to_numpy()
-    share = min(0.99, max(0.01, per_label.get(1, 0) / labelled))
-    table = spark.sparkContext.broadcast(evidence(n, t, share))
-    limit = int(min(1.0, sample / max(1.0, labelled * (FOLDS - 1) / FOLDS)) * (1 << 30))
+    learnt = n[-1]
+    if not n[:-1].any():
+        return None
+    share = min(0.99, max(0.01, t[-1] / learnt))
+    table = spark.sparkContext.broadcast(evidence(n[:-1], t[:-1], share))
+    limit = int(min(1.0, sample / learnt) * (1 << 30))
     part = training_rows(
         docs.withColumnRenamed(key, "doc_id").filter(picked < limit), labels.filter(picked < limit), text
     ).select("toxic", "text").repartition(PARTS)
