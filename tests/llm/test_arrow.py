@@ -250,6 +250,41 @@ def test_leak_recall_against_exact_matching(spark, sf_dir):
     assert len(true & got) >= 0.9 * len(true) and len(got - true) <= max(2, 0.2 * len(true))
 
 
+@pytest.mark.parametrize("times", [1, 10])
+def test_paraphrases_are_candidates_at_any_corpus_size(spark, sf_dir, times):
+    """Items with 10 to 40 % of their words replaced, against the longest common subsequence."""
+    from touchline.llm.common import table
+
+    rng = random.Random(4)
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    items = [(r["item_id"], r["text"].split()) for r in bench.orderBy("item_id").limit(100).collect()]
+    hosts = [r["text"].split() for r in docs.filter("length(text) between 300 and 3000").orderBy("doc_id").limit(60).collect()]
+    corpus = docs
+    for _ in range(times - 1):
+        corpus = corpus.unionByName(docs)
+    (index,) = leaks.build(corpus, bench)
+    number, planted = {i: k for k, i in enumerate(index.ids)}, []
+    for inside in (False, True):
+        pool = sorted({w for _, words in items for w in words}) if inside else [f"qz{n}x" for n in range(500)]
+        for share in (0.1, 0.2, 0.3, 0.4):
+            for i, words in items:
+                body, host = list(words), hosts[rng.randrange(len(hosts))]
+                for at in rng.sample(range(len(body)), int(share * len(body))):
+                    body[at] = rng.choice(pool)
+                cut = rng.randrange(len(host) + 1)
+                planted.append((inside, number[i], body, " ".join(host[:cut] + body + host[cut:])))
+    found = {(t, i) for t, i, *_ in leaks.search(pa.array([p[3] for p in planted]), index)}
+    tried, missed = [0, 0], [0, 0]
+    for t, (inside, i, body, _) in enumerate(planted):
+        text, _ = w.word_column(pa.array([" ".join(body)]), w.LETTERS)
+        share = brute_lcs(index.items[i].tolist(), text.tolist()) / len(index.items[i])
+        answer = brute_lcs(index.answers[i].tolist(), text.tolist()) / len(index.answers[i])
+        if share >= leaks.NEARLY or (share >= leaks.LCS and answer >= leaks.ANSWER):
+            tried[inside] += 1
+            missed[inside] += (t, i) not in found
+    assert min(tried) > 100 and missed[False] == 0 and missed[True] <= 0.02 * tried[True]
+
+
 def brute_marginals(field, scores, begins):
     """By summing over all label paths of each sequence."""
     from itertools import product
