@@ -398,3 +398,18 @@ def test_held_out_and_unmatched_labels_teach_nothing(spark, docs_of, words):
     a, b = (toxicity.fit(docs, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (rows, other))
     assert np.array_equal(a.evidence, b.evidence)
     assert np.allclose(a.field.flat(), b.field.flat()) and np.allclose(a.judge, b.judge)
+
+
+def test_a_text_in_pieces_counts_once(monkeypatch, words):
+    from types import SimpleNamespace
+
+    pool, rng = words(40, 3), random.Random(3)
+    texts = [" ".join(rng.choices(pool, k=k)) for k in (3, 400, 5, 0, 900, 1, 300)] + [None, "lonely"]
+    rows = pa.record_batch({"toxic": pa.array([i % 2 for i in range(len(texts))]), "text": pa.array(texts)})
+    shared = SimpleNamespace(value=leaks.Vocabulary.of(w.word_column(pa.array([" ".join(pool[:30])]), w.LETTERS)[0]))
+    found = []
+    for piece in (1 << 20, 64, 300):
+        monkeypatch.setattr(w, "PIECE", piece)
+        found.append([b.to_pydict() for run in (leaks._counted(shared), toxicity._counted) for b in run(iter([rows, rows]))])
+    assert found[0] == found[1] == found[2]
+    assert max(found[0][0]["n"]) == 2 * len(texts)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import crf
 from touchline.llm.common import crc_bucket
-from touchline.llm.words import LETTERS, Piece, flat, pieces
+from touchline.llm.words import LETTERS, Once, Piece, flat, pieces
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 4000
@@ -57,12 +57,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic = batch["toxic"].to_numpy().astype(bool)
         n[-1] += len(toxic)
         t[-1] += np.count_nonzero(toxic)
+        each = [Once(int(PLACES[-1])) for _ in BITS]
         for piece in pieces(batch["text"], LETTERS):
-            for slots in _slots(piece):
+            for slots, once in zip(_slots(piece), each):
                 at = np.flatnonzero(slots >= 0)
-                # A text cut into pieces counts once per piece.
-                once = np.unique((piece.doc[at] << 20) | slots[at]) if len(at) else at
-                slot, doc = once & ((1 << 20) - 1), once >> 20
+                doc, slot = once.fresh(piece.doc[at], slots[at])
                 n += np.bincount(slot, minlength=len(n))
                 t += np.bincount(slot[toxic[doc]], minlength=len(t))
     seen = np.flatnonzero(n)

@@ -137,6 +137,29 @@ def _piece(code: np.ndarray, at: int, places: np.ndarray) -> Piece:
     return Piece(code, sums, start, end, doc, at)
 
 
+class Once:
+    """Distinct pairs of a text and one of ``size`` slots, over a column's pieces in order.
+
+    Pieces share at most one text: the slots of a piece's last text are held for the next one.
+    """
+
+    def __init__(self, size: int):
+        self.bits, self.doc, self.held = size.bit_length(), -1, np.zeros(size, bool)
+
+    def fresh(self, doc: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs not returned before."""
+        pairs = np.unique((doc << self.bits) | slot)
+        if not len(pairs):
+            return doc, slot
+        doc, slot = pairs >> self.bits, pairs & ((1 << self.bits) - 1)
+        new = (doc != self.doc) | ~self.held[slot]
+        if doc[-1] != self.doc:
+            self.doc = doc[-1]
+            self.held[:] = False
+        self.held[slot[np.searchsorted(doc, self.doc) :]] = True
+        return doc[new], slot[new]
+
+
 def word_column(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word of a column."""
     found = [(p.word_hashes(), p.doc) for p in pieces(texts, table)]
