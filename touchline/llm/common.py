@@ -57,7 +57,16 @@ def staged(frame: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def unstaged(frame: DataFrame) -> None:
+    """Delete the files of a ``staged`` frame that nothing will read again."""
+    spark = frame.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.staged_at)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh(name: str, columns: Iterable[str]) -> str:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, langid, leaks, licenses, mixing, neardup, phrases, secrets, tokens, toxicity
+from touchline.llm import (
+    alignment, chat, codes, langid, leaks, licenses, mixing, neardup, phrases, secrets, tokens, toxicity,
+)
 from touchline.llm.common import table
 
 
@@ -60,6 +62,14 @@ def op5_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
@@ -71,4 +81,6 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_toxicity": op9_toxicity,
     "op10_phrases": op10_phrases,
+    "op11_alignment": op11_alignment,
+    "op12_codes": op12_codes,
 }
