@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import (
-    alignment, chat, codes, langid, leaks, licenses, mixing, neardup, phrases, secrets, tokens, toxicity,
+    alignment, chat, codes, langid, leaks, licenses, mixing, neardup, phrases, secrets, tokens, toxicity, wrappers,
 )
 from touchline.llm.common import table
 
@@ -70,6 +70,10 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
@@ -83,4 +87,5 @@ QUERIES = {
     "op10_phrases": op10_phrases,
     "op11_alignment": op11_alignment,
     "op12_codes": op12_codes,
+    "op13_wrappers": op13_wrappers,
 }
