@@ -140,10 +140,48 @@ SELECT g.doc_id, CAST(len(g.g) AS BIGINT) AS n_shingles, component_id, g.doc_id
 FROM g JOIN least_of USING (doc_id)
 """
 
+
+def _codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Lloyd rounds over components (p, j) of part p; entries are numbered e."""
+
+    def nearest(book: str) -> str:
+        return f"""SELECT vec_id, p, e, dist FROM (
+      SELECT vec_id, p, e, dist, row_number() OVER (PARTITION BY vec_id, p ORDER BY dist, e) AS place FROM (
+        SELECT c.vec_id, c.p, b.e, CAST(sum((c.x - b.y) * (c.x - b.y)) AS BIGINT) AS dist
+        FROM comps c JOIN {book} b ON c.p = b.p AND c.j = b.j GROUP BY c.vec_id, c.p, b.e)) WHERE place = 1"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(f"near{r} AS ({nearest(f'book{r}')})")
+        steps.append(f"""mean{r} AS (SELECT p, e, j, (total - ((total % n) + n) % n) // n AS y FROM (
+      SELECT a.p, a.e, c.j, CAST(sum(c.x) AS BIGINT) AS total, count(*) AS n
+      FROM near{r} a JOIN comps c ON a.vec_id = c.vec_id AND a.p = c.p GROUP BY a.p, a.e, c.j))""")
+        steps.append(f"""book{r + 1} AS (SELECT b.p, b.e, b.j, coalesce(m.y, b.y) AS y
+      FROM book{r} b LEFT JOIN mean{r} m ON b.p = m.p AND b.e = m.e AND b.j = m.j)""")
+    return f"""
+WITH kept AS (SELECT vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+long AS (SELECT vec_id, len(v) // {parts} AS width, unnest(range(len(v))) AS i,
+    unnest(list_transform(v, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS x FROM kept),
+comps AS (SELECT vec_id, i // width AS p, i % width AS j, x FROM long),
+heads AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept),
+book0 AS (SELECT c.p, h.e, c.j, c.x AS y FROM comps c JOIN heads h USING (vec_id) WHERE h.e < {entries}),
+{", ".join(steps)},
+last AS ({nearest(f"book{rounds}")}),
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error
+  FROM last GROUP BY vec_id),
+labelled AS (SELECT c.*, k.label FROM coded c JOIN kept k USING (vec_id)),
+books AS (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, j)) AS sha FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+FROM labelled, books
+"""
+
+
 ORACLE = {
     "op1_secrets": SECRETS,
     "op2_mixing": MIXING,
     "op3_licenses": LICENSES,
     "op4_chat": CHAT,
     "op7_neardup": NEARDUP,
+    "op12_codes": _codes(),
 }

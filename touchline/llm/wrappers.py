@@ -48,6 +48,7 @@ PERIOD = 6  # longest repeated run that is looked for
 DEPTH = 48  # nesting, below which elements count as their ancestor's
 HELD = 20_000  # shapes or results kept in a task
 OPTIONAL, REPEATED = 1, 2
+DROP, KEEP, KEEP_UNLINKED = 0, 1, 2
 ARTICLE, MAIN, CONTENT = 1, 2, 3
 
 # Element names of HTML by their part in a page.
@@ -94,8 +95,9 @@ class Page:
 
     def __init__(self, html: str):
         self.texts: list[str] = []
+        self.links: list[bool] = []  # whether a text is mostly links
         self.run: list[str] = []
-        self.linked = self.total = 0
+        self.linked = 0
         self.in_link = False
         self.root: list = []
         self.open: list[tuple[str, list]] = [("", ["", 0, self.root])]  # tag, element
@@ -103,6 +105,14 @@ class Page:
         self._flush()
         self.members = folded(self.root)
 
+    def main_text(self, keep: list[int]) -> str:
+        """The texts of the slots that are kept, in page order."""
+        chosen = []
+        for how, slot in zip(keep, slots(self.members)):
+            if how:
+                chosen += [n for n in slot[6] if how == KEEP or not self.links[n]]
+        return " ".join(self.texts[n] for n in sorted(chosen))
+
     def _read(self, html: str) -> None:
         at, n = 0, len(html)
         while at < n:
@@ -153,6 +163,7 @@ class Page:
                 mark = int.from_bytes(hashlib.blake2b(text.encode(errors="replace"), digest_size=7).digest())
                 self.open[-1][1][2].append(["#", 0, 1, mark, len(text), self.linked, [len(self.texts)]])
                 self.texts.append(text)
+                self.links.append(2 * self.linked > len(text))
             self.run = []
         self.linked = 0
 
@@ -242,7 +253,20 @@ def _names(group: list) -> set[str]:
 
 
 def _alike(a: list, b: list) -> bool:
-    return a[0] == b[0] and (a[0] != "*" or not _names(a).isdisjoint(_names(b)))
+    """Whether two members can stand at one place: plain elements share a kind of member."""
+    if a[0] != b[0]:
+        return False
+    if a[0] == "#" or a[0] in ("html", "body") or "!" in a[0] or "@" in a[0]:
+        return True
+    return not a[2] or not b[2] or not _names(a).isdisjoint(_names(b))
+
+
+def _repeats(a: list, b: list) -> bool:
+    """Whether neighbours repeat each other: one has no kind of member that the other lacks."""
+    if a[0] != b[0] or a[0] in "#*":
+        return _alike(a, b)
+    x, y = _names(a), _names(b)
+    return x <= y or y <= x
 
 
 def _with(member: list, quantifier: int) -> list:
@@ -305,7 +329,7 @@ def folded(members: list) -> list:
 def _folded_row(members: list) -> list:
     out: list = []
     for m in members:
-        if out and _alike(out[-1], m):
+        if out and _repeats(out[-1], m):
             out[-1] = _with(merged(out[-1], m), REPEATED)
         else:
             out.append(m)
@@ -417,8 +441,8 @@ def templates(members: list) -> list:
     return walk(members, False, any(s[3] is None for s in open_slots(members)))
 
 
-def kept(members: list, wrapper: list) -> list[bool]:
-    """Which of a page's slots, in order, are main text."""
+def kept(members: list, wrapper: list) -> list[int]:
+    """Which of a page's slots, in order, are main text; some of them without lists of links."""
     numbered = [n for n, _ in enumerate(slots(members))]
     marked = iter(numbered)
 
@@ -453,7 +477,8 @@ def kept(members: list, wrapper: list) -> list[bool]:
     out = []
     for n, (boilerplate, kinds) in zip(numbered, where):
         template, links = known.get(n, (False, False))
-        out.append(not boilerplate and not template and (wanted in kinds if wanted else not links))
+        main = not boilerplate and not template and (wanted in kinds if wanted else not links)
+        out.append(DROP if not main else KEEP if wanted else KEEP_UNLINKED)
     return out
 
 
@@ -537,7 +562,7 @@ def expressions(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(page_id, url, html, members) -> page_id, url, text, n_chars."""
-    results: dict[tuple[str, str], list[bool]] = {}
+    results: dict[tuple[str, str], list[int]] = {}
     for batch in batches:
         found = []
         for html, wrapper in zip(batch["html"], batch["members"].to_pylist()):
@@ -547,8 +572,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(results) >= HELD:
                     results.clear()
                 results[name] = kept(page.members, json.loads(wrapper or "[]"))
-            chosen = sorted(n for keep, slot in zip(results[name], slots(page.members)) if keep for n in slot[6])
-            found.append(" ".join(page.texts[n] for n in chosen))
+            found.append(page.main_text(results[name]))
         columns = [batch["page_id"], batch["url"], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
