@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.llm import crf, langid, leaks, mixing, neardup, phrases, tokens, toxicity
+from touchline.llm import components, crf, langid, leaks, mixing, neardup, phrases, tokens, toxicity
 from touchline.llm import words as w
 
 
@@ -104,6 +104,8 @@ def copies(words):
 @pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
 def test_near_duplicates_against_brute_force(docs_of, copies, monkeypatch, dense, width, percent):
     monkeypatch.setattr(neardup, "DENSE", dense)
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 16)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 50)
     got = neardup.groups(docs_of(copies), width=width, percent=percent).collect()
     want = brute_components(copies, width, percent)
     key = lambda r: str(r)
@@ -413,3 +415,19 @@ def test_a_text_in_pieces_counts_once(monkeypatch, words):
         found.append([b.to_pydict() for run in (leaks._counted(shared), toxicity._counted) for b in run(iter([rows, rows]))])
     assert found[0] == found[1] == found[2]
     assert max(found[0][0]["n"]) == 2 * len(texts)
+
+
+@pytest.mark.parametrize("one_task", [0, 1 << 20])
+@pytest.mark.parametrize("held", [3, 1 << 20])
+def test_components_of_both_ways(spark, monkeypatch, one_task, held):
+    monkeypatch.setattr(components, "HELD", held)
+    rng = random.Random(held)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(100 + i, 101 + i) for i in range(30)] + [(7, 7)]
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(3)
+    least = {x: x for e in edges for x in e}
+    for _ in least:
+        for u, v in edges:
+            least[u] = least[v] = min(least[u], least[v])
+    got = {r["node"]: r["root"] for r in components.components(frame, one_task).collect()}
+    assert got == {x: r for x, r in least.items() if x != r}
+    assert components.components(frame.limit(0), one_task).count() == 0

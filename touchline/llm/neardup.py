@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import fresh, staged
@@ -42,8 +42,9 @@ BLOCK = 1 << 16
 WIDTH, PERCENT = 5, 80
 SALTS = (0x51ED270B, 0xB5297A4D)  # of the two hashes that identify a set
 FIRST_KEYS = 4  # of a signature's keys, in the first search across components
-DENSE = 1024  # pairs across components in a bucket, above which they are checked in blocks
+DENSE = 1 << 17  # pairs across components in a bucket, above which they are checked in blocks
 BLOCK_MEMBERS = 256
+BLOCK_SHINGLES = 4096  # of a set, above which blocks have fewer members
 
 # Keys in an order that spreads over the chunks.
 POSITION_ORDER = np.arange(POSITIONS) * 29 % POSITIONS
@@ -237,19 +238,24 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, plan: Plan)
     a, b = (sets.toDF(name, f"set_{name}") for name in ("u", "v"))
     shared = F.arrow_udf(_shared, "long")(F.col("set_u"), F.col("set_v"))
     linked = close.join(a, "u").join(b, "v").select("u", "v", (F.col("n_u") + F.col("n_v")).alias("n"), shared.alias("shared"))
-    return linked.filter(100 * F.col("shared") >= percent * (F.col("n") - F.col("shared"))).select("u", "v").distinct()
+    return linked.filter(100 * F.col("shared") >= percent * (F.col("n") - F.col("shared"))).select("u", "v")
 
 
 def _mixed(buckets: DataFrame, stars: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components: number, key, cid, comp, ``most``
-    (the component with most members), the bucket's size, and if it has many pairs to check."""
+    (the component with most members), the bucket's size, how ``few`` members are not of that
+    component, and if it has many pairs to check."""
     marked = buckets.join(stars.withColumnRenamed("node", "cid"), "cid", "left").select(
         "number", "key", "cid", F.coalesce("root", "cid").alias("comp")
     )
     counts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    # The size above the id, in one number, which unlike a struct needs no sort.
+    id_range = F.lit("1" + "0" * 19).cast("decimal(20,0)")
+    ranked = F.col("n").cast("decimal(18,0)") * id_range + F.col("comp")
     largest = counts.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("most"),
+        (F.max(ranked) % id_range).cast("long").alias("most"),
         F.sum("n").alias("size"),
+        (F.sum("n") - F.max("n")).alias("few"),
         (F.sum("n") * (F.sum("n") - F.max("n")) > DENSE).alias("dense"),
         F.count("*").alias("comps"),
     )
@@ -301,17 +307,16 @@ class _Block:
         return self.values[self.places[i] : self.places[i + 1]]
 
 
-def _block_links(number: int, one: _Block, two: _Block, same: bool, plan: Plan) -> list[dict]:
+def _block_links(number: int, most: int, one: _Block, two: _Block, plan: Plan) -> list[dict]:
     """Links between components, found by checking every candidate pair of two blocks.
 
-    A pair is checked in the bucket of its first shared key only, and not if links found
-    before join its components.
+    Of two members outside the largest component, the smaller id leads. A pair is checked in the
+    bucket of its first shared key only, and not if links found before join its components.
     """
     a, b = one.n[:, None], two.n[None, :]
     common = np.minimum(one.sharable[:, None], two.sharable[None, :])
     wanted = (one.comp[:, None] != two.comp[None, :]) & (100 * common >= plan.percent * (a + b - common))
-    if same:
-        wanted &= np.arange(len(one.cid))[:, None] < np.arange(len(two.cid))
+    wanted &= (two.comp[None, :] == most) | (one.cid[:, None] < two.cid[None, :])
     i, j = np.nonzero(wanted)
     near = (one.signatures[i] != two.signatures[j]).sum(axis=1) <= plan.distance
     i, j = i[near], j[near]
@@ -341,32 +346,41 @@ def _block_links(number: int, one: _Block, two: _Block, same: bool, plan: Plan)
 def _dense(mixed: DataFrame, facts: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     """Links across components in buckets with many pairs to check.
 
-    Members are gathered in blocks of about BLOCK_MEMBERS; two blocks are one row, whose pairs
-    are checked in place, so a large bucket makes blocks but no row per pair.
+    Members outside a bucket's most frequent component are gathered in blocks, and so are all
+    its members; a block of the one kind and one of the other are one row, whose pairs are
+    checked in place, so a large bucket makes blocks but no row per pair. Blocks hold about
+    BLOCK_MEMBERS members, fewer where sets are large. Rows are dealt by bucket and block, so a
+    bucket is no single task's group.
     """
-    count = F.ceil(F.col("size") / BLOCK_MEMBERS)
+    # Sets of a size class are at most twice as large as its smallest; linked ones are at most
+    # ``reach`` classes apart.
+    size_class = F.floor(F.log2(F.greatest(F.col("n") / BLOCK_SHINGLES, F.lit(1.0))))
+    reach = math.ceil(math.log2(100 / plan.percent))
     cells = F.struct("cid", "comp", "n", "sharable", "signature", "shingles")
-    blocks = (
-        mixed.join(facts, "cid")
-        .filter(100 * F.col("sharable") >= plan.percent * F.col("n"))
-        .join(sets, "cid")
-        .withColumn("block", F.pmod(F.xxhash64("cid"), count))
-        .groupBy("number", "key", "block")
-        .agg(F.collect_list(cells).alias("members"))
-    )
+    held = mixed.join(facts, "cid").join(sets, "cid").withColumn("class", size_class)
+
+    def count(members: str, of: str) -> Column:
+        return F.ceil(F.col(members) * F.pow(F.lit(2), F.col(of)) / BLOCK_MEMBERS)
+
+    def gathered(rows: DataFrame, members: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("cid"), count(members, "class")).alias("block")
+        named = rows.select("number", "key", "most", "size", "class", block, cells.alias("cell"))
+        return named.groupBy("number", "key", "most", "size", "class", "block").agg(F.collect_list("cell").alias(name))
+
+    near = F.sequence(F.greatest(F.lit(0), F.col("class") - reach), F.col("class") + reach)
+    few = gathered(held.filter(F.col("comp") != F.col("most")), "few", "one")
+    few = few.withColumn("class", F.explode(near)).withColumn("block", F.explode(F.sequence(F.lit(0), count("size", "class") - 1)))
+    pairs = few.drop("number", "most", "size").join(gathered(held, "size", "two"), ["key", "class", "block"])
 
-    def check(number: pa.Array, same: pa.Array, one: pa.Array, two: pa.Array) -> pa.Array:
+    def check(number: pa.Array, most: pa.Array, one: pa.Array, two: pa.Array) -> pa.Array:
         found = [
-            _block_links(number[r].as_py(), _Block(one, r), _Block(two, r), same[r].as_py(), plan) for r in range(len(number))
+            _block_links(number[r].as_py(), most[r].as_py(), _Block(one, r), _Block(two, r), plan) for r in range(len(number))
         ]
         return pa.array(found, pa.list_(pa.struct([("u", pa.int64()), ("v", pa.int64())])))
 
-    check.__annotations__ = {"number": pa.Array, "same": pa.Array, "one": pa.Array, "two": pa.Array, "return": pa.Array}
-    left = blocks.select("number", "key", F.col("block").alias("i"), F.col("members").alias("one"))
-    right = blocks.select("key", F.col("block").alias("j"), F.col("members").alias("two"))
-    pairs = left.join(right, "key").filter("i <= j")
-    links = F.arrow_udf(check, "array<struct<u:long,v:long>>")("number", F.col("i") == F.col("j"), "one", "two")
-    return pairs.select(F.explode(links).alias("link")).select("link.u", "link.v").distinct()
+    check.__annotations__ = {"number": pa.Array, "most": pa.Array, "one": pa.Array, "two": pa.Array, "return": pa.Array}
+    links = F.arrow_udf(check, "array<struct<u:long,v:long>>")("number", "most", "one", "two")
+    return pairs.select(F.explode(links).alias("link")).select("link.u", "link.v")
 
 
 def _body(text: Column) -> Column:
@@ -399,25 +413,56 @@ def labelled(
     # and the search over all keys then meets few components that are still apart.
     members = buckets.select("number", "key", "cid")
     apart = staged(_mixed(members, stars).select("cid").distinct())
+    # What shares too few shingles with the others is linked with none of them, and leaves the
+    # buckets before their pairs are counted.
     facts = staged(
         classes.join(apart, "cid").join(_own(apart, sets), "cid", "left")
         .select("cid", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("sharable"), "signature")
+        .filter(100 * F.col("sharable") >= percent * F.col("n"))
     )
+    left = facts.select("cid")
+    sets = sets.join(left, "cid")
+
+    def searched(mixed: DataFrame, dense: int, rest: DataFrame) -> DataFrame:
+        found = confirmed(rest, classes, sets, plan)
+        if dense:
+            found = found.unionByName(_dense(mixed.filter("dense"), facts, sets, plan))
+        return components(stars.toDF("u", "v").unionByName(found))
+
     early = F.col("number") < FIRST_KEYS
-    for searched in (members.filter(early), members.filter(~early)):
-        mixed = staged(_mixed(searched, stars))
-        rest = staged(_across(mixed.filter(~F.col("dense")), facts, tested, plan))
-        links = confirmed(rest, classes, sets, plan).unionByName(_dense(mixed.filter("dense"), facts, sets, plan))
-        stars = components(stars.toDF("u", "v").unionByName(links))
-        tested = tested.unionByName(rest)
+    mixed, counts = _counted(_mixed(members.join(left, "cid"), stars), dense=early & F.col("dense"))
+    if not counts["n"]:
+        return _named(rows, classes, stars)
+    first, later = mixed.filter(early), mixed.filter(~early)
+    rest = staged(_across(first.filter(~F.col("dense")), facts, tested, plan))
+    stars = searched(first, counts["dense"], rest)
+    later, counts = _counted(_mixed(later.select("number", "key", "cid"), stars), dense=F.col("dense"))
+    if counts["n"]:
+        rest = _across(later.filter(~F.col("dense")), facts, tested.unionByName(rest), plan)
+        stars = searched(later, counts["dense"], rest)
+    return _named(rows, classes, stars)
+
+
+def _counted(frame: DataFrame, **conditions: Column) -> tuple[DataFrame, dict[str, int]]:
+    """A staged frame, how many rows it has (``n``), and how many meet each condition."""
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("n"), *(F.count_if(c).alias(name) for name, c in conditions.items())]
+    return staged(frame.observe(seen, *metrics)), seen.get
+
+
+def _named(rows: DataFrame, classes: DataFrame, stars: DataFrame) -> DataFrame:
+    """Documents with the least id of their class's component."""
     rooted = classes.join(stars.withColumnRenamed("node", "cid"), "cid", "left").select(
         "h1", "h2", "least", F.coalesce("root", "cid").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
     found = rooted.join(named, "root").select("h1", "h2", "component")
-    return rows.join(found, ["h1", "h2"], "left").select(
-        "doc_id", "body", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    # Rows without words have no class: left out of the join, they are no hot key of it.
+    full, empty = rows.filter(F.col("n") > 0), rows.filter(F.col("n") == 0)
+    return (
+        full.join(found, ["h1", "h2"]).select("doc_id", "body", "n", F.col("component").alias("component_id"))
+        .unionByName(empty.select("doc_id", "body", "n", F.col("doc_id").alias("component_id")))
+    )
 
 
 def groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
