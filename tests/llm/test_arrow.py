@@ -431,3 +431,54 @@ def test_components_of_both_ways(spark, monkeypatch, one_task, held):
     got = {r["node"]: r["root"] for r in components.components(frame, one_task).collect()}
     assert got == {x: r for x, r in least.items() if x != r}
     assert components.components(frame.limit(0), one_task).count() == 0
+
+
+def brute_phrases(text):
+    """The smallest upper halves of the phrases' hashes, by integers."""
+    known, rest, values, limit = set(), "", set(), (1 << 64) - 1
+
+    def mixed(h):
+        for _ in range(2):
+            h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & limit
+        return h ^ (h >> 32)
+
+    for char in text:
+        rest += char
+        if rest not in known:
+            known.add(rest)
+            h = sum((b + 1) * pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k, b in enumerate(rest.encode())) & limit
+            values.add(mixed(h) >> 32)
+            rest = ""
+    return sorted(values)[: phrases.SIZE]
+
+
+def brute_likeness(a, b):
+    both = sorted({*a, *b})[: phrases.SIZE]
+    return sum(v in a and v in b for v in both) / len(both) if a and b else float(len(a) == len(b))
+
+
+def test_fingerprints_against_brute_force(docs_of, words):
+    texts = ["", None, "a", "ab" * 40, "é日本😀" * 30, *(" ".join(words(n, n)) for n in (3, 40, 41, 200, 300)), " ".join(words(200, 200))]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r for r in phrases.neighbours(docs_of(rows)).collect()}
+    shown = lambda values: "".join(f"{v:08x}" for v in values)
+    for i, text in rows:
+        text, following = text or "", texts[(i + 1) % len(texts)] or ""
+        edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
+        own, other, beside = brute_phrases(text), brute_phrases(edited), brute_phrases(following)
+        r = got[i]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (shown(own), shown(other))
+        assert (r["near_edited"], r["near_next"]) == (brute_likeness(own, other), brute_likeness(own, beside))
+
+
+def test_long_phrases_share_the_hash_of_short_ones(words):
+    text = " ".join(words(400, 5))
+    long = "z" * 9_000_000  # its last phrases have over 4,096 bytes
+    one, two = phrases.Parsed(1, text), phrases.Parsed(2, text + long)
+    assert 0 < phrases.likeness(one.values, two.values) < 1
+    assert len(phrases.hashes(["z" * 4097, "z"])) == 2 and phrases.hashes(["z" * 4097, "z"])[1] == phrases.hashes(["z"])[0]
+    # The edited text is, as a whole text of another document, the same text.
+    edited = phrases.Parsed(3, "z" * 8_000_000 + text).row(phrases.Parsed(4, long))
+    whole = ("z" * 8_000_000 + text)[: len(text) + 8_000_000 - (len(text) + 8_000_000) // 4]
+    again = phrases.Parsed(5, whole + long[: (len(text) + 8_000_000) // 4])
+    assert edited[4] == phrases.encoded(again.values)

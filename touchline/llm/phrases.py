@@ -40,17 +40,25 @@ def parse(text: str, phrases: dict[str, None], rest: str = "") -> str:
     return rest
 
 
-_POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
+_FACTOR = 0x9E3779B97F4A7C15
+_powers = np.full(1, _FACTOR, np.uint64)
+
+
+def _grow(n: int) -> np.ndarray:
+    """At least the first ``n`` powers of the factor."""
+    global _powers
+    if len(_powers) < n:
+        _powers = np.cumprod(np.full(max(n, 1 << 12), _FACTOR, np.uint64))
+    return _powers
 
 
 def hashes(phrases: list[str]) -> np.ndarray:
-    """64-bit hashes of phrases, from sums over their bytes; long ones are hashed on their own."""
+    """64-bit hashes of phrases of any length, from sums over their bytes."""
     data, places = flat(pa.array(phrases, pa.large_string()))
     start, end = places[:-1], places[1:]
     inside = np.arange(len(data)) - np.repeat(start, end - start)
-    if len(inside) and inside.max() >= len(_POWERS):
-        return np.array([int.from_bytes(hashlib.blake2b(p.encode(), digest_size=8).digest()) for p in phrases], np.uint64)
-    terms = (data.astype(np.uint64) + np.uint64(1)) * _POWERS[inside]
+    powers = _grow(int(inside.max(initial=0)) + 1)
+    terms = (data.astype(np.uint64) + np.uint64(1)) * powers[inside]
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(terms, out=sums[1:])
     return mix64(sums[end] - sums[start])
