@@ -12,15 +12,17 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators import clubs, contracts, health, history, matches, performance
+from touchline.operators import LEAGUE, clubs, contracts, health, history, matches, performance
 from touchline.operators import resolve, rounds, runlog, season, standings
 from touchline.operators.participants import clubs_of
-from touchline.plans.models import Models
+from touchline.plans import warehouse
+from touchline.plans.models import BUILDERS, SOURCES, Models
 from touchline.schemas import FACT_STANDING_SNAPSHOT, MATCHES_DOCUMENT
 from touchline.session import scratch_folder, tune
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
-from touchline.sources.tables import publish, read_by_name, read_published, write_snapshots, write_table
+from touchline.sources.commits import Store
+from touchline.sources.tables import publish, read_by_name, read_published, read_table, write_snapshots, write_table
 from touchline.streaming.incremental import ingest_new_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,6 +279,96 @@ def _published_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, root, {"standings": table.schema})["standings"]
 
 
+def _two_commits(spark: SparkSession, sf_dir: str, between: Callable[[Store], None]) -> Store:
+    """Base tables in two commits: one competition's matches lack scores in the first."""
+    store = warehouse.base_store(spark, scratch_folder(spark))
+    found = models(spark, sf_dir)
+    late = F.col("competition_code") == driver.COMPETITIONS[0]
+    fact = found["fact_match"]
+    unscored = fact.withColumns({c: F.when(~late, F.col(c)) for c in ("home_score", "away_score", "result")})
+    first = store.commit({**{name: found[name] for name in SOURCES}, "fact_match": unscored}, "v1")
+    between(store)
+    store.commit({"fact_match": fact.filter(late)}, "v2", seen=first)
+    return store
+
+
+def _published_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit three tables together, replace some leagues of one, and read what readers get."""
+    return _two_commits(spark, sf_dir, lambda store: None).read("fact_match").drop("loaded_at")
+
+
+def _incremental_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marts of the first commit, brought up to the second by the leagues it changed."""
+    root = scratch_folder(spark)
+
+    def refresh(store: Store, version: str = "v1") -> Models:
+        return warehouse.refresh_marts(spark, store, root, version, driver.COMPETITIONS, rules=[])
+
+    return refresh(_two_commits(spark, sf_dir, refresh), "v2")[PERFORMANCE]
+
+
+def _latest_standings_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each league's newest table, found among the names of committed parts."""
+    store = warehouse.base_store(spark, scratch_folder(spark))
+    name = "fact_standing_snapshot"
+    commit = store.commit({name: models(spark, sf_dir)[name]}, "v1")
+    return _typed_standings(store.read(name, commit, store.newest_parts(name, commit, LEAGUE, "snapshot_date")))
+
+
+def _dq_at_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of all models, counted while each model is written once from stored ones."""
+    root = scratch_folder(spark)
+    stored = dict(driver.load(tune(spark), sf_dir))
+
+    def write(name: str, rows: DataFrame) -> DataFrame:
+        write_table(rows, f"{root}/{name}")
+        stored[name] = read_table(spark, f"{root}/{name}", rows.schema)
+        return stored[name]
+
+    rules = contracts.model_rules(["L0", "L1"])
+    return contracts.write_and_check({name: lambda n=name: Models(stored)[n] for name in BUILDERS}, rules, write)
+
+
+def _drifted_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of different ages as one table: one column was dropped, one added, one widened."""
+    path = scratch_folder(spark)
+    fact = models(spark, sf_dir)["fact_match"]
+    early, late = fact.filter("season_id < 2001"), fact.filter("season_id >= 2001")
+    write_table(early.select("match_id", "stage", F.col("matchday").cast("short").alias("matchday")), f"{path}/age=early")
+    write_table(late.select("home_score", "matchday", "match_id"), f"{path}/age=late")
+    return read_by_name(spark, path, "match_id bigint, matchday int, home_score int, stage string, age string")
+
+
+def _reference_rows(rows: DataFrame) -> DataFrame:
+    return rows.select("competition_code", "team_id", *resolve.ARTWORK_COLUMNS)
+
+
+def _reference_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the reviewed reference as documents, load it, and let it pass its checks."""
+    path = scratch_folder(spark)
+    nation, region = (driver.read(tune(spark), sf_dir, name) for name in ("nation", "region"))
+    reference = driver.reference_from_nations(nation).drop("team_name")
+    documents = docs.reference_documents(reference, driver.clubs_from_nations(nation, region), "2001-07-01")
+    documents.write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)  # a file holds one document
+    loaded = docs.read_reference(spark, path)
+    contracts.gate(contracts.failures({"reference": loaded}, resolve.reference_rules(driver.COMPETITIONS)))
+    return _reference_rows(loaded)
+
+
+def _reference_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish a complete candidate reference, let a broken one fail, and read the current one."""
+    root = scratch_folder(spark)
+    nation, region = (driver.read(tune(spark), sf_dir, name) for name in ("nation", "region"))
+    found = driver.clubs_from_nations(nation, region)
+    candidate = _reference_rows(driver.reference_from_nations(nation))
+    warehouse.publish_reference(spark, candidate, found, root, "v1")
+    try:
+        warehouse.publish_reference(spark, candidate.filter("team_id <> 3"), found, root, "v2")
+    except contracts.ContractError:
+        return _reference_rows(read_published(spark, f"{root}/reference", {"candidate": candidate.schema})["candidate"])
+    raise AssertionError("an incomplete reference was published")
+
+
 def _files_flatten_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land match documents as JSON files, scan and flatten them."""
     root = scratch_folder(spark)
@@ -318,6 +410,13 @@ def core_queries() -> dict[str, Query]:
         "club_fixtures": _on(_club_fixtures, EXPLORER),
         "chosen_history": _on(_chosen_history, CURRENT, MATCHES, RESULTS),
         "published_standings": _published_standings,
+        "published_base": _published_base,
+        "incremental_marts": _incremental_marts,
+        "latest_standings_by_part": _latest_standings_by_part,
+        "dq_at_write": _dq_at_write,
+        "drifted_union": _drifted_union,
+        "reference_loaded": _reference_loaded,
+        "reference_published": _reference_published,
         "files_flatten_matches": _files_flatten_matches,
         "files_flatten_teams": _files_flatten_teams,
         "club_options": _on(clubs.club_options, MATCHES, TEAMS),

@@ -58,26 +58,20 @@ WITH stg_matches0 AS (
     {LOADED} AS loaded_at
   FROM nation JOIN region ON n_regionkey = r_regionkey
   CROSS JOIN (VALUES ('L0'), ('L1'), ('L2')) l(competition_code)
-), home_rows AS (
-  SELECT CAST(match_id AS VARCHAR) || '-' || CAST(home_team_id AS VARCHAR) AS team_match_key,
-    match_id, competition_id, competition_code, season_id, matchday, utc_date,
-    home_team_id AS team_id, away_team_id AS opponent_team_id, 'HOME' AS venue,
-    home_score AS goals_for, away_score AS goals_against,
-    CASE WHEN result = 'H' THEN 'W' WHEN result = 'D' THEN 'D' WHEN result = 'A' THEN 'L' END AS team_result,
-    CASE WHEN result = 'H' THEN 3 WHEN result = 'D' THEN 1 WHEN result = 'A' THEN 0 END AS points_earned,
-    source_snapshot_date, loaded_at
-  FROM stg_matches WHERE status = 'FINISHED'
-), away_rows AS (
-  SELECT CAST(match_id AS VARCHAR) || '-' || CAST(away_team_id AS VARCHAR) AS team_match_key,
-    match_id, competition_id, competition_code, season_id, matchday, utc_date,
-    away_team_id AS team_id, home_team_id AS opponent_team_id, 'AWAY' AS venue,
-    away_score AS goals_for, home_score AS goals_against,
-    CASE WHEN result = 'A' THEN 'W' WHEN result = 'D' THEN 'D' WHEN result = 'H' THEN 'L' END AS team_result,
-    CASE WHEN result = 'A' THEN 3 WHEN result = 'D' THEN 1 WHEN result = 'H' THEN 0 END AS points_earned,
-    source_snapshot_date, loaded_at
-  FROM stg_matches WHERE status = 'FINISHED'
+), sides(venue) AS (VALUES ('HOME'), ('AWAY')
+), verdicts(venue, result, team_result, points_earned) AS (
+  VALUES ('HOME', 'H', 'W', 3), ('HOME', 'D', 'D', 1), ('HOME', 'A', 'L', 0),
+    ('AWAY', 'A', 'W', 3), ('AWAY', 'D', 'D', 1), ('AWAY', 'H', 'L', 0)
+), appearances AS (
+  SELECT m.*, venue, if(venue = 'HOME', home_team_id, away_team_id) AS team_id,
+    home_team_id + away_team_id - if(venue = 'HOME', home_team_id, away_team_id) AS opponent_team_id,
+    if(venue = 'HOME', home_score, away_score) AS goals_for, if(venue = 'HOME', away_score, home_score) AS goals_against
+  FROM stg_matches m CROSS JOIN sides WHERE status = 'FINISHED'
 ), int_team_match_results AS (
-  SELECT * FROM home_rows UNION ALL SELECT * FROM away_rows
+  SELECT concat_ws('-', match_id, team_id) AS team_match_key, match_id, competition_id, competition_code, season_id,
+    matchday, utc_date, team_id, opponent_team_id, a.venue, goals_for, goals_against, v.team_result, v.points_earned,
+    source_snapshot_date, loaded_at
+  FROM appearances a LEFT JOIN verdicts v ON a.venue = v.venue AND a.result = v.result
 ), snapshot_dates AS (
   SELECT DISTINCT season_id,
     CASE WHEN season_id < 2001 THEN CAST(season_id AS VARCHAR) || '-12-31' ELSE '2001-05-31' END AS snapshot_date
@@ -118,24 +112,27 @@ WITH stg_matches0 AS (
   SELECT s.* FROM stg_standings s
   WHERE snapshot_date = (SELECT max(x.snapshot_date) FROM stg_standings x
     WHERE x.competition_code = s.competition_code AND x.season_id = s.season_id)
-), booked AS (
-  SELECT competition_code, season_id, team_id, count(*) AS n, count(*) FILTER (team_result = 'W') AS w,
-    count(*) FILTER (team_result = 'D') AS d, count(*) FILTER (team_result = 'L') AS l,
-    sum(points_earned) AS pts, sum(goals_for) AS f, sum(goals_against) AS a
-  FROM int_team_match_results GROUP BY ALL
-), paired AS (
-  SELECT latest.*, list_transform([n, w, d, l, pts, f, a], lambda x: CAST(coalesce(x, 0) AS BIGINT)) AS own
-  FROM latest LEFT JOIN booked USING (competition_code, season_id, team_id)
+), tallies AS (
+  SELECT competition_code, season_id, team_id, count(*) AS matches, count(*) FILTER (WHERE team_result = 'W') AS wins,
+    count(*) FILTER (WHERE team_result = 'D') AS draws, count(*) FILTER (WHERE team_result = 'L') AS losses,
+    CAST(sum(points_earned) AS BIGINT) AS gained, CAST(sum(goals_for) AS BIGINT) AS scored,
+    CAST(sum(goals_against) AS BIGINT) AS conceded
+  FROM int_team_match_results GROUP BY competition_code, season_id, team_id
+), compared AS (
+  SELECT latest.*, coalesce(matches, 0) AS matches, coalesce(wins, 0) AS wins, coalesce(draws, 0) AS draws,
+    coalesce(losses, 0) AS losses, coalesce(gained, 0) AS gained, coalesce(scored, 0) AS scored,
+    coalesce(conceded, 0) AS conceded
+  FROM latest LEFT JOIN tallies USING (competition_code, season_id, team_id)
 ), int_standings_reconciliation AS (
   SELECT competition_id, competition_code, season_id, snapshot_date, snapshot_matchday, team_id,
     played AS official_played, won AS official_won, drawn AS official_drawn, lost AS official_lost,
     points AS official_points, goals_for AS official_goals_for, goals_against AS official_goals_against,
-    own[1] AS derived_played, own[2] AS derived_won, own[3] AS derived_drawn, own[4] AS derived_lost,
-    own[5] AS derived_points, own[6] AS derived_goals_for, own[7] AS derived_goals_against,
-    played - own[1] AS played_delta, points - own[5] AS points_delta,
-    goals_for - own[6] AS goals_for_delta, goals_against - own[7] AS goals_against_delta,
-    (played, points, goals_for, goals_against) IS NOT DISTINCT FROM (own[1], own[5], own[6], own[7]) AS is_reconciled
-  FROM paired
+    matches AS derived_played, wins AS derived_won, draws AS derived_drawn, losses AS derived_lost,
+    gained AS derived_points, scored AS derived_goals_for, conceded AS derived_goals_against,
+    played - matches AS played_delta, points - gained AS points_delta,
+    goals_for - scored AS goals_for_delta, goals_against - conceded AS goals_against_delta,
+    coalesce(played = matches AND points = gained AND goals_for = scored AND goals_against = conceded, false) AS is_reconciled
+  FROM compared
 ), mart_current_standings AS (
   SELECT s.competition_code || '-' || CAST(s.season_id AS VARCHAR) || '-' || CAST(s.team_id AS VARCHAR)
       || '-' || s.snapshot_date AS standings_key,
@@ -147,28 +144,19 @@ WITH stg_matches0 AS (
   JOIN stg_teams t ON s.competition_code = t.competition_code AND s.team_id = t.team_id
   LEFT JOIN int_standings_reconciliation r ON s.competition_code = r.competition_code
     AND s.season_id = r.season_id AND s.team_id = r.team_id AND s.snapshot_date = r.snapshot_date
-), by_venue AS (
-  SELECT competition_id, competition_code, season_id, team_id, venue, count(*) AS n,
-    list(team_result) AS results,
-    sum(points_earned) AS pts, sum(goals_for) AS f, count(goals_for) AS fn,
-    sum(goals_against) AS a, count(goals_against) AS an
-  FROM int_team_match_results GROUP BY ALL
-), outcomes AS (
-  SELECT *, len(list_filter(results, lambda x: x = 'W')) AS w,
-    len(list_filter(results, lambda x: x = 'D')) AS d,
-    len(list_filter(results, lambda x: x = 'L')) AS l FROM by_venue
 ), performance0 AS (
-  SELECT competition_id, competition_code, season_id, team_id, CAST(sum(n) AS BIGINT) AS played,
-    CAST(sum(w) AS BIGINT) AS won, CAST(sum(d) AS BIGINT) AS drawn, CAST(sum(l) AS BIGINT) AS lost,
-    CAST(sum(pts) AS BIGINT) AS points, CAST(sum(f) AS BIGINT) AS goals_for, CAST(sum(a) AS BIGINT) AS goals_against,
-    CAST(sum(f) - sum(a) AS BIGINT) AS goal_difference, round(CAST(sum(pts) AS DOUBLE) / sum(n), 3) AS points_per_game,
-    round(CAST(sum(f) AS DOUBLE) / sum(fn), 3) AS goals_for_per_game,
-    round(CAST(sum(a) AS DOUBLE) / sum(an), 3) AS goals_against_per_game,
-    CAST(coalesce(sum(n) FILTER (venue = 'HOME'), 0) AS BIGINT) AS home_played,
-    CAST(coalesce(sum(pts) FILTER (venue = 'HOME'), 0) AS BIGINT) AS home_points,
-    CAST(coalesce(sum(n) FILTER (venue = 'AWAY'), 0) AS BIGINT) AS away_played,
-    CAST(coalesce(sum(pts) FILTER (venue = 'AWAY'), 0) AS BIGINT) AS away_points
-  FROM outcomes GROUP BY ALL
+  SELECT competition_id, competition_code, season_id, team_id, count(*) AS played,
+    count(*) FILTER (WHERE team_result = 'W') AS won, count(*) FILTER (WHERE team_result = 'D') AS drawn,
+    count(*) FILTER (WHERE team_result = 'L') AS lost, CAST(sum(points_earned) AS BIGINT) AS points,
+    CAST(sum(goals_for) AS BIGINT) AS goals_for, CAST(sum(goals_against) AS BIGINT) AS goals_against,
+    CAST(sum(goals_for) - sum(goals_against) AS BIGINT) AS goal_difference,
+    round(CAST(sum(points_earned) AS DOUBLE) / count(*), 3) AS points_per_game,
+    round(CAST(sum(goals_for) AS DOUBLE) / count(goals_for), 3) AS goals_for_per_game,
+    round(CAST(sum(goals_against) AS DOUBLE) / count(goals_against), 3) AS goals_against_per_game,
+    count(*) FILTER (WHERE venue = 'HOME') AS home_played, count(*) FILTER (WHERE venue = 'AWAY') AS away_played,
+    CAST(coalesce(sum(points_earned) FILTER (WHERE venue = 'HOME'), 0) AS BIGINT) AS home_points,
+    CAST(coalesce(sum(points_earned) FILTER (WHERE venue = 'AWAY'), 0) AS BIGINT) AS away_points
+  FROM int_team_match_results GROUP BY competition_id, competition_code, season_id, team_id
 ), mart_team_performance AS (
   SELECT a.competition_code || '-' || CAST(a.season_id AS VARCHAR) || '-' || CAST(a.team_id AS VARCHAR)
       AS team_performance_key,
@@ -835,6 +823,19 @@ ORACLE: dict[str, str] = {
       source_snapshot_date FROM stg_matches""",
     "files_flatten_teams": f"""{TABLES} SELECT team_id, team_name, short_name, tla, country, venue_name, founded,
       club_colors, crest_url, competition_code, '2001-07-01' AS snapshot_date FROM stg_teams""",
+    "published_base": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_matches",
+    "incremental_marts": _rows("mart_team_performance"),
+    "latest_standings_by_part": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM latest",
+    "dq_at_write": " UNION ALL ".join(
+        f"SELECT * FROM ({_checks(kind)})" for kind in ("not_null", "unique", "accepted_values", "relationships")
+    ),
+    "drifted_union": f"""{TABLES} SELECT match_id, matchday, CASE WHEN season_id >= 2001 THEN home_score END AS home_score,
+      CASE WHEN season_id < 2001 THEN stage END AS stage, CASE WHEN season_id < 2001 THEN 'early' ELSE 'late' END AS age
+      FROM stg_matches""",
+    "reference_loaded": f"""{TABLES} SELECT competition_code, team_id, sportsdb_team_id, sportsdb_team_name,
+      sportsdb_badge_url, sportsdb_source, sportsdb_resolution_method, sportsdb_fetched_at FROM stg_teams""",
+    "reference_published": f"""{TABLES} SELECT competition_code, team_id, sportsdb_team_id, sportsdb_team_name,
+      sportsdb_badge_url, sportsdb_source, sportsdb_resolution_method, sportsdb_fetched_at FROM stg_teams""",
     "published_standings": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_standings",
     "snapshot_roundtrip": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_standings",
     "incremental_ingest": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_standings",

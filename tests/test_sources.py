@@ -123,11 +123,27 @@ def test_newest_snapshots_come_from_file_names(spark, tmp_path):
     assert positions(joined) == [("PD", 2), ("S A", 3)]
     # A malformed document in an older folder is never opened.
     (tmp_path / "standings" / "competition_code=PD" / "snapshot_date=2026-08-31" / "broken.json").write_text("{")
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+    assert positions(joined) == [("PD", 2), ("S A", 3)]
     newest = docs.scan_newest(spark, raw, "standings")
-    assert "PartitionFilters: [concat_ws" in newest._jdf.queryExecution().executedPlan().toString()
+    # Its folders are named to the reader, so no other one is listed.
+    assert "InMemoryFileIndex(2 paths)" in newest._jdf.queryExecution().executedPlan().toString()
     assert positions(newest) == [("PD", 2), ("S A", 3)]
 
 
+def test_documents_put_there_by_others_can_be_noted(spark, tmp_path):
+    raw = str(tmp_path)
+    document = driver.standing_documents(standings(spark, [standing(1, 1)]))
+    document.write.partitionBy("competition_code", "snapshot_date").json(f"{raw}/standings")
+    assert docs.scan_newest(spark, raw, "standings").count() == 0
+    docs.note_landed(docs.listed_snapshots(spark, raw, "standings"), raw, "standings")
+    assert docs.scan_newest(spark, raw, "standings").count() == 1
+    store = docs.catalogue(spark, raw)
+    before = store.newest()
+    docs.land(driver.standing_documents(standings(spark, [standing(1, 7)])), raw, "standings")  # the same date again
+    assert [tuple(r) for r in store.changed(before, store.newest()).collect()] == [("standings", "=PD/=2026-08-31")]
+
+
 def test_documents_without_a_competition_are_kept(spark, tmp_path):
     rows = [standing(1, 1), standing(1, 2, competition_code=None), standing(1, 3, competition_code=None, date="2026-09-01")]
     docs.land(driver.standing_documents(standings(spark, rows)), str(tmp_path), "standings")
@@ -191,16 +207,16 @@ def test_build_end_to_end(spark, sf_dir, tmp_path):
     models = warehouse.build(spark, "r1", reference=reference, competitions=driver.COMPETITIONS, **paths)
     assert models["mart_match_explorer"].count() == 1500
     schema = models["mart_team_performance"].schema
-    marts = store.read_published(spark, f"{tmp_path}/w/marts", {"mart_team_performance": schema})
-    want = {(r["team_performance_key"], r["points"]) for r in models["mart_team_performance"].collect()}
-    assert {(r["team_performance_key"], r["points"]) for r in marts["mart_team_performance"].collect()} == want
+    marts = warehouse.mart_store(spark, f"{tmp_path}/w/marts", tables)
+    want = {(r["team_performance_key"], r["points"]) for r in tables["mart_team_performance"].collect()}
+    assert {(r["team_performance_key"], r["points"]) for r in marts.read("mart_team_performance").collect()} == want
+    assert schema == marts.read("mart_team_performance").schema
     runs = {r["run_id"]: r for r in runlog.fold_runs(warehouse.read_events(spark, log)).collect()}
     assert (runs["r0"]["status"], runs["r0"]["failed_stage"]) == ("FAILED", "TRANSFORMATION")
     assert "MISSING" in runs["r0"]["error_message"]
     with pytest.raises(ContractError, match="stg_matches.competition_code accepted_values"):
-        base = warehouse.load_base_tables(spark, paths["processed_root"])
-        warehouse.publish_marts(spark, base, paths["warehouse_root"], "r2", ["L0"])
-    assert store.current_version(spark, f"{tmp_path}/w/marts") == "r1"
+        warehouse.refresh_marts(spark, warehouse.base_store(spark, paths["processed_root"]), str(tmp_path / "w2"), "r2", ["L0"])
+    assert marts.newest().version == "r1"
     assert (runs["r1"]["status"], runs["r1"]["current_stage"], runs["r1"]["failed_stage"]) == ("SUCCESS", "COMPLETE", None)
     assert runs["r1"]["duration_seconds"] > 0
 

@@ -6,11 +6,11 @@ aggregate; key rules group by the key first, so a hot key collapses before the e
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from touchline.functions.outcomes import MATCH_STATES
@@ -192,12 +192,66 @@ def failures(models: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFram
 
 def gate(report: DataFrame) -> None:
     """Raise when a rule fails. Only failing rules reach the driver (one row per rule)."""
-    failed = report.filter(F.col("failures") > 0).collect()
-    if failed:
-        lines = sorted(f"{r['model']}.{r['column_name']} {r['rule']}: {r['failures']}" for r in failed)
+    gate_counts([tuple(r) for r in report.filter(F.col("failures") > 0).collect()])
+
+
+def gate_counts(counts: Iterable[tuple[str, str, str, int]]) -> None:
+    """Raise when one of some (model, column_name, rule, failures) has failures."""
+    lines = sorted(f"{model}.{column} {rule}: {n}" for model, column, rule, n in counts if n)
+    if lines:
         raise ContractError("contract violated\n" + "\n".join(lines))
 
 
+class Observed:
+    """Rules on single rows and whole tables, counted while the table is written.
+
+    The counts are metrics of the write's own job, so they cost no scan; rules on keys cannot
+    be counted that way and read the written table.
+    """
+
+    KINDS = (*ROW_LEVEL, NOT_EMPTY, PRESENT, COVERS)
+
+    def __init__(self, rules: Iterable[Rule]):
+        self.rules = [r for r in rules if r.kind in self.KINDS]
+        self._seen = Observation()
+
+    def watch(self, table: DataFrame) -> DataFrame:
+        """The table, to be written once; the counts are known after that."""
+        if not self.rules:
+            return table
+        counts = [
+            F.expr(f"count_if({broken(r)}) AS c{i}") if r.kind in ROW_LEVEL else F.expr(f"{_absent(r)} AS c{i}")
+            for i, r in enumerate(self.rules)
+        ]
+        return table.observe(self._seen, *counts)
+
+    def counts(self) -> list[tuple[str, str, str, int]]:
+        """(model, column_name, rule, failures); waits for the write to have ended."""
+        found = self._seen.get if self.rules else {}
+        return [(r.model, r.column, r.label, int(found[f"c{i}"])) for i, r in enumerate(self.rules)]
+
+
+def write_and_check(
+    tables: Mapping[str, Callable[[], DataFrame]], rules: Iterable[Rule], write: Callable[[str, DataFrame], DataFrame]
+) -> DataFrame:
+    """Build and write each table once, in order, and report all rules.
+
+    ``write(name, rows)`` stores a table and returns it as stored; a later table may be built
+    from it. (model, column_name, rule, failures) come from the writes' own jobs; those of key
+    rules from the stored tables.
+    """
+    rules = list(rules)
+    counts, stored = [], {}
+    for name, build in tables.items():
+        observed = Observed(r for r in rules if r.model == name)
+        stored[name] = write(name, observed.watch(build()))
+        counts += observed.counts()
+    spark = next(iter(stored.values())).sparkSession
+    report = spark.createDataFrame(counts, "model string, column_name string, rule string, failures bigint")
+    keyed = [r for r in rules if r.kind not in Observed.KINDS]
+    return report.unionByName(failures(stored, keyed)) if keyed else report
+
+
 # --- catalogue -----------------------------------------------------------------
 
 _CLUB_KEY = "competition_code"

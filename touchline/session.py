@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Result-relevant (time zone) and plan-relevant (AQE) settings. The broadcast threshold stays
@@ -82,3 +83,50 @@ def scratch_folder(spark: SparkSession) -> str:
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return path
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A short text file, by the driver alone."""
+    file, files = _located(spark, path)
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write or replace a short text file."""
+    file, files = _located(spark, path)
+    stream = files.create(file, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a short text file with its whole content, unless it exists; of several callers at
+    once one succeeds.
+
+    The text is written apart and then takes its name: by a hard link on a local file system,
+    whose rename would replace, and elsewhere by a rename that must not.
+    """
+    jvm = spark.sparkContext._jvm
+    file, files = _located(spark, path)
+    apart = f"{path}.{uuid4().hex}"
+    write_text(spark, apart, text)
+    written, _ = _located(spark, apart)
+    try:
+        if files.getScheme() == "file":
+            java_path = lambda p: jvm.java.nio.file.Path.of(files.makeQualified(p).toUri())
+            jvm.java.nio.file.Files.createLink(java_path(file), java_path(written))
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri())
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(written, file, options)
+        return True
+    except Py4JJavaError:
+        if not files.exists(file):
+            raise
+        return False
+    finally:
+        files.delete(written, False)

@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.clock import utc_timestamp
 from touchline.functions.outcomes import winner_code
 from touchline.schemas import DOCUMENTS, REFERENCE_DOCUMENT
+from touchline.sources.commits import Store, key_value, part_of
 
 SNAPSHOT = ["competition_code", "snapshot_date"]
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for NULL
 
 
+def catalogue(spark: SparkSession, root: str) -> Store:
+    """What has landed: a part for each dataset's snapshots, without data of its own. A commit's
+    manifest lists all of them, so the newest ones are found without listing a folder."""
+    return Store(spark, f"{root}/_landed", {name: (document_schema(name), SNAPSHOT) for name in DOCUMENTS})
+
+
 def land(documents: DataFrame, root: str, dataset: str) -> None:
     """Write documents as JSON lines under ``<root>/<dataset>/competition_code=/snapshot_date=``.
 
     Landing a date again replaces that date and leaves the others alone. Rebalancing keeps
-    files evenly sized when one competition or date dominates.
+    files evenly sized when one competition or date dominates. Last, the snapshots are noted in
+    the catalogue, whose readers take no notice of them before that.
     """
     (
         documents.hint("rebalance", *SNAPSHOT)
@@ -26,6 +36,17 @@ def land(documents: DataFrame, root: str, dataset: str) -> None:
         .partitionBy(*SNAPSHOT)
         .json(f"{root}/{dataset}")
     )
+    note_landed(documents.select(*SNAPSHOT).distinct(), root, dataset)
+
+
+def note_landed(snapshots: DataFrame, root: str, dataset: str) -> None:
+    """Note snapshots in the catalogue: new ones, and changed ones under a new mark."""
+    spark, mark = snapshots.sparkSession, uuid4().hex
+    parts = snapshots.select(
+        F.lit(dataset).alias("table_name"), part_of(SNAPSHOT).alias("part"), F.lit(mark).alias("attempt"),
+        F.lit(None).cast("bigint").alias("row_count"), F.lit(None).cast("string").alias("checksum"),
+    )
+    catalogue(spark, root).note(parts, mark, forced=True)
 
 
 def document_schema(dataset: str) -> str:
@@ -59,9 +80,17 @@ def scan_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
 
 
 def landed_snapshots(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Distinct (competition_code, snapshot_date) of the landed files, from their names only.
+    """(competition_code, snapshot_date) of what has landed, from the catalogue."""
+    store = catalogue(spark, root)
+    parts = store.parts(dataset, store.newest())
+    return parts.select(*[key_value(F.col("part"), i).alias(name) for i, name in enumerate(SNAPSHOT)])
 
-    The file listing is a table here; no document is opened.
+
+def listed_snapshots(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """(competition_code, snapshot_date) of the files that are there, from their names only.
+
+    The file listing is a table here; no document is opened. ``note_landed`` brings documents
+    into the catalogue that others have put there.
     """
     files = (
         spark.read.format("binaryFile")
@@ -82,22 +111,33 @@ def newest_snapshots(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy("competition_code").agg(F.max("snapshot_date").alias("snapshot_date"))
 
 
+def _snapshot_name() -> Column:
+    return F.concat_ws("/", *[F.coalesce(c, F.lit(NO_VALUE)) for c in SNAPSHOT])
+
+
 def only_snapshots(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """Documents of the wanted snapshots; a missing competition is a value like any other.
 
-    One plan for any number of snapshots: their names become a filter on the folder columns,
-    so other folders are never read. The driver gets one short name per wanted snapshot (one
-    per competition, or those changed by a micro-batch), never documents.
+    A join on a name made of the folder columns, which Spark turns into a filter on the folders
+    while the query runs: other folders are not read, and no name comes to the driver.
     """
-    name = F.concat_ws("/", F.coalesce("competition_code", F.lit(NO_VALUE)), F.coalesce("snapshot_date", F.lit(NO_VALUE)))
-    names = [row[0] for row in wanted.select(name).distinct().collect()]
-    return documents.filter(name.isin(names))
+    names = wanted.select(_snapshot_name().alias("wanted_name")).filter(F.length("wanted_name") > 0).distinct()
+    return documents.join(names, _snapshot_name() == F.col("wanted_name"), "left_semi")
 
 
 def scan_newest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Landed documents of each competition's newest snapshot."""
-    newest = newest_snapshots(landed_snapshots(spark, root, dataset))
-    return only_snapshots(scan(spark, root, dataset), newest)
+    """Landed documents of each competition's newest snapshot.
+
+    Its folder is known from the catalogue, so only these folders are listed and read; the driver
+    gets one short name per competition.
+    """
+    newest = newest_snapshots(landed_snapshots(spark, root, dataset)).select(*SNAPSHOT).collect()
+    if not newest:
+        return spark.createDataFrame([], document_schema(dataset))
+    named = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    folders = ["/".join([f"{root}/{dataset}", *(named(c, r[c]) for c in SNAPSHOT)]) for r in newest]
+    documents = spark.read.schema(document_schema(dataset)).option("mode", "FAILFAST")
+    return documents.option("basePath", f"{root}/{dataset}").json(folders)
 
 
 def newest_documents(documents: DataFrame) -> DataFrame:
