@@ -108,7 +108,13 @@ def test_schedule_is_inverted(spark):
             assert abs(area / total - i / 100) < 1e-9
 
 
-def brute_licenses(text: str):
+def brute_pieces(template: str) -> list[set[str]]:
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), template))
+    n = -(-len(words) // licenses.PIECE)
+    return [set(words[len(words) * i // n : len(words) * (i + 1) // n]) for i in range(n)]
+
+
+def brute_licenses(text: str, templates=licenses.TEMPLATES):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places = []
     for phrase, label in licenses.PHRASES:
@@ -117,9 +123,8 @@ def brute_licenses(text: str):
     labels = {label for _, label in places}
     for start in range(0, max(len(words) - (licenses.BLOCK - licenses.STEP), 1), licenses.STEP):
         block = set(words[start : start + licenses.BLOCK])
-        for label, template in licenses.TEMPLATES:
-            wanted = set(licenses.template_words(template))
-            if len(block & wanted) >= licenses.THRESHOLD * len(wanted) - 1e-9:
+        for label, template in templates:
+            if any(len(block & wanted) >= licenses.THRESHOLD * len(wanted) - 1e-9 for wanted in brute_pieces(template)):
                 labels.add(label)
     return len(words), sorted(places), sorted(labels)
 
@@ -143,6 +148,29 @@ def test_licenses_against_brute_force(docs_of, words):
         assert 0 <= r["score"] <= 1 and (r["score"] > 0) == bool(labels)
 
 
+def test_templates_of_any_length_and_number(docs_of, words):
+    long = [(f"l{n}", " ".join(words(40 + 80 * (n % 3), 100 + n))) for n in range(60)]
+    given = [*long, ("none", "!!"), ("one", "onlyword")]
+    fill = words(200, 7)
+    texts = [" ".join(fill + text.split()[k : k + 70] + fill) for k, (_, text) in enumerate(long)]
+    texts += [text for _, text in long[:4]] + ["onlyword", " ".join(fill), "", None]
+    rows = licenses.scan(docs_of(list(enumerate(texts))), templates=given).collect()
+    labelled = 0
+    for r in rows:
+        *_, labels = brute_licenses(texts[r["doc_id"]], [g for g in given if g[0] != "none"])
+        assert r["labels"] == ",".join(labels)
+        labelled += bool(labels)
+    assert len(rows) == len(texts) and labelled > 30
+    assert {r["labels"] for r in licenses.scan(docs_of([(0, "onlyword")]), templates=[]).collect()} == {""}
+
+
+def test_rest_of_a_licence_is_found(docs_of):
+    whole = dict(licenses.TEMPLATES[10:])
+    for label in ("mit", "bsd"):
+        rest = " ".join(whole[label].split()[45:])
+        assert licenses.scan(docs_of([(0, rest)])).collect()[0]["labels"] == label
+
+
 EVENT = "conv_id long, seq long, turn long, kind string, role string, text string"
 
 
@@ -182,3 +210,24 @@ def test_turn_tables_may_repeat_rows(spark):
     back = chat.read_back(chat.render(chat.fold(chat.events_of(table)))).collect()
     assert sorted((r["conv_id"] or 0, r["n_turns"], r["loss_chars"]) for r in back) == [(0, 1, 1), (1, 3, 0)]
     assert chat.read_back(chat.render(chat.fold(chat.events_of(table.limit(0))))).count() == 0
+
+
+def test_long_conversations_grow_evenly(spark):
+    """Streamed replies fold back, and twice the turns take about twice the time."""
+    import time
+
+    def digest(turns: int):
+        rows = spark.range(turns).selectExpr(
+            "1L AS conv_id", "id AS turn", "CASE WHEN id % 2 = 0 THEN 'user' ELSE 'assistant' END AS role",
+            "repeat(concat('<é😀', id, '>'), CAST(id % 200 AS INT)) AS text",
+        )
+        began = time.monotonic()
+        back = chat.read_back(chat.render(chat.fold(chat.events_of(rows)))).collect()[0]
+        return time.monotonic() - began, back
+
+    digest(100)
+    (short, _), (long, back) = digest(8000), digest(32000)
+    learned = "".join(f"<é😀{i}>" * (i % 200) for i in range(32000) if i % 2)
+    assert back["n_turns"] == 32000 and back["loss_chars"] == len(learned)
+    assert back["loss_sha256"] == hashlib.sha256(learned.encode()).hexdigest()
+    assert long < 8 * short + 2

@@ -10,7 +10,8 @@ gives no conversation.
 Rendering marks each turn and escapes text so that no control string survives inside it:
 backslashes are doubled and a backslash is put after every ``<`` and ``[``. Dropping each
 backslash that escapes gives the text back. A conversation is one output row, so its turns
-meet in one group by definition; conversations are spread over all tasks.
+meet in one group by definition; conversations are spread over all tasks. The work on one grows
+with its length: places of turns are running sums, and masked texts are cut out of equal chunks.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from touchline.llm.common import text_or_empty
 OPEN, SPLIT, CLOSE = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
 RESETS = ("edit", "regenerate")
+CHUNK = 4096  # code points looked through for the ends of one masked text
+STREAMED = 400  # code points of a streamed piece
 
 
 def escape(text: Column) -> Column:
@@ -57,26 +60,16 @@ def fold(events: DataFrame) -> DataFrame:
 
 def render(messages: DataFrame) -> DataFrame:
     """conv_id, formatted, mask: spans (start, end) of the escaped texts that are trained on."""
-    one = F.struct("turn", escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text"), (F.col("role") == TRAINED_ROLE).alias("on"))
-    turns = messages.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("turns"))
-
-    def whole(t: Column) -> Column:
-        return F.concat(F.lit(OPEN), t["role"], F.lit(SPLIT), t["text"], F.lit(CLOSE))
-
-    def step(state: Column, t: Column) -> Column:
-        start = state["at"] + len(OPEN) + F.length(t["role"]) + len(SPLIT)
-        end = start + F.length(t["text"])
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(
-            (end + len(CLOSE)).alias("at"),
-            F.when(t["on"], F.concat(state["mask"], span)).otherwise(state["mask"]).alias("mask"),
-        )
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask"))
-    return turns.select(
-        "conv_id",
-        F.array_join(F.transform("turns", whole), "").alias("formatted"),
-        F.aggregate("turns", zero, step)["mask"].alias("mask"),
+    turns = messages.select(
+        "conv_id", "turn", escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text"),
+        (F.col("role") == TRAINED_ROLE).alias("on"),
+    ).withColumn("whole", F.concat(F.lit(OPEN), "role", F.lit(SPLIT), "text", F.lit(CLOSE)))
+    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text", "on").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.length("whole")).over(so_far).cast("int") - len(CLOSE)
+    placed = turns.withColumn("end", end).withColumn("start", F.col("end") - F.length("text"))
+    return placed.groupBy("conv_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "whole"))), lambda t: t["whole"]), "").alias("formatted"),
+        F.sort_array(F.collect_list(F.when(F.col("on"), F.struct("start", "end")))).alias("mask"),
     )
 
 
@@ -93,9 +86,17 @@ def parse(formatted: Column) -> Column:
 
 def read_back(rendered: DataFrame) -> DataFrame:
     """Digest columns, all taken from the formatted text and its mask."""
-    masked = F.array_join(
-        F.transform("mask", lambda s: unescape(F.substring("formatted", s["start"] + 1, s["end"] - s["start"]))), ""
-    )
+
+    def cut(chunks: Column, span: Column) -> Column:
+        first, last = F.floor(span["start"] / CHUNK).cast("int"), F.floor(span["end"] / CHUNK).cast("int")
+        near = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
+        return F.substring(near, span["start"] - first * CHUNK + 1, span["end"] - span["start"])
+
+    # An array of one, so that the chunks are made once and not for every span.
+    chunked = F.array(F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+    masked = F.transform(
+        chunked, lambda chunks: F.array_join(F.transform("mask", lambda s: unescape(cut(chunks, s))), "")
+    )[0]
     return rendered.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"), masked.alias("loss")).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -108,9 +109,22 @@ def read_back(rendered: DataFrame) -> DataFrame:
     )
 
 
-def events_of(conversations: DataFrame) -> DataFrame:
-    """Each row of a turn table as one message event of its own, also where turns repeat."""
+def events_of(conversations: DataFrame, streamed: int = STREAMED) -> DataFrame:
+    """The event log of a turn table, each row a turn of its own, also where turns repeat.
+
+    Assistant rows are logged as a model's replies come: a regeneration, which voids whatever was
+    there, and deltas of at most ``streamed`` code points. Other rows are one message each.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return conversations.select(
-        "conv_id", F.row_number().over(order).alias("seq"), F.lit("message").alias("kind"), "role", "text"
-    ).withColumn("turn", F.col("seq"))
+    turns = conversations.select("conv_id", F.row_number().over(order).cast("long").alias("turn"), "role", "text")
+    pieces = F.regexp_extract_all(text_or_empty(F.col("text")), F.lit(f"(?s).{{1,{streamed}}}"), F.lit(0))
+    reply = F.concat(F.array(F.lit("")), pieces)
+    first = F.when(F.col("role") == TRAINED_ROLE, "regenerate").otherwise("message")
+    logged = turns.select(
+        "conv_id", "turn", "role", first.alias("first"),
+        F.posexplode(F.when(F.col("role") == TRAINED_ROLE, reply).otherwise(F.array("text"))).alias("n", "text"),
+    )
+    return logged.select(
+        "conv_id", (F.col("turn") * (1 << 32) + F.col("n")).alias("seq"),
+        F.when(F.col("n") == 0, F.col("first")).otherwise("delta").alias("kind"), "role", "text", "turn",
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, THRESHOLD, template_words
+from touchline.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, THRESHOLD, template_pieces
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -81,8 +81,7 @@ def _phrase(phrase: str, label: str) -> str:
       lambda i: {{'place': i, 'label': '{label}'}})"""
 
 
-def _template(number: int, label: str, text: str) -> str:
-    words = template_words(text)
+def _piece(number: int, label: str, words: list[str]) -> str:
     return f"({number}, '{label}', [{', '.join(map(_literal, words))}], {len(words)})"
 
 
@@ -92,7 +91,7 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPP
 b AS (SELECT doc_id, w, list_concat({", ".join(_phrase(*p) for p in PHRASES[:2])}) AS p1,
   list_concat({", ".join(_phrase(*p) for p in PHRASES[2:])}) AS p2 FROM d),
 base AS (SELECT doc_id, w, list_concat(p1, p2) AS places FROM b),
-templates(number, label, words, m) AS (VALUES {", ".join(_template(n, *t) for n, t in enumerate(TEMPLATES))}),
+templates(number, label, words, m) AS (VALUES {", ".join(_piece(n, *p) for n, p in enumerate(template_pieces(TEMPLATES)))}),
 windows AS (SELECT doc_id, list_distinct(w[s:s + {BLOCK - 1}]) AS words FROM (
   SELECT doc_id, w, unnest(range(1, greatest(len(w) - {BLOCK - STEP}, 1) + 1, {STEP})) AS s FROM d)),
 added AS (SELECT doc_id, list(DISTINCT label) AS added, max(shared / m) AS containment FROM (

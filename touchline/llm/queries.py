@@ -31,9 +31,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     ours = "</s>[INST] ok [/INST]"
-    added = spark.createDataFrame(
-        [(-1, 0, "user", ours), (-1, 1, "assistant", ours)], "conv_id long, turn long, role string, text string"
-    )
+    added = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{ours}'), (-1L, 1L, 'assistant', '{ours}') AS t(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat.read_back(chat.render(chat.fold(chat.events_of(rows))))
 
