@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from touchline.operators import LEAGUE, clubs, contracts, health, history, matches, performance
 from touchline.operators import resolve, rounds, runlog, season, standings
 from touchline.operators.participants import clubs_of
-from touchline.plans import warehouse
+from touchline.plans import progress, warehouse
 from touchline.plans.models import BUILDERS, SOURCES, Models
 from touchline.schemas import FACT_STANDING_SNAPSHOT, MATCHES_DOCUMENT
 from touchline.session import scratch_folder, tune
 from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
 from touchline.sources.commits import Store
+from touchline.sources.eventlog import append_batch, compact, read_log
 from touchline.sources.tables import publish, read_by_name, read_published, read_table, write_snapshots, write_table
 from touchline.streaming.incremental import ingest_new_snapshots
 
@@ -63,10 +64,16 @@ def _match_list(explorer: DataFrame) -> DataFrame:
     )
 
 
-def _filtered(explorer: DataFrame) -> DataFrame:
+def _filtered(table: DataFrame, teams: DataFrame) -> DataFrame:
+    explorer = matches.match_explorer(matches.of_named_club(table, teams, "Nation 7"), teams)
     return _match_list(matches.filter_matches(explorer, club="Nation 7", state="Finished"))
 
 
+def _matrix_slots(table: DataFrame, current: DataFrame) -> DataFrame:
+    rows = season.fixture_matrix_slots(table, current)
+    return rows.withColumns({name: F.array_join(name, "|") for name in ("columns", "cells")})
+
+
 def _completed(table: DataFrame) -> DataFrame:
     return rounds.completed_rounds(rounds.round_status(table))
 
@@ -218,6 +225,17 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.fold_runs(driver.run_events(driver.read(spark, sf_dir, "events")))
 
 
+def _runs_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four batches, compacted twice on the way, then folded with what came after."""
+    root = scratch_folder(tune(spark))
+    events = driver.run_events(driver.read(spark, sf_dir, "events"))
+    for batch in range(4):
+        append_batch(events.filter(F.col("event_id") % 4 == batch), root, batch)
+        if batch in (1, 2):
+            compact(spark, root, events.schema, batch)
+    return runlog.fold_deciding(runlog.deciding_events(read_log(spark, root, events.schema)))
+
+
 # --- raw documents ------------------------------------------------------------------
 
 
@@ -307,6 +325,24 @@ def _incremental_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh(_two_commits(spark, sf_dir, refresh), "v2")[PERFORMANCE]
 
 
+def _history_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History stored while the later rounds are still to come, then brought up to date: only the
+    later blocks of rounds are read."""
+    root = scratch_folder(spark)
+    found = models(spark, sf_dir)
+    fact, current = progress.in_blocks(found["fact_match"]), found[CURRENT]
+    store = progress.round_store(spark, f"{root}/rounds")
+    late = F.coalesce(F.col("block") >= 3, F.lit(False))
+    unplayed = {"status": F.when(late, "TIMED").otherwise(F.col("status"))} | {
+        c: F.when(~late, F.col(c)) for c in ("home_score", "away_score", "result")
+    }
+    first = store.commit({"fact_match": fact.withColumns(unplayed)}, "v1")
+    progress.refresh_history(spark, store, f"{root}/history", current, "v1")
+    store.commit({"fact_match": fact.filter(late)}, "v2", seen=first)
+    last = progress.refresh_history(spark, store, f"{root}/history", current, "v2")
+    return history.history_order(progress.stored_history(spark, f"{root}/history", current, last))
+
+
 def _latest_standings_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each league's newest table, found among the names of committed parts."""
     store = warehouse.base_store(spark, scratch_folder(spark))
@@ -406,13 +442,14 @@ def core_queries() -> dict[str, Query]:
         "team_performance": _on(performance.performance_order, PERFORMANCE),
         "match_explorer": _model(EXPLORER),
         "match_list": _on(_match_list, EXPLORER),
-        "match_explorer_filtered": _on(_filtered, EXPLORER),
+        "match_explorer_filtered": _on(_filtered, MATCHES, TEAMS),
         "club_fixtures": _on(_club_fixtures, EXPLORER),
         "chosen_history": _on(_chosen_history, CURRENT, MATCHES, RESULTS),
         "published_standings": _published_standings,
         "published_base": _published_base,
         "incremental_marts": _incremental_marts,
         "latest_standings_by_part": _latest_standings_by_part,
+        "history_resumed": _history_resumed,
         "dq_at_write": _dq_at_write,
         "drifted_union": _drifted_union,
         "reference_loaded": _reference_loaded,
@@ -460,6 +497,7 @@ def core_queries() -> dict[str, Query]:
         "home_vs_away": _on(performance.home_vs_away, PERFORMANCE),
         "fixture_matrix": _on(season.fixture_matrix, MATCHES, CURRENT),
         "fixture_matrix_wide": _matrix_wide,
+        "fixture_matrix_slots": _on(_matrix_slots, MATCHES, CURRENT),
         "dq_not_null": _contract(contracts.not_null_rules()),
         "dq_unique": _contract(contracts.unique_rules()),
         # L2 is deliberately not among the served competitions, so the check has failures.
@@ -481,6 +519,7 @@ def core_queries() -> dict[str, Query]:
         "health_overview": _on(health.health_overview, MATCHES, STANDINGS, CURRENT),
         "model_row_counts": lambda spark, sf_dir: models(spark, sf_dir).inventory(),
         "run_log": _runs,
+        "run_log_compacted": _runs_compacted,
         "pipeline_runs": lambda spark, sf_dir: runlog.latest_runs(_runs(spark, sf_dir)),
         "run_history": lambda spark, sf_dir: runlog.run_history(_runs(spark, sf_dir)),
         "latest_run_line": lambda spark, sf_dir: runlog.latest_run_line(_runs(spark, sf_dir)),

@@ -727,6 +727,18 @@ ORACLE: dict[str, str] = {
         FROM mart_team_performance""",
     "fixture_matrix": f"{TABLES} {_MATRIX}",
     "fixture_matrix_wide": _matrix_wide(),
+    "fixture_matrix_slots": f"""{TABLES}, cells AS ({_MATRIX}),
+    clubs AS (SELECT competition_code, season_id, team_id, short_name, coalesce(tla, short_name, CAST(team_id AS VARCHAR)) AS label
+      FROM mart_current_standings),
+    placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY competition_code, season_id ORDER BY label, team_id) AS INTEGER) AS slot
+      FROM clubs)
+    SELECT h.competition_code, h.season_id, h.team_id AS home_team_id, h.short_name AS home_team, h.slot,
+      string_agg(a.label, '|' ORDER BY a.slot) AS columns,
+      string_agg(coalesce(c.cell, CASE WHEN a.team_id = h.team_id THEN '—' ELSE '·' END), '|' ORDER BY a.slot) AS cells
+    FROM placed h JOIN placed a USING (competition_code, season_id)
+    LEFT JOIN cells c ON c.competition_code = h.competition_code AND c.season_id = h.season_id
+      AND c.home_team_id = h.team_id AND c.away_team_id = a.team_id
+    GROUP BY ALL""",
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),
     "dq_accepted": _checks("accepted_values"),
@@ -806,6 +818,7 @@ ORACLE: dict[str, str] = {
         / (SELECT count(*) FROM mart_current_standings) * 100 AS reconciliation_rate""",
     "model_row_counts": _inventory(),
     "run_log": f"{RUNS} SELECT * FROM runs",
+    "run_log_compacted": f"{RUNS} SELECT * FROM runs",
     "pipeline_runs": f"{RUNS} SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 10",
     "run_history": f"""{RUNS} SELECT run_id, strftime(started_at, '%d %b %Y • %H:%M UTC') AS started, status,
       current_stage AS stage, failed_stage, round(duration_seconds, 2) AS duration_s, error_message AS error
@@ -824,6 +837,7 @@ ORACLE: dict[str, str] = {
     "files_flatten_teams": f"""{TABLES} SELECT team_id, team_name, short_name, tla, country, venue_name, founded,
       club_colors, crest_url, competition_code, '2001-07-01' AS snapshot_date FROM stg_teams""",
     "published_base": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM stg_matches",
+    "history_resumed": _rows("position_history"),
     "incremental_marts": _rows("mart_team_performance"),
     "latest_standings_by_part": f"{TABLES} SELECT * EXCLUDE (loaded_at) FROM latest",
     "dq_at_write": " UNION ALL ".join(

@@ -52,9 +52,23 @@ def history_rows(current: DataFrame, matches: DataFrame, results: DataFrame) ->
     checkpoints = completed_rounds(round_status(matches)).select(*LEAGUE, "matchday")
     grid = clubs.join(checkpoints, LEAGUE)
     dense = grid.join(round_totals(results), [*LEAGUE, "team_id", "matchday"], "left")
-    table = running_totals(dense, [*LEAGUE, "team_id"], "matchday", MEASURES).withColumn(
-        "goal_difference", F.col("goals_for") - F.col("goals_against")
-    )
+    return ranked(running_totals(dense, [*LEAGUE, "team_id"], "matchday", MEASURES))
+
+
+def resumed_rows(clubs: DataFrame, seeds: DataFrame, matches: DataFrame, results: DataFrame) -> DataFrame:
+    """The rounds after a known one: ``seeds`` holds the totals each club had there, ``matches`` and
+    ``results`` the rounds since. Leagues without a seed start from nothing."""
+    checkpoints = completed_rounds(round_status(matches)).select(*LEAGUE, "matchday")
+    dense = clubs.join(checkpoints, LEAGUE).join(round_totals(results), [*LEAGUE, "team_id", "matchday"], "left")
+    columns = [*LEAGUE, "team_id", "matchday", *MEASURES]
+    known = seeds.select(*columns).withColumn("seed", F.lit(True))
+    rows = dense.select(*columns).withColumn("seed", F.lit(False)).unionByName(known)
+    return ranked(running_totals(rows, [*LEAGUE, "team_id"], "matchday", MEASURES).filter(~F.col("seed")).drop("seed"))
+
+
+def ranked(totals: DataFrame) -> DataFrame:
+    """Running totals with goal difference, position and table size at each checkpoint."""
+    table = totals.withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
     checkpoint = W.partitionBy(*LEAGUE, "matchday")
     best_first = checkpoint.orderBy(
         F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc()

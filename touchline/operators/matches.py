@@ -86,6 +86,16 @@ def filter_matches(
     return explorer
 
 
+def of_named_club(matches: DataFrame, teams: DataFrame, club: str) -> DataFrame:
+    """Matches of the clubs with a short name, on either side, picked by id from the club table, so
+    that only these meet the club columns. A competition's few clubs of that name are the small side."""
+    named = teams.filter(F.col("short_name") == club).select(
+        F.col("competition_code").alias("code"), F.col("team_id").alias("club_id")
+    )
+    plays = (F.col("home_team_id") == F.col("club_id")) | (F.col("away_team_id") == F.col("club_id"))
+    return matches.join(named, (F.col("competition_code") == F.col("code")) & plays, "left_semi")
+
+
 def fixtures_of(explorer: DataFrame, team_id: int) -> DataFrame:
     """All matches of one club, home or away."""
     return explorer.filter((F.col("home_team_id") == team_id) | (F.col("away_team_id") == team_id))

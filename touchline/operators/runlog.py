@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,62 @@ def fold_runs(events: DataFrame) -> DataFrame:
         newest(FAILED).alias("failure"),
     )
 
+    return _states(folded)
+
+
+# Event times count in microseconds, times a number above the span of event ids.
+ID_SPAN = Decimal(20_000_000_000_000_000_000)
+
+
+def deciding_events(events: DataFrame) -> DataFrame:
+    """The events that a run's state rests on: its first START and its newest step, end and failure.
+
+    These are at most four of a run, and themselves a log: folding them with later events gives
+    what folding all events gives, in any grouping, and an event folded twice changes nothing.
+    Places in time are one number each, so they are found by hashed aggregates; the events are
+    then picked by a join on the run. Event ids are unique within a log.
+    """
+    micros = F.coalesce(F.unix_micros("event_ts"), F.lit(-5 * 10**17).cast("long")).cast("decimal(18,0)")
+    place = micros * F.lit(ID_SPAN) + F.coalesce("event_id", F.lit(-(2**63)).cast("long")).cast("decimal(19,0)")
+    placed = events.withColumn("_place", place.cast("decimal(38,0)"))
+
+    def kind(*kinds: str) -> Column:
+        return F.when(F.col("event").isin(*kinds), F.col("_place"))
+
+    ends = {"_first": F.min(kind(START)), "_step": F.max(kind(STAGE, SUCCESS, FAILED)),
+            "_end": F.max(kind(SUCCESS, FAILED)), "_failure": F.max(kind(FAILED))}
+    marks = placed.groupBy(F.col("run_id").alias("_run")).agg(*[v.alias(k) for k, v in ends.items()])
+    wanted = (
+        (F.col("event").isin(START) & (F.col("_place") == F.col("_first")))
+        | (F.col("event").isin(STAGE, SUCCESS, FAILED) & (F.col("_place") == F.col("_step")))
+        | (F.col("event").isin(SUCCESS, FAILED) & (F.col("_place") == F.col("_end")))
+        | (F.col("event").isin(FAILED) & (F.col("_place") == F.col("_failure")))
+    )
+    return placed.join(marks, F.col("run_id").eqNullSafe(F.col("_run"))).filter(wanted).select(*events.columns).distinct()
+
+
+def fold_deciding(events: DataFrame) -> DataFrame:
+    """State of every run from its deciding events: a list of at most four rows a run."""
+    row = F.struct("event_ts", "event_id", "event", "stage", "error_message", "competition_code")
+    rows = events.groupBy("run_id").agg(F.collect_list(row).alias("rows"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("rows", lambda r: r["event"].isin(*kinds))
+
+    return _states(
+        rows.select(
+            "run_id",
+            F.array_min(of(START)).alias("first"),
+            F.array_max(of(STAGE, SUCCESS, FAILED)).alias("step"),
+            F.array_max(of(SUCCESS, FAILED)).alias("end"),
+            F.array_max(of(FAILED)).alias("failure"),
+        )
+    )
+
+
+def _states(folded: DataFrame) -> DataFrame:
+    """The shown row of each run from its first START and its newest step, end and failure."""
+
     def after_start(name: str) -> Column:
         event = F.struct(F.col(f"{name}.event_ts"), F.col(f"{name}.event_id"))
         start = F.struct(F.col("first.event_ts"), F.col("first.event_id"))

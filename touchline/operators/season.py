@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.outcomes import match_state
@@ -71,6 +71,42 @@ def fixture_matrix(matches: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+def fixture_matrix_slots(matches: DataFrame, current: DataFrame) -> DataFrame:
+    """The matrix as one row per home club with its league's cells in an array.
+
+    The clubs of a league have numbered places, by label and then id; ``columns`` names them and
+    ``cells`` follows them. A row is as wide as its own league, whatever other leagues there are,
+    and no club comes to the driver. Fixtures are blank or marked as in the wide form.
+    """
+    label = F.coalesce("tla", "short_name", F.col("team_id").cast("string"))
+    place = F.row_number().over(Window.partitionBy(*LEAGUE).orderBy("label", "team_id"))
+    clubs = current.select(*LEAGUE, "team_id", "short_name", label.alias("label")).withColumn("slot", place)
+    named = F.sort_array(F.collect_list(F.struct("slot", "label")))
+    columns = clubs.groupBy(*LEAGUE).agg(F.transform(named, lambda c: c["label"]).alias("columns"))
+    away = clubs.select(*LEAGUE, F.col("team_id").alias("away_team_id"), "slot")
+    cells = (
+        fixture_matrix(matches, current)
+        .join(away, [*LEAGUE, "away_team_id"])
+        .groupBy(*LEAGUE, "home_team_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("slot", "cell"))).alias("known"))
+    )
+    home = clubs.select(*LEAGUE, F.col("team_id").alias("home_team_id"), F.col("short_name").alias("home_team"), "slot")
+
+    def cell(slot: Column) -> Column:
+        return F.coalesce(
+            F.try_element_at("known", slot), F.when(slot == F.col("slot"), F.lit(SELF_CELL)).otherwise(F.lit(BLANK_CELL))
+        )
+
+    return (
+        home.join(columns, LEAGUE)
+        .join(cells, [*LEAGUE, "home_team_id"], "left")
+        .select(
+            *LEAGUE, "home_team_id", "home_team", "slot", "columns",
+            F.transform(F.sequence(F.lit(1), F.size("columns")), cell).alias("cells"),
+        )
+    )
+
+
 def matrix_columns(current: DataFrame) -> dict[int, str]:
     """Away columns of the wide matrix: club id -> label, by label.
 
