@@ -482,3 +482,42 @@ def test_long_phrases_share_the_hash_of_short_ones(words):
     whole = ("z" * 8_000_000 + text)[: len(text) + 8_000_000 - (len(text) + 8_000_000) // 4]
     again = phrases.Parsed(5, whole + long[: (len(text) + 8_000_000) // 4])
     assert edited[4] == phrases.encoded(again.values)
+
+
+def test_words_of_code_switched_texts(spark, docs_of):
+    """Texts spliced from documents of several languages: runs name the language of nearly every word."""
+    import regex
+
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang IS NOT NULL AND text IS NOT NULL")
+    model = langid.fit(table.select("doc_id", "lang", "text"))
+    by_lang: dict[str, list[str]] = {}
+    for r in table.orderBy("doc_id").collect():
+        by_lang.setdefault(r["lang"], []).append(r["text"])
+    rows, gold = [], {}
+    for n in range(40):
+        parts, truth = [], []
+        for k, lang in enumerate(sorted(by_lang)):
+            picked = by_lang[lang][(n + k) % len(by_lang[lang])].split()[: 12 + n % 7]
+            parts.append(" ".join(picked) + " 😀 ")
+            truth += [lang] * len(parts[-1])
+        rows.append((n, "".join(parts)))
+        gold[n] = truth
+    rows += [(100, None), (101, ""), (102, "1 2 !!"), (103, rows[0][1] * 2000)]
+    docs = docs_of(rows)
+    text = dict(rows)
+    found: dict[int, list] = {}
+    for r in langid.words(docs, model).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    assert not {100, 101, 102} & set(found) and 103 in found
+    right = total = 0
+    for n in range(40):
+        runs = sorted(found[n], key=lambda r: r["start"])
+        assert all(a["end"] <= b["start"] and a["lang"] != b["lang"] for a, b in zip(runs, runs[1:]))
+        for r in runs:
+            assert 0 < r["marginal"] <= 1 and r["start"] < r["end"] <= len(text[n])
+            for w in regex.finditer(r"\p{L}+", text[n][r["start"] : r["end"]]):
+                total += 1
+                right += gold[n][r["start"] + w.start()] == r["lang"]
+        assert sum(r["n_words"] for r in runs) >= len(sorted(by_lang)) * 10
+    assert right >= 0.95 * total
+    assert langid.words(docs, (model[0], model[1], [])).count() == 0 and langid.words(docs.limit(0), model).count() == 0

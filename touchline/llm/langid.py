@@ -7,9 +7,13 @@ log-likelihoods per language of its whole form (lexicon), its first and last thr
 The field's weights and transitions are learned on a sample of about ``SAMPLE`` training rows,
 spliced into one run so that language changes occur.
 
+``words`` labels code-switched text: runs of words of one language, with their places.
+
 Training rows have a language and crc32(id as text) mod 5 other than 0. Null texts and texts
 without a letter are ``und`` with score 0; so is everything if there is no training row.
-Repeated rows are predicted alike, one by one; extra columns are ignored.
+Repeated rows are predicted alike, one by one; extra columns are ignored; of languages that are
+equally likely the first by name is taken; an empty table gives an empty result; a very long
+text is read in pieces, and its words go through the field as one sequence.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import crf
 from touchline.llm.common import crc_bucket
-from touchline.llm.words import LETTERS, Piece, pieces
+from touchline.llm.words import LETTERS, Piece, flat, pieces
 
 FOLDS, HELD_OUT = 5, 0
 SAMPLE = 2000
@@ -204,3 +208,51 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     kind = seen.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, lang_pred string, score double"
     return seen.mapInArrow(_predicted(shared, model, names), schema)
+
+
+def words(
+    docs: DataFrame, model: tuple[np.ndarray, crf.Crf, list[str]], text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """Runs of neighbouring words of one language: doc_id, start, end (code points, end exclusive),
+    lang, n_words and marginal, the mean over the run's words.
+
+    ``model`` is what ``fit`` gives. The words' distributions are those whose mean ``identify``
+    takes. Texts without a letter have no run, nor has any text if no language was learned.
+    """
+    table, field, names = docs.sparkSession.sparkContext.broadcast(model[0]), model[1], model[2]
+    lettered = F.when(F.col(text).rlike(r"\p{L}"), F.col(text))
+    rows = docs.select(F.col(key).alias("doc_id"), lettered.alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for piece in pieces(batch["text"], LETTERS) if names else ():
+                if len(piece.start):
+                    scores = field.scores(features(piece, table.value))
+                    found.append((piece.doc, piece.start + piece.offset, piece.end + piece.offset, scores))
+            if not found:
+                continue
+            doc, start, end, scores = (np.concatenate(x) for x in zip(*found))
+            each = crf.marginals(field, scores, np.concatenate([[True], doc[1:] != doc[:-1]]))
+            best = each.argmax(axis=1)
+            fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (best[1:] != best[:-1])])
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(doc)) - 1
+            n = last - first + 1
+            data, places = flat(batch["text"])
+            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+            base = chars[places[doc[first]]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["doc_id"].take(pa.array(doc[first])),
+                    pa.array(chars[start[first]] - base),
+                    pa.array(chars[end[last]] - base),
+                    pa.array([names[b] for b in best[first]], pa.string()),
+                    pa.array(n),
+                    pa.array(np.add.reduceat(each[np.arange(len(best)), best], first) / n),
+                ],
+                ["doc_id", "start", "end", "lang", "n_words", "marginal"],
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, start long, end long, lang string, n_words long, marginal double")

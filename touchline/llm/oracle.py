@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from touchline.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, THRESHOLD, template_pieces
+from touchline.llm.mixing import SCHEDULES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,26 +52,46 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN folded USING (doc_id)
 """
 
-MIXING = r"""
+
+
+def _time_of(schedule: tuple[float, ...], used: str) -> str:
+    """When a weight schedule, linear between equally spaced times, has used up a share of its area."""
+    steps = len(schedule) - 1
+    areas = [(schedule[i] + schedule[i + 1]) / 2 for i in range(steps)]
+    cases = []
+    for i in range(steps):
+        a, slope = schedule[i], schedule[i + 1] - schedule[i]
+        rest = f"({used} - {sum(areas[:i]) / sum(areas)!r}::DOUBLE) * {sum(areas)!r}::DOUBLE"
+        root = f"(sqrt(greatest({a * a!r}::DOUBLE + {2 * slope!r}::DOUBLE * ({rest}), 0)) - {a!r}::DOUBLE) / {slope!r}::DOUBLE"
+        inside = root if slope else f"({rest}) / {a!r}::DOUBLE"
+        cases.append(f"WHEN {used} <= {sum(areas[: i + 1]) / sum(areas)!r}::DOUBLE THEN ({inside} + {i}) / {steps}.0::DOUBLE")
+    return f"CASE {' '.join(cases)} ELSE 1.0::DOUBLE END"
+
+
+MIXING = rf"""
 WITH d AS (SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+    , row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
   FROM d GROUP BY source),
 t AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
       - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),
-u AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, (max(level) OVER ()) * weight) AS target FROM t),
-p AS (SELECT d.doc_id, d.size, u.source_size, u.target,
+u AS (SELECT source, rank, source_size, least(2.0::DOUBLE * source_size, (max(level) OVER ()) * weight) AS target FROM t),
+p AS (SELECT d.doc_id, d.size, u.rank, u.source_size, u.target,
     sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS begins
   FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, round(target)::BIGINT - begins))
-    + greatest(0, least(size, round(target)::BIGINT - begins - source_size)) AS BIGINT) AS taken
-FROM p
+SELECT doc_id, size, source_size, target, one + two AS taken, n_copies,
+  round(CASE WHEN n_copies > 0 THEN CASE rank % 3 {" ".join(f"WHEN {i} THEN {_time_of(x, 'used')}" for i, x in enumerate(SCHEDULES))} END END, 9)
+    AS first_position
+FROM (SELECT *, CAST((one > 0)::INT + (two > 0)::INT AS BIGINT) AS n_copies,
+    CASE WHEN one > 0 THEN begins + one / 2 ELSE begins + source_size + two / 2 END / greatest(round(target), 1) AS used
+  FROM (SELECT *, CAST(greatest(0, least(size, round(target)::BIGINT - begins)) AS BIGINT) AS one,
+      CAST(greatest(0, least(size, round(target)::BIGINT - begins - source_size)) AS BIGINT) AS two FROM p))
 """
 
 

@@ -17,11 +17,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.assign(table(spark, sf_dir, "documents"))
+    first = F.get("copies", F.lit(0))["position"]
     return (
-        rows.withColumn("first_position", F.get("copies", F.lit(0))["position"])
+        rows.withColumn("first_position", F.round(first, 9))
+        .withColumn("n_copies", F.size("copies").cast("long"))
         .drop("copies")
         .orderBy(F.asc_nulls_last("first_position"), "doc_id")
-        .drop("first_position")
     )
 
 
