@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from importlib.util import find_spec
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from touchline.sources import documents as docs
 from touchline.sources import driver_tables as driver
 from touchline.sources.commits import Store
 from touchline.sources.eventlog import append_batch, compact, read_log
-from touchline.sources.tables import publish, read_by_name, read_published, read_table, write_snapshots, write_table
+from touchline.sources.tables import (
+    publish, read_by_name, read_published, read_table, write_bucketed, write_snapshots, write_table,
+)
 from touchline.streaming.incremental import ingest_new_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,6 +408,19 @@ def _reference_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("an incomplete reference was published")
 
 
+def _colocated_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest official tables and the sums of rounds in the same buckets: compared without a shuffle."""
+    root = scratch_folder(spark)
+    found = models(spark, sf_dir)
+    keys, buckets = [*LEAGUE, "team_id"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = {"official": standings.latest_per_league(found[STANDINGS]), "rounds": performance.round_sums(found[RESULTS])}
+    stored = {
+        name: write_bucketed(rows, f"{name}_{uuid4().hex}", f"{root}/{name}", keys, buckets)
+        for name, rows in tables.items()
+    }
+    return standings.reconcile_official(stored["official"], performance.totals_of_rounds(stored["rounds"]))
+
+
 def _files_flatten_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land match documents as JSON files, scan and flatten them."""
     root = scratch_folder(spark)
@@ -472,6 +488,8 @@ def core_queries() -> dict[str, Query]:
         "latest_standings": _on(standings.latest_per_league, STANDINGS),
         "snapshot_freshness": _on(standings.snapshot_freshness, STANDINGS),
         "reconciliation": _model(RECONCILIATION),
+        "colocated_reconciliation": _colocated_reconciliation,
+        "multi_season_reconciliation": _on(standings.competition_reconciliation, RECONCILIATION),
         "reconciliation_detail": _on(standings.reconciliation_detail, CURRENT),
         "unreconciled": _on(standings.unreconciled, CURRENT),
         "reconciliation_summary": _on(standings.reconciliation_summary, CURRENT),

@@ -1,18 +1,21 @@
-"""History that goes on from stored blocks of rounds, compacted run logs, matrices by place."""
+"""History that goes on from stored blocks of rounds, compacted run logs, matrices by place, tables in buckets."""
 
 from __future__ import annotations
 
 import itertools
 import random
 
-from frames import match, matches, teams
+from frames import match, matches, standing, standings, teams
 from pyspark.sql import functions as F
 
-from touchline.operators import history, runlog, season
+from touchline.operators import LEAGUE, history, runlog, season
 from touchline.operators.matches import filter_matches, match_explorer, of_named_club
 from touchline.operators.participants import team_match_results
+from touchline.operators.performance import derived_totals, round_sums, totals_of_rounds
+from touchline.operators.standings import competition_reconciliation, reconcile_official, standings_reconciliation
 from touchline.plans import progress
 from touchline.sources import eventlog
+from touchline.sources.tables import open_bucketed, write_bucketed
 
 CLUBS = [1, 2, 3, 4]
 PLACES = "competition_code string, season_id long, team_id long, short_name string, tla string, sportsdb_badge_url string, position int"
@@ -156,3 +159,41 @@ def test_named_clubs_are_picked_before_their_columns_are_joined(spark):
         assert sorted(r["match_id"] for r in picked.collect()) == sorted(r["match_id"] for r in whole.collect())
     plan = match_explorer(of_named_club(played, clubs, "C1"), clubs)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and plan.index("Inner") < plan.index("LeftSemi")
+
+
+def test_tables_in_the_same_buckets_join_without_a_shuffle(spark, tmp_path):
+    hot = [match(n, n % 5 if n % 7 else None, 1, 2 + n % 3, (n % 4, 1)) for n in range(300)]  # one club plays in all
+    results = team_match_results(matches(spark, hot))
+    sums = round_sums(results)
+    assert sums.count() <= 4 * 6
+    derived = {tuple(r) for r in derived_totals(results).collect()}
+    official = standings(spark, [standing(1, 1, 300), standing(2, 2), standing(9, 3)])
+    keys = [*LEAGUE, "team_id"]
+    stored = {
+        name: write_bucketed(rows, f"{name}_in_buckets", f"{tmp_path}/{name}", keys, 4)
+        for name, rows in {"official": official, "sums": sums}.items()
+    }
+    spark.sql("DROP TABLE sums_in_buckets")  # the files stay; another session opens them again
+    stored["sums"] = open_bucketed(spark, "sums_again", f"{tmp_path}/sums", sums.schema, keys, 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = totals_of_rounds(stored["sums"])
+        rows = reconcile_official(stored["official"], totals)
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in totals.collect()} == derived
+        want = standings_reconciliation(official, results).collect()
+        assert sorted(rows.collect(), key=repr) == sorted(want, key=repr) and len(want) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("official_in_buckets", "sums_again"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_reconciliation_over_seasons(spark):
+    rows = [("PD", 1, True, "2026-01-01"), ("PD", 1, True, "2026-01-01"), ("PD", 2, True, "2027-01-01"), ("PD", 2, None, "2027-01-01"),
+            ("SA", 1, True, None)]
+    table = spark.createDataFrame(rows, "competition_code string, season_id long, is_reconciled boolean, snapshot_date string")
+    got = sorted(tuple(r) for r in competition_reconciliation(table).collect())
+    assert got == [("PD", 2, 1, 4, 3, 2, "2027-01-01"), ("SA", 1, 1, 1, 1, None, None)]
+    assert competition_reconciliation(table.limit(0)).count() == 0

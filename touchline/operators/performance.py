@@ -28,6 +28,20 @@ def derived_totals(results: DataFrame, keys: list[str] | None = None) -> DataFra
     )
 
 
+SUMS = ["played", "won", "drawn", "lost", "points", "goals_for", "goals_against"]
+
+
+def round_sums(results: DataFrame) -> DataFrame:
+    """Derived totals of each club and round: as many rows of a club as it has rounds, however
+    many matches there are. Matches without a round are one more."""
+    return derived_totals(results, [*LEAGUE, "team_id", "matchday"])
+
+
+def totals_of_rounds(rounds: DataFrame) -> DataFrame:
+    """``derived_totals`` from the sums of rounds."""
+    return rounds.groupBy(*LEAGUE, "team_id").agg(*[F.sum(name).alias(name) for name in SUMS])
+
+
 def team_performance(results: DataFrame, teams: DataFrame) -> DataFrame:
     """Fifteen season measures per club.
 

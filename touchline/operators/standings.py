@@ -75,6 +75,30 @@ def _reconciled_latest(standings: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_official(official: DataFrame, derived: DataFrame) -> DataFrame:
+    """One official row per club against derived totals; where both lie by league and club, nothing moves."""
+    return reconcile(official, derived, LEAGUE + ["team_id"], PAIRED, COMPARED).select(*RECONCILIATION_COLUMNS)
+
+
+def competition_reconciliation(reconciliation: DataFrame) -> DataFrame:
+    """Agreement over all seasons of a competition, and the newest season with a disagreement.
+
+    Rows first become one per league, so a competition with many seasons adds few rows here."""
+    agrees = F.coalesce(F.col("is_reconciled"), F.lit(False))
+    seasons = reconciliation.groupBy(*LEAGUE).agg(
+        F.count(F.lit(1)).alias("teams"), F.count_if(agrees).alias("reconciled"), F.max("snapshot_date").alias("newest")
+    )
+    whole = F.col("teams") == F.col("reconciled")
+    return seasons.groupBy("competition_code").agg(
+        F.count(F.lit(1)).alias("seasons"),
+        F.count_if(whole).alias("reconciled_seasons"),
+        F.sum("teams").alias("teams"),
+        F.sum("reconciled").alias("reconciled_teams"),
+        F.max(F.when(~whole, F.col("season_id"))).alias("last_unreconciled_season"),
+        F.max("newest").alias("newest_snapshot"),
+    )
+
+
 def standings_reconciliation(standings: DataFrame, results: DataFrame) -> DataFrame:
     """Official latest snapshot against totals rebuilt from finished matches."""
     return _reconciled_latest(standings, results).select(*RECONCILIATION_COLUMNS)

@@ -48,6 +48,37 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+# --- tables that lie together -----------------------------------------------------
+
+
+def write_bucketed(table: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a table in sorted buckets by key. Tables with the same buckets join and group by these
+    keys without a shuffle. Each bucket is one file, so no key should hold many rows: reduce match
+    rows to sums first."""
+    (
+        table.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+    return table.sparkSession.table(name)
+
+
+def open_bucketed(
+    spark: SparkSession, name: str, path: str, schema: StructType, keys: list[str], buckets: int
+) -> DataFrame:
+    """A table that another session has written in buckets; how it lies is stated, not read."""
+    listed = ", ".join(f"`{k}`" for k in keys)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet "
+        f"CLUSTERED BY ({listed}) SORTED BY ({listed}) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def read_by_name(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Parquet files united by column name; a column missing from a file is NULL.
 
