@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
+
 from touchline.llm import chat, licenses, mixing, secrets
 
 ASSIGN = re.compile(
@@ -47,6 +49,37 @@ def test_ownership_separates_copied_values(docs_of):
     assert all(spans[i] == "" for i in range(1, 9))
 
 
+def test_few_owners_with_many_repositories_hold_a_copied_value(docs_of):
+    live, copied = "Zx9Qw8Er7Ty6Ui5Op4As", "Ab1Cd2Ef3Gh4Ij5Kl6Mn"
+    n = secrets.MAX_REPOSITORIES
+    docs = docs_of([(i, f"b {copied} c {live if i < n else ''}", "hot") for i in range(n + 1)] + [(0, f"b {copied}", "hot")])
+    rows = secrets.digest(secrets.scan(docs)).collect()
+    assert {r["spans"] for r in rows} == {f"live:25:{25 + len(live)}", ""}
+    assert {r["most_repositories"] for r in rows} == {n + 1}
+    assert sum(r["spans"] == "" for r in rows) == 2
+
+
+def plainly_redacted(text: str, spans: list[tuple[int, int]]) -> str:
+    out, at = "", 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += text[at:start] + secrets.PLACEHOLDER
+        at = max(at, end)
+    return out + text[at:]
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 128, 700])
+def test_texts_full_of_secrets(docs_of, n):
+    """Any number of spans, next to and inside each other, with characters of two units between."""
+    text = "é😀" + "".join(f"token={HEX[i % 5:]}{'😀' * (i % 3)} {'pad ' * (40 * (i % 7))}" for i in range(n)) + "end"
+    found = secrets.digest(secrets.scan(docs_of([(1, text)]))).first()
+    spans = base_spans(text)
+    shown = [f"{kind}:{a}:{b}" for a, _, kind, b in spans]
+    assert found["base_sha256"] == hashlib.sha256(",".join(shown).encode()).hexdigest() and found["n_assign"] == n
+    every = [tuple(map(int, s.split(":")[1:])) for s in found["spans"].split(",") if s]
+    assert secrets.redact(docs_of([(1, text)])).first()["text"] == plainly_redacted(text, every)
+
+
 def test_redaction(docs_of):
     rows = [(i, t) for i, t in enumerate(TEXTS)]
     out = {r["doc_id"]: r for r in secrets.redact(docs_of(rows)).collect()}

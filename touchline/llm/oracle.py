@@ -33,9 +33,10 @@ spans AS (
   UNION ALL {_found(2, "hex", "[0-9a-f]+", 0, 24)}
   UNION ALL {_found(3, "live", "[A-Za-z0-9+/_=-]+", 0, 20,
     "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= 10")}),
-held AS (SELECT value, count(DISTINCT owner) + max(CASE WHEN owner IS NULL THEN 1 ELSE 0 END) AS owners
+held AS (SELECT value, count(DISTINCT owner) + max(CASE WHEN owner IS NULL THEN 1 ELSE 0 END) AS owners,
+    count(DISTINCT (owner, doc_id)) AS repositories
   FROM spans GROUP BY value),
-kept AS (SELECT s.*, h.owners, h.owners <= 2 AS specific,
+kept AS (SELECT s.*, h.owners, h.repositories, h.owners <= 2 AND h.repositories <= 50 AS specific,
     kind || ':' || CAST(first AS BIGINT) || ':' || CAST(past AS BIGINT) AS shown
   FROM spans s JOIN held h USING (value)),
 folded AS (SELECT doc_id,
@@ -44,11 +45,12 @@ folded AS (SELECT doc_id,
     string_agg(shown, ',' ORDER BY first, rank) FILTER (rank < 3) AS base,
     string_agg(shown, ',' ORDER BY first, rank) FILTER (rank < 3 OR specific) AS spans,
     count(*) FILTER (rank < 3 AND specific) AS n_specific, count(*) FILTER (rank < 3 AND NOT specific) AS n_copied,
-    max(owners) AS most_owners
+    max(owners) AS most_owners, max(repositories) AS most_repositories
   FROM kept GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_specific, 0) AS n_specific,
-  coalesce(n_copied, 0) AS n_copied, CAST(coalesce(most_owners, 0) AS BIGINT) AS most_owners
+  coalesce(n_copied, 0) AS n_copied, CAST(coalesce(most_owners, 0) AS BIGINT) AS most_owners,
+  coalesce(most_repositories, 0) AS most_repositories
 FROM d LEFT JOIN folded USING (doc_id)
 """
 
