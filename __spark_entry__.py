@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators import LEAGUE, clubs, contracts, health, history, matches, performance
 from touchline.operators import resolve, rounds, runlog, season, standings
+from touchline.operators.keyfilter import SLOTS
 from touchline.operators.participants import clubs_of
 from touchline.plans import progress, warehouse
 from touchline.plans.models import BUILDERS, SOURCES, Models
@@ -152,6 +153,17 @@ def _dq_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dq_orphan_keys_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of one segment without an urgent finished order; orders of others are not shuffled."""
+    tune(spark)
+    customer, orders = (driver.read(spark, sf_dir, name) for name in ("customer", "orders"))
+    child = customer.filter("c_mktsegment = 'BUILDING'")
+    urgent = orders.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
+    return contracts.orphan_keys(
+        child, ["c_custkey"], urgent, ["o_custkey"], parent_unique=False, filter_slots=SLOTS
+    )
+
+
 # --- reference and resolution -------------------------------------------------------
 
 
@@ -526,6 +538,7 @@ def core_queries() -> dict[str, Query]:
         "dq_violating_rows": _dq_violating_rows,
         "dq_duplicate_keys": _dq_duplicate_keys,
         "dq_orphan_keys": _dq_orphan_keys,
+        "dq_orphan_keys_filtered": _dq_orphan_keys_filtered,
         "reference_checks": _reference_checks,
         "source_checks": _source_checks,
         "reference_membership": _membership,

@@ -774,6 +774,9 @@ ORACLE: dict[str, str] = {
       WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
     "dq_orphan_keys": """SELECT c_custkey, count(*) AS rows FROM customer c WHERE c_custkey IS NOT NULL
       AND NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey) GROUP BY c_custkey""",
+    "dq_orphan_keys_filtered": """SELECT c_custkey, count(*) AS rows FROM customer c WHERE c_mktsegment = 'BUILDING'
+      AND c_custkey IS NOT NULL AND c_custkey NOT IN (SELECT o_custkey FROM orders
+        WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' AND o_custkey IS NOT NULL) GROUP BY c_custkey""",
     "reference_checks": _reference_checks(),
     "source_checks": _source_checks(),
     "reference_membership": f"""{TABLES}, current_clubs AS (

@@ -258,3 +258,24 @@ def test_marts_follow_changed_leagues_only(spark, tmp_path, monkeypatch):
     assert refresh("v3") == whole()
     assert {r["part"] for r in store.changed(after, store.newest()).collect()} == {"=SA/=1", "=PD/=1"}
     assert {r["part"] for r in store.parts("mart_match_explorer", store.newest()).collect()} == {"=PD/=2", "=SA/=1"}
+
+
+def test_attempts_that_no_commit_names_are_removed(spark, tmp_path):
+    store = warehouse.base_store(spark, str(tmp_path))
+    assert store.remove_unnamed(age_seconds=0) == []
+    first = store.commit(base_tables(spark, LEAGUES), "v1")
+    with pytest.raises(ContractError):  # a run that fails its checks leaves an attempt behind
+        bad = teams(spark, [5], "XX").withColumn("team_id", F.lit(None).cast("bigint"))
+        store.commit({"dim_team": bad}, "v2", [Rule("dim_team", "not_null", "team_id")], seen=first)
+    second = store.commit({"fact_match": base_tables(spark, LEAGUES, 3)["fact_match"]}, "v2", seen=first)
+    before, tables = scores(store), {name: store.read(name).count() for name in SOURCES}
+    assert store.remove_unnamed() == []  # all of it is young
+    gone = store.remove_unnamed(keep=2, age_seconds=0)
+    kinds = sorted(path.removeprefix(f"{tmp_path}/").split("/")[1].split("=")[0].split("-")[0] for path in gone)
+    assert kinds == ["dim_team", "new", "new"] and scores(store) == before
+    assert store.read("fact_match", first).count() == 6  # the last two commits can be read
+    gone = store.remove_unnamed(keep=1, age_seconds=0)
+    assert [path.removeprefix(f"{tmp_path}/").split("/")[1] for path in gone] == ["fact_match"]
+    assert scores(store) == before and {name: store.read(name).count() for name in SOURCES} == tables
+    assert store.changed(first, second).count() == 3  # manifests stay
+    assert store.remove_unnamed(keep=1, age_seconds=0) == []

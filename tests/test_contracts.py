@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from frames import match, matches, standing, standings, teams
 from pyspark.sql import functions as F
 
 from touchline.operators import contracts as c
-from touchline.operators import resolve
+from touchline.operators import keyfilter, resolve
 from touchline.plans.models import Models
 
 
@@ -124,6 +126,64 @@ def test_key_checks_return_keys(spark):
     assert sorted(tuple(r) for r in c.duplicate_keys(child, ["k"]).collect()) == [(1, 2), (7, 2)]
 
 
+KEYS = "k bigint, season string"
+
+
+@pytest.mark.parametrize("slots", [1, 50, 1 << 14, keyfilter.SLOTS])
+def test_filtered_orphans_are_exact(spark, slots):
+    """Whatever the size of the filter, also one that all keys fill; with nulls and repeated keys."""
+    child = [(n, f"s{n % 3}") for n in range(0, 3000, 2)] + [(4, "s1"), (4, "s1"), (None, "s0"), (2, None)]
+    parent = [(n, f"s{n % 3}") for n in range(0, 9000, 3)] * 2 + [(None, "s1"), (5, None)]
+    frames = [spark.createDataFrame(rows, KEYS) for rows in (child, parent)]
+    keys = ["k", "season"]
+    got = c.orphan_keys(frames[0], keys, frames[1].toDF("id", "year"), ["id", "year"], parent_unique=False, filter_slots=slots)
+    want = Counter(r for r in child if None not in r and r not in set(parent))
+    assert {(r["k"], r["season"]): r["rows"] for r in got.collect()} == want
+    found = keyfilter.key_filter(frames[0], keys, slots)
+    passed = {tuple(r) for r in keyfilter.passing(frames[1], keys, found, slots).collect()}
+    both = set(child) & set(parent)
+    assert both <= passed and not any(None in r for r in passed)
+    if slots >= 1 << 14:  # of 3000 parents 500 are referred to
+        assert len(passed) <= len(both) + 10
+    assert found.count() <= slots
+
+
+def test_filtered_keys_of_other_types_and_empty_tables(spark):
+    child = spark.createDataFrame([(1,), (2,), (7,)], "k bigint")
+    parent = spark.createDataFrame([(1,), (2,), (2,)], "id int")
+    none = spark.createDataFrame([], "k bigint")
+    find = lambda a, b: sorted(tuple(r) for r in c.orphan_keys(a, ["k"], b, b.columns, False, keyfilter.SLOTS).collect())
+    assert find(child, parent) == [(7, 1)]
+    assert find(child, none) == [(1, 1), (2, 1), (7, 1)] and find(none, parent) == []
+    with pytest.raises(ValueError, match="slots"):
+        keyfilter.key_filter(child, ["k"], keyfilter.MAX_SLOTS + 1)
+
+
+def test_a_filter_keeps_foreign_parents_out_of_the_shuffle(spark, tmp_path):
+    spark.range(1000).toDF("k").write.parquet(f"{tmp_path}/child")
+    spark.range(200_000).toDF("k").write.parquet(f"{tmp_path}/parent")
+    child, parent = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("child", "parent"))
+
+    def shuffled(**options):
+        """The most rows that any exchange writes."""
+        found = c.orphan_keys(child, ["k"], parent, ["k"], parent_unique=False, **options)
+        assert found.collect() == []
+        written, rest = [0], [found._jdf.queryExecution().executedPlan()]
+        while rest:
+            node = rest.pop()
+            if node.nodeName() == "Exchange":
+                written.append(node.metrics().apply("shuffleRecordsWritten").value())
+            rest += [node.children().apply(i) for i in range(node.children().size())]
+        return max(written)
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert shuffled() == 200_000
+        assert shuffled(filter_slots=keyfilter.SLOTS) <= 1100
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_references_to_any_parent_key(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (None,), (7,)], "club int")
     parent = spark.createDataFrame([(1,), (2,), (2,)], "id int")

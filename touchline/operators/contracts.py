@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.outcomes import MATCH_STATES
 from touchline.operators import LEAGUE
+from touchline.operators.keyfilter import key_filter, passing
 
 NOT_NULL, UNIQUE = "not_null", "unique"
 ACCEPTED, RELATION = "accepted_values", "relationships"
@@ -121,11 +122,14 @@ def orphan_keys(
     parent: DataFrame,
     parent_keys: list[str],
     parent_unique: bool = True,
+    filter_slots: int | None = None,
 ) -> DataFrame:
     """Child keys absent from the parent, with their row count (NULL keys pass).
 
     The child, and a parent whose key repeats, collapse to distinct keys before the anti
-    join, so neither a hot key nor a large table reaches the join as rows.
+    join, so neither a hot key nor a large table reaches the join as rows. If the parent is much
+    larger than the child has keys, ``filter_slots`` makes a filter of that many slots from the child,
+    and parent rows that no child refers to are dropped where they are read.
     """
     children = (
         child.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
@@ -133,6 +137,10 @@ def orphan_keys(
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys, strict=True)])
+    if filter_slots:
+        kinds = {k: child.schema[k].dataType for k in keys}  # equal keys hash alike in one type only
+        parents = parents.select(*[F.col(k).try_cast(kinds[k]).alias(k) for k in keys])
+        parents = passing(parents, keys, key_filter(child, keys, filter_slots), filter_slots)
     if not parent_unique:
         parents = parents.distinct()
     return children.join(parents, keys, "left_anti")

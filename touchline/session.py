@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -76,6 +77,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def folders_of(spark: SparkSession, path: str, age_seconds: float = 0.0) -> list[str]:
+    """Names of the folders in a folder that were last changed at least so long ago."""
+    folder, files = _located(spark, path)
+    if not files.exists(folder):
+        return []
+    latest = (time.time() - age_seconds) * 1000
+    found = [f for f in files.listStatus(folder) if f.isDirectory() and f.getModificationTime() <= latest]
+    return sorted(f.getPath().getName() for f in found)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    folder, files = _located(spark, path)
+    files.delete(folder, True)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below ``shared_dir``; it is deleted when the application ends."""
     path = f"{shared_dir(spark)}/touchline-{uuid4().hex}"

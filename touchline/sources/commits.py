@@ -7,7 +7,8 @@
 A commit writes its parts into an attempt of its own, checks them, writes a manifest of all parts
 that are then current, and last creates the next commit file, which must not exist yet. Readers
 take the newest commit file and see all of its tables or none of them: a run that fails before
-that file leaves them what they had, and parts that no commit names behind.
+that file leaves them what they had, and parts that no commit names behind, which
+``remove_unnamed`` deletes later.
 
 Two writers at once both try to create the next file, and one does. The other looks at what the
 first one changed. If their parts differ it tries again on top of that; if they share a part, or
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from touchline.operators.contracts import Observed, Rule, failures, gate, gate_counts
-from touchline.session import create_once, exists, read_text, write_text
+from touchline.session import create_once, delete, exists, folders_of, read_text, write_text
 
 MANIFEST = "table_name string, part string, attempt string, row_count bigint, checksum string"
 MISSING = "-"
@@ -226,3 +227,30 @@ class Store:
             if create_once(self.spark, self._file(number), json.dumps(body)):
                 write_text(self.spark, f"{self.root}/commits/_hint", str(number))
                 return Commit(number=number, **body)
+
+    # --- removing -----------------------------------------------------------------------
+
+    def remove_unnamed(self, keep: int = 10, age_seconds: float = 86_400.0) -> list[str]:
+        """Delete attempts that none of the newest ``keep`` commits names, and listings that failed
+        or finished runs left; returns the deleted folders.
+
+        A run writes its attempt before a commit names it, so folders younger than
+        ``age_seconds`` stay: choose it longer than any run. Manifests are small and all kept, so
+        commits can still be compared; the rows of older ones may be gone.
+        """
+        now = self.newest()
+        if now is None or keep < 1:
+            return []
+        kept = [self.commit_of(n) for n in range(max(1, now.number - keep + 1), now.number + 1)]
+        paths = [f"{self.root}/manifests/{c.manifest}" for c in kept]
+        rows = self.spark.read.schema(MANIFEST).parquet(*paths).select("table_name", "attempt").distinct()
+        named = {(r["table_name"], f"attempt={r['attempt']}") for r in rows.collect()}
+        gone = []
+        for name in self.tables:
+            folder = f"{self.root}/data/{name}"
+            gone += [f"{folder}/{a}" for a in folders_of(self.spark, folder, age_seconds) if (name, a) not in named]
+        listings = f"{self.root}/manifests"
+        gone += [f"{listings}/{a}" for a in folders_of(self.spark, listings, age_seconds) if a.startswith("new-")]
+        for path in gone:
+            delete(self.spark, path)
+        return gone
