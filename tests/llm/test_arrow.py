@@ -521,3 +521,24 @@ def test_words_of_code_switched_texts(spark, docs_of):
         assert sum(r["n_words"] for r in runs) >= len(sorted(by_lang)) * 10
     assert right >= 0.95 * total
     assert langid.words(docs, (model[0], model[1], [])).count() == 0 and langid.words(docs.limit(0), model).count() == 0
+
+
+def test_toxic_training_goes_block_by_block():
+    """Any block size covers every word once, and cuts no sequence without marking its beginning."""
+    import numpy as np
+    import pyarrow as pa
+
+    from touchline.llm import crf, toxicity
+
+    class Held:
+        value = np.linspace(-2, 6, int(toxicity.PLACES[-1]), dtype=np.float32)
+
+    texts = ["one two three", None, "four " * 50, "", "five six " * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 0, 1, 0, 0]), pa.array(texts)], ["toxic", "text"])
+    field = crf.Crf.blank(toxicity.K, 2)
+    words = sum(len((t or "").split()) for t in texts)
+    for block in (1, 40, 1 << 17):
+        rows = [r for out in toxicity._trained(Held, field, block)(iter([batch] * 3)) for r in out.to_pylist()]
+        assert sum(r["n"] for r in rows) == 3 * words and (len(rows) == 1) == (block > 3 * words)
+        assert all(np.isfinite(r["parameters"]).all() for r in rows)
+    assert not list(toxicity._trained(Held, field)(iter([])))

@@ -29,6 +29,7 @@ from touchline.llm.words import LETTERS, Once, Piece, flat, pieces
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 4000
 PARTS, ROUNDS = 4, 2
+BLOCK = 1 << 17  # words of the sample that a task trains on at once
 CUT = 0.7
 # Hash bits of each feature's table: the word, then prefixes of so many bytes.
 WORD_BITS, PREFIX_BITS, PREFIXES = 17, 16, (5, 6, 7, 8)
@@ -97,7 +98,7 @@ def features(piece: Piece, table: np.ndarray) -> np.ndarray:
 
 def _two(values: np.ndarray) -> np.ndarray:
     """Features speak for label 1 only: words x K x 2."""
-    both = np.zeros((*values.shape, 2))
+    both = np.zeros((*values.shape, 2), values.dtype)
     both[:, :, 1] = values
     return both
 
@@ -143,26 +144,32 @@ def judged(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
-def _trained(table, field: crf.Crf):
-    """(toxic, text) of a partition of the sample -> one row of field parameters."""
+def _trained(table, field: crf.Crf, block: int = BLOCK):
+    """(toxic, text) of a partition of the sample -> a row of field parameters for each block of
+    at least ``block`` words, so that memory does not grow with the length of the texts."""
+
+    def fitted(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        x, y, begins = (np.concatenate(part) for part in zip(*found))
+        found.clear()
+        parameters = crf.train(field, _two(x), y.astype(int), begins).flat()
+        return pa.RecordBatch.from_arrays([pa.array([len(y)]), pa.array([parameters.tolist()])], ["n", "parameters"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, gold, starts = [], [], []
+        found, n = [], 0
         for batch in batches:
             toxic = batch["toxic"].to_numpy().astype(bool)
             before = -1
             for piece in pieces(batch["text"], LETTERS):
                 if len(piece.start):
                     values = features(piece, table.value)
-                    found.append(values)
-                    gold.append(toxic[piece.doc] & (values[:, K - 1] > 0))
-                    starts.append(np.concatenate([[piece.doc[0] != before], piece.doc[1:] != piece.doc[:-1]]))
-                    before = piece.doc[-1]
-        n, parameters = 0, field.flat()
+                    begins = np.concatenate([[piece.doc[0] != before or not found], piece.doc[1:] != piece.doc[:-1]])
+                    found.append((values, toxic[piece.doc] & (values[:, K - 1] > 0), begins))
+                    before, n = piece.doc[-1], n + len(values)
+                    if n >= block:
+                        yield fitted(found)
+                        n = 0
         if found:
-            x, y, begins = _two(np.concatenate(found)), np.concatenate(gold).astype(int), np.concatenate(starts)
-            n, parameters = len(y), crf.train(field, x, y, begins).flat()
-        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([parameters.tolist()])], ["n", "parameters"])
+            yield fitted(found)
 
     return run
 
