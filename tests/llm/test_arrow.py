@@ -542,3 +542,39 @@ def test_toxic_training_goes_block_by_block():
         assert sum(r["n"] for r in rows) == 3 * words and (len(rows) == 1) == (block > 3 * words)
         assert all(np.isfinite(r["parameters"]).all() for r in rows)
     assert not list(toxicity._trained(Held, field)(iter([])))
+
+
+def test_every_text_shapes_the_latent_space(docs_of, monkeypatch, words):
+    """The space is that of all passages, not of a sample of about CORPUS_DOCS documents."""
+    monkeypatch.setattr(leaks, "RANK", 4)
+    monkeypatch.setattr(leaks, "SPARE", 20)
+    pool, rng = words(24, 5), np.random.default_rng(2)
+    texts = [" ".join(rng.choice(pool[6 * (i % 3) : 6 * (i % 3) + 12], 30)) for i in range(leaks.CORPUS_DOCS + 60)]
+    texts[-40:] = [" ".join(rng.choice(pool[20:], 200)) for _ in range(40)]
+    item = " ".join(pool)
+    bench = docs_of([]).sparkSession.createDataFrame([(1, item)], "item_id long, text string")
+    (index,) = leaks.build(docs_of(list(enumerate(texts))).repartition(3), bench)
+    weights = index.weights[:-1].astype(float)
+    total = np.zeros((len(weights), len(weights)))
+    for text, weight in [(item, leaks.ITEM_WEIGHT**2), *((t, leaks.CORPUS_DOCS / len(texts)) for t in texts)]:
+        numbers = index.vocabulary.numbers(w.word_column(pa.array([text]), w.LETTERS)[0])
+        for at in range(0, max(1, len(numbers) - leaks.STEP), leaks.STEP):
+            counts = np.bincount(numbers[at : at + 2 * leaks.STEP], minlength=len(weights))
+            row = counts * weights
+            total += weight * np.outer(row, row) / (counts * weights**2).sum()
+    top = np.linalg.eigh(total)[1][:, -4:]
+    basis = index.vectors[:-1] / weights[:, None]
+    assert np.abs(basis @ basis.T - top @ top.T).max() < 1e-3
+
+
+def test_products_of_rounds_are_those_of_the_whole(monkeypatch, words):
+    texts = pa.array([" ".join(words(n, n)) for n in (5, 12, 13, 200, 31)] + [None, ""])
+    known = leaks.Vocabulary.of(w.word_column(texts, w.LETTERS)[0][::2])
+    size = len(known.words)
+    vectors = np.append(np.random.default_rng(1).standard_normal((size, 3)), np.zeros((1, 3)), axis=0).astype(np.float32)
+    squares, found = np.append(np.linspace(1, 2, size), 0), []
+    for rounds in (1 << 20, 1, 2, 3, 7):
+        monkeypatch.setattr(leaks, "ROWS", rounds)
+        found.append(np.zeros((size, 3)))
+        leaks._add_product(texts, known, squares, vectors, found[-1])
+    assert np.abs(found[0]).max() > 0 and all(np.allclose(found[0], x, atol=1e-5) for x in found)

@@ -2,9 +2,10 @@
 
 Texts and benchmark items are cut into passages of ``2 * STEP`` words, moved by ``STEP``.
 Passages are TF-IDF vectors over the benchmark's words (document frequencies cover the whole
-corpus); a randomised SVD, computed as distributed matrix products over the item passages and
-a bounded, documented sample of corpus passages (about ``SAMPLE_DOCS`` documents), gives the
-latent space. Every passage of every whole text is projected, and passages whose latent vector
+corpus); a randomised SVD of all item passages and all corpus passages, whose corpus part is a
+distributed matrix product over every whole text, gives the latent space. The corpus weighs as
+much as ``CORPUS_DOCS`` documents of average length, however many it has. Every passage of every
+whole text is projected, and passages whose latent vector
 has a cosine of at least ``least_cosine`` with an item passage are candidates. Words that the
 benchmark does not have weigh nothing, so scores do not fall as the corpus grows. A candidate is
 checked on the words around it: the longest common subsequence with the whole item must cover
@@ -26,18 +27,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.words import LETTERS, Once, pieces, word_column
+from touchline.llm.words import LETTERS, Once, pieces, slices, word_column
 
 STEP = 12
 RANK, SPARE = 128, 10
 SLACK = 0.5
 LCS, ANSWER, NEARLY = 0.6, 0.5, 0.8
-SAMPLE_DOCS = 500
-SAMPLE_PARTS = 8
+CORPUS_DOCS = 500
+SUM_PARTS = 8
 ITEM_WEIGHT = 16.0  # item passages weigh more, or the space would describe the corpus alone
 BLOCK_BYTES = 1 << 20
 SLOT_BITS = 20
@@ -142,70 +142,140 @@ def _counted(vocabulary):
     return run
 
 
-def _rows_of(texts: pa.Array, known: Vocabulary) -> tuple[np.ndarray, ...]:
-    """Passages of a column as sparse rows: (row, word number) pairs, and each row's text."""
+def rounds(begin: np.ndarray, owner: np.ndarray, words: int) -> Iterator[tuple]:
+    """Runs of a column in rounds of ROWS: (first run, first and end word, begins, texts)."""
+    for low in range(0, len(begin), ROWS):
+        # One run more, so that the last passage is whole; and it starts the next round.
+        high = min(len(begin), low + ROWS + 1)
+        a, b = begin[low], begin[high] if high < len(begin) else words
+        yield low, a, b, begin[low:high] - a, owner[low:high]
+
+
+def fresh(at: np.ndarray, low: int, own: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which passages of a round, by their first runs, belong to it and not to its neighbours.
+
+    The first run alone is none if it only ends the text of the round before, nor is the one
+    run more.
+    """
+    out = at < ROWS
+    if low and own[0] == owner[low - 1] and not (len(own) > 1 and own[1] == own[0]):
+        out &= at > 0
+    return out
+
+
+def _add_product(texts: pa.Array, known: Vocabulary, squares: np.ndarray, vectors: np.ndarray, out: np.ndarray) -> None:
+    """Add to ``out`` the column's share of A'A: A's rows are the passages' TF-IDF vectors of
+    length 1, ``vectors`` are the weighted rows of the right side, with a last row of zeros, and
+    ``out`` lacks the weights of its rows. Each run's words are gathered and scattered once."""
     hashes, doc = word_column(texts, LETTERS)
+    numbers = known.numbers(hashes)
     begin, owner = segments(doc, len(texts))
-    number = known.numbers(hashes)
-    run = np.searchsorted(begin, np.arange(len(hashes)), "right") - 1
-    at = np.flatnonzero(number >= 0)
-    here = run[at]
-    row, word = here, number[at]
-    again = np.flatnonzero((here > 0) & (owner[here] == owner[np.maximum(here - 1, 0)]))
-    # Row r is the passage that starts with run r; a run also belongs to the passage before.
-    return np.concatenate([row, row[again] - 1]), np.concatenate([word, word[again]]), owner
+    for low, a, b, runs, own in rounds(begin, owner, len(doc)):
+        number = numbers[a:b]
+        sums, at = passages(run_sums(number, runs, vectors), own)
+        mass, _ = passages(np.add.reduceat(squares[number], runs), own)
+        mine = np.flatnonzero(fresh(at, low, own, owner) & (mass > 0))
+        part, at = sums[mine] / mass[mine, None], at[mine]
+        back = np.zeros((len(runs), vectors.shape[1]), np.float32)
+        back[at] = part
+        two = np.flatnonzero(own[np.minimum(at + 1, len(own) - 1)] == own[at])
+        two = two[at[two] + 1 < len(own)]
+        back[at[two] + 1] += part[two]
+        run = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, b - a)))
+        order = np.argsort(number, kind="stable")
+        order = order[np.searchsorted(number[order], 0) :]
+        if not len(order):
+            continue
+        _scatter(number[order], run[order], back, out)
+
+
+def _scatter(word: np.ndarray, run: np.ndarray, back: np.ndarray, out: np.ndarray) -> None:
+    """Add ``back[run]`` to ``out[word]``; words are sorted. Neighbours of a word are first added
+    up STEP at a time, one place for all groups, as that is faster than one sum after another."""
+    new = np.concatenate([[True], word[1:] != word[:-1]])
+    within = np.arange(len(word)) - np.maximum.accumulate(np.where(new, np.arange(len(word)), 0))
+    group = np.flatnonzero(within % STEP == 0)
+    padded = np.append(run, np.zeros(STEP, run.dtype))
+    size = np.diff(np.append(group, len(word)))
+    sums = back[run[group]]
+    for k in range(1, STEP):
+        at = np.flatnonzero(size > k)
+        sums[at] += back[padded[group[at] + k]]
+    first = np.flatnonzero(new[group])
+    out[word[group[first]]] += np.add.reduceat(sums, first, axis=0)
+
+
+def _sparse_rows(out: np.ndarray, used: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows ``used`` of a matrix as (word, values)."""
+    for low in range(0, len(used), ROWS):
+        word = used[low : low + ROWS]
+        flat = pa.array(out[word].ravel())
+        ends = pa.array(np.arange(len(word) + 1) * out.shape[1], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.int32()), pa.ListArray.from_arrays(ends, flat)], ["word", "values"])
 
 
-def _product(vocabulary, weights: np.ndarray, right: np.ndarray, back: bool):
-    """Partial products of the sample's passage matrix A with ``right``: A'A right summed over
-    the task's rows, or (A right)'(A right) if not ``back``; one row of numbers per task."""
+def _products(vocabulary, squares, vectors):
+    """(text) -> (word, values): the task's share of the corpus product."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, width = vocabulary.value, right.shape[1]
-        out = np.zeros((len(right), width) if back else (width, width))
+        right = vectors.value
+        out = np.zeros((len(right) - 1, right.shape[1]))
         for batch in batches:
-            row, word, owner = _rows_of(batch["text"], known)
-            if not len(row):
-                continue
-            order = np.argsort(row, kind="stable")
-            row, word = row[order], word[order]
-            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            weighted = weights[word]
-            length = np.sqrt(np.add.reduceat(weighted**2, first))
-            which = np.cumsum(np.concatenate([[False], row[1:] != row[:-1]]))
-            scale = np.where(batch["own"].to_numpy(zero_copy_only=False), ITEM_WEIGHT, 1.0)[owner[row[first]]]
-            weighted = weighted * (scale / length)[which]
-            projected = np.add.reduceat(right[word] * weighted[:, None], first, axis=0)
-            if back:
-                by_word = np.argsort(word, kind="stable")
-                begin = np.flatnonzero(np.concatenate([[True], np.diff(word[by_word]) > 0]))
-                parts = projected[which[by_word]] * weighted[by_word, None]
-                out[word[by_word][begin]] += np.add.reduceat(parts, begin, axis=0)
-            else:
-                out += projected.T @ projected
-        flat = pa.array(out.ravel().astype(np.float32))
-        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)], ["values"])
+            for _, part in slices(batch["text"]):
+                _add_product(part, vocabulary.value, squares.value, right, out)
+        yield from _sparse_rows(out, np.flatnonzero(out.any(axis=1)))
 
     return run
 
 
-def _summed(sample: DataFrame, function, shape: tuple[int, int]) -> np.ndarray:
-    """Sum of at most SAMPLE_PARTS partial matrices."""
-    rows = sample.mapInArrow(function, "values array<float>").toArrow()["values"]
-    return sum((np.asarray(r.values.to_numpy()).reshape(shape) for r in rows), np.zeros(shape))
+def _added(words: int, width: int):
+    """(word, values) -> (word, values): sums over equal words of a partition."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((words, width))
+        for batch in batches:
+            np.add.at(out, batch["word"].to_numpy(), batch["values"].flatten().to_numpy().reshape(-1, width))
+        yield from _sparse_rows(out, np.flatnonzero(out.any(axis=1)))
 
-def latent_basis(sample: DataFrame, vocabulary, weights: np.ndarray) -> np.ndarray:
-    """Right singular vectors (words x rank) of the sample's TF-IDF passages: a randomised
-    range finder with one power step, then the small eigenproblem inside that range."""
-    words = len(weights)
+    return run
+
+
+def latent_basis(texts: DataFrame, items: pa.Array, vocabulary, weights: np.ndarray, share: float) -> np.ndarray:
+    """Right singular vectors (words x rank) of the TF-IDF passages of all items and, weighing
+    ``share``, of all texts: power steps over the items give a probe, one product with the whole
+    matrix its image, and the Nystroem approximation the singular vectors."""
+    spark, words = texts.sparkSession, len(weights)
     width = min(words, RANK + SPARE)
-    probe = np.random.default_rng(13).standard_normal((words, width))
+    squares = np.append(weights**2, 0)
+    random = np.random.default_rng(13).standard_normal((words, width))
+
+    def sided(right: np.ndarray) -> np.ndarray:
+        return np.concatenate([right * weights[:, None], np.zeros((1, width))]).astype(np.float32)
+
+    def of_items(right: np.ndarray) -> np.ndarray:
+        out = np.zeros((words, width))
+        _add_product(items, vocabulary.value, squares, sided(right), out)
+        return ITEM_WEIGHT**2 * out * weights[:, None]
+
+    probe = random
     for _ in range(2):
-        probe, _ = np.linalg.qr(_summed(sample, _product(vocabulary, weights, probe, True), (words, width)))
-    inner = _summed(sample, _product(vocabulary, weights, probe, False), (width, width))
-    values, turn = np.linalg.eigh(inner)
-    return probe @ turn[:, np.argsort(-values)[:RANK]]
+        probe, _ = np.linalg.qr(of_items(probe))
+    values, turn = np.linalg.eigh(probe.T @ of_items(probe))
+    held = probe @ turn[:, values > 1e-6 * values.max()]
+    # Fewer item passages than the probe is wide leave room for directions of the corpus alone.
+    probe, _ = np.linalg.qr(np.concatenate([held, random[:, held.shape[1] :]], axis=1))
+    context = spark.sparkContext
+    task = _products(vocabulary, context.broadcast(squares), context.broadcast(sided(probe)))
+    schema = "word int, values array<double>"
+    summed = texts.mapInArrow(task, schema).repartition(SUM_PARTS, "word").mapInArrow(_added(words, width), schema)
+    rows = summed.toArrow()
+    image = of_items(probe)
+    if len(rows):
+        word, values = rows["word"].to_numpy(), rows["values"].combine_chunks().flatten().to_numpy()
+        image[word] += share * values.reshape(-1, width) * weights[word, None]
+    values, turn = np.linalg.eigh(probe.T @ image)
+    turn = turn[:, kept := values > 1e-6 * values.max()] / np.sqrt(values[kept])
+    return np.linalg.svd(image @ turn, full_matrices=False)[0][:, :RANK]
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[pa.Table]:
@@ -236,12 +306,9 @@ def build(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         for word, times in n.items():
             frequency[word] = times
         weights = np.log((rows + 2) / (frequency + 1))
-        keep = min(1.0, SAMPLE_DOCS / max(1, rows))
-        picked = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) < int(keep * (1 << 30))
-        items_frame = spark.createDataFrame([(t, True) for t in block["text"].to_pylist()], "text string, own boolean")
-        sample = texts.filter(picked).withColumn("own", F.lit(False)).unionByName(items_frame)
-        sample = sample.repartition(SAMPLE_PARTS)
-        vectors = (latent_basis(sample, shared, weights) * weights[:, None]).astype(np.float32)
+        share = min(1.0, CORPUS_DOCS / max(1, rows))
+        basis = latent_basis(texts, block["text"].combine_chunks(), shared, weights, share)
+        vectors = (basis * weights[:, None]).astype(np.float32)
         vectors = np.concatenate([vectors, np.zeros((1, vectors.shape[1]), np.float32)])
         begin, owner = segments(doc, block.num_rows)
         number = known.numbers(hashes)
@@ -304,23 +371,14 @@ def search(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
         return []
     hashes, doc = np.concatenate(kept_words), np.concatenate(kept_docs)
     begin, owner = segments(doc, len(texts))
-    last = np.append(begin[1:], len(doc))
     numbers = index.vocabulary.numbers(hashes).astype(np.int32)
     spots: list[tuple[np.ndarray, ...]] = []  # run, item passage, cosine
-    for low in range(0, len(begin), ROWS):
-        # One run more, so that the last passage is whole; and it starts the next round.
-        high = min(len(begin), low + ROWS + 1)
-        a, b = begin[low], last[high - 1]
+    for low, a, b, runs, own in rounds(begin, owner, len(doc)):
         number = numbers[a:b]
-        runs, own = begin[low:high] - a, owner[low:high]
         sums, at = passages(run_sums(number, runs, index.vectors), own)
         mass, _ = passages(np.add.reduceat(index.weights[number] ** 2, runs), own)
-        # A passage belongs to the round of its first run. The first run alone is none if it only
-        # ends the text of the round before, nor is the one run more.
-        fresh = at < ROWS
-        if low and own[0] == owner[low - 1] and not (len(own) > 1 and own[1] == own[0]):
-            fresh &= at > 0
-        sums, mass, at = sums[fresh], mass[fresh], at[fresh]
+        mine = fresh(at, low, own, owner)
+        sums, mass, at = sums[mine], mass[mine], at[mine]
         # Squared idf summed over words is short of a repeated word's share, but never of all.
         mass = np.maximum(mass, (sums**2).sum(axis=1))
         cosine = (sums / np.sqrt(np.maximum(mass, 1e-12))[:, None]) @ index.latent.T
@@ -334,8 +392,8 @@ def search(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
     # Passages of a text that point to the same place of the item are one candidate.
     key = (item * len(texts) + text) * (int(place.max() - place.min()) + 1) + place - place.min()
     order = np.argsort(key, kind="stable")
-    fresh = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) > 0]))
-    once, cosine = order[fresh], np.maximum.reduceat(cosine[order], fresh)
+    new = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) > 0]))
+    once, cosine = order[new], np.maximum.reduceat(cosine[order], new)
     item, text, place = item[once], text[once], place[once]
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     borders = np.flatnonzero(np.concatenate([[True], np.diff(item) > 0, [True]]))
@@ -378,17 +436,6 @@ def _enough(numbers: np.ndarray, begins: np.ndarray, words: int, distinct: np.nd
     return np.concatenate(left)
 
 
-def _slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, pa.Array]]:
-    """Consecutive slices of about ``most`` bytes, with their first row."""
-    sizes = np.cumsum(np.asarray(pa.compute.binary_length(column.fill_null(""))))
-    at = 0
-    while at < len(column):
-        base = sizes[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(sizes, base + most, "right")))
-        yield at, column.slice(at, to - at)
-        at = to
-
-
 HITS = ["doc_id", "item_id", "cosine", "lcs_share", "answer_share"]
 
 
@@ -407,7 +454,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "
 def _hits(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, column in _slices(batch["text"]):
+            for at, column in slices(batch["text"]):
                 found = search(column, shared.value)
                 if found:
                     doc, number, *figures = (list(c) for c in zip(*found))
@@ -430,7 +477,7 @@ def _flags(shared):
     def flags(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             hit = np.zeros(len(column), bool)
-            for at, part in _slices(column):
+            for at, part in slices(column):
                 for found in search(part, shared.value):
                     hit[at + found[0]] = True
             yield pa.array(hit)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -137,6 +138,17 @@ def _piece(code: np.ndarray, at: int, places: np.ndarray) -> Piece:
     return Piece(code, sums, start, end, doc, at)
 
 
+def slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive slices of about ``most`` bytes, with their first row."""
+    sizes = np.cumsum(np.asarray(pa.compute.binary_length(column.fill_null(""))))
+    at = 0
+    while at < len(column):
+        base = sizes[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, base + most, "right")))
+        yield at, column.slice(at, to - at)
+        at = to
+
+
 class Once:
     """Distinct pairs of a text and one of ``size`` slots, over a column's pieces in order.
 
