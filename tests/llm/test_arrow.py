@@ -578,3 +578,19 @@ def test_products_of_rounds_are_those_of_the_whole(monkeypatch, words):
         found.append(np.zeros((size, 3)))
         leaks._add_product(texts, known, squares, vectors, found[-1])
     assert np.abs(found[0]).max() > 0 and all(np.allclose(found[0], x, atol=1e-5) for x in found)
+
+
+def test_words_are_not_encoded_again(monkeypatch):
+    seen = []
+
+    def encoded(texts):
+        seen.extend(texts)
+        return np.array([len(t) for t in texts])
+
+    texts = ["some words that come again and again in every text"] * 50
+    assert tokens.Words(encoded).counts(texts).tolist() == [len(texts[0])] * 50
+    assert sum(map(len, seen)) < 10 * len(texts[0])
+    odd = ["", " ", "a", " a", "a ", "a  b c", "\n a b\n", "x " * 9, "y" * 200 + " z y " + "y" * 200, "a\tb \tc d"] * 3
+    for held in (1 << 18, 2):
+        monkeypatch.setattr(tokens, "HELD", held)
+        assert tokens.Words(encoded).counts(odd).tolist() == [len(t) for t in odd]
