@@ -594,3 +594,15 @@ def test_words_are_not_encoded_again(monkeypatch):
     for held in (1 << 18, 2):
         monkeypatch.setattr(tokens, "HELD", held)
         assert tokens.Words(encoded).counts(odd).tolist() == [len(t) for t in odd]
+
+
+def test_toxicity_scores_texts_in_slices(monkeypatch, words):
+    pool = words(50, 4)
+    texts = pa.array([" ".join(pool[i % 7 :]) if i % 5 else None for i in range(60)])
+    table = np.random.default_rng(1).standard_normal(int(toxicity.PLACES[-1])).astype(np.float32)
+    field = toxicity.crf.Crf.blank(toxicity.K, 2)
+    whole, sizes, tagged = toxicity.summary(texts, table, field), [], toxicity._tagged
+    monkeypatch.setattr(toxicity, "SLICE", 1000)
+    monkeypatch.setattr(toxicity, "_tagged", lambda part, *rest: (sizes.append(len(part)), tagged(part, *rest))[1])
+    assert np.allclose(toxicity.summary(texts, table, field), whole)
+    assert len(sizes) > 10 and sum(sizes) == 60

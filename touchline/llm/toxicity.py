@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from touchline.llm import crf
 from touchline.llm.common import crc_bucket
-from touchline.llm.words import LETTERS, Once, Piece, flat, pieces
+from touchline.llm.words import LETTERS, Once, Piece, flat, pieces, slices
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 4000
 PARTS, ROUNDS = 4, 2
 BLOCK = 1 << 17  # words of the sample that a task trains on at once
+SLICE = 1 << 20  # bytes of texts that a task scores at once; a longer text is scored whole
 CUT = 0.7
 # Hash bits of each feature's table: the word, then prefixes of so many bytes.
 WORD_BITS, PREFIX_BITS, PREFIXES = 17, 16, (5, 6, 7, 8)
@@ -121,11 +122,14 @@ def summary(texts: pa.Array, table: np.ndarray, field: crf.Crf) -> np.ndarray:
     """documents x 5: constant, largest marginal, sums of likely and of all marginals, length."""
     n = len(texts)
     top, likely, every, words = np.zeros((4, n))
-    for piece, each in _tagged(texts, table, field):
-        np.maximum.at(top, piece.doc, each)
-        likely += np.bincount(piece.doc, np.where(each > 0.5, each, 0), n)
-        every += np.bincount(piece.doc, each, n)
-        words += np.bincount(piece.doc, minlength=n)
+    # Texts are tagged in slices: messages take many times the memory of the texts.
+    for at, part in slices(texts, SLICE):
+        for piece, each in _tagged(part, table, field):
+            doc = piece.doc + at
+            np.maximum.at(top, doc, each)
+            likely += np.bincount(doc, np.where(each > 0.5, each, 0), n)
+            every += np.bincount(doc, each, n)
+            words += np.bincount(doc, minlength=n)
     return np.stack([np.ones(n), top, np.log1p(likely), np.log1p(every), np.log1p(words) / 10], axis=1)
 
 

@@ -2,7 +2,8 @@
 
 A word's hash is a polynomial over its bytes modulo 2**64, read off prefix sums, so neither
 words nor characters become Python objects. Texts are cut at separators into pieces of about
-a megabyte: memory does not depend on a text's length unless one word is longer than that.
+a quarter of a megabyte, as a byte takes tens of bytes here and workers keep what they had:
+memory does not depend on a text's length unless one word is longer than that.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = np.ones(1, np.uint64)
