@@ -580,6 +580,71 @@ def test_products_of_rounds_are_those_of_the_whole(monkeypatch, words):
     assert np.abs(found[0]).max() > 0 and all(np.allclose(found[0], x, atol=1e-5) for x in found)
 
 
+def leak_case(spark, docs_of, words):
+    """An index whose items are half common words, texts of common words, and of altered items."""
+    rng = random.Random(6)
+    common, items = words(12, 1), []
+    for i in range(30):
+        body = words(rng.randint(3, 40), 100 + i)
+        body += [rng.choice(common) for _ in body]
+        rng.shuffle(body)
+        items.append(body)
+    bench = spark.createDataFrame([(i, " ".join(b)) for i, b in enumerate(items)], "item_id long, text string")
+    plain = [" ".join(rng.choices(common, k=300)) for _ in range(40)]
+    altered = []
+    for body in items * 3:
+        other = [rng.choice(common) if rng.random() < 0.25 else x for x in body]
+        altered.append(" ".join(rng.choices(common, k=rng.randint(0, 60)) + other + rng.choices(common, k=rng.randint(0, 60))))
+    (index,) = leaks.build(docs_of([(i, " ".join(words(50, 900 + i))) for i in range(40)]), bench)
+    return index, plain, altered
+
+
+def test_regions_of_common_words_are_not_read(spark, docs_of, words, monkeypatch):
+    """Of candidates, only those with rare words of the item are looked at word by word."""
+    index, plain, altered = leak_case(spark, docs_of, words)
+    read, enough = [], leaks._enough
+    monkeypatch.setattr(leaks, "_enough", lambda numbers, begins, *rest: read.append(len(begins)) or enough(numbers, begins, *rest))
+    assert not leaks.search(pa.array(plain), index) and sum(read) == 0
+    assert leaks.search(pa.array(["?!", None]), index) == []
+    assert leaks.search(pa.array(plain + altered[:1]), index) and sum(read) < 100
+
+
+def test_the_screen_loses_no_hit(spark, docs_of, words, monkeypatch):
+    index, plain, altered = leak_case(spark, docs_of, words)
+    texts = pa.array([x for pair in zip(altered, [*plain, None, "", *plain, *plain]) for x in pair])
+
+    def found():
+        return {(t, i) for t, i, *_ in leaks.search(texts, index)}
+
+    sizes = [("ITEMS", 7), ("MARGIN", 7), ("MARGIN", 1), ("ROWS", 3), ("COMMON", 0), ("COMMON", 1 << 20)]
+    with monkeypatch.context() as all_pass:
+        all_pass.setattr(leaks.Screen, "passed", lambda self, low, run, p: np.ones(len(run), bool))
+        want = found()
+    assert len(want) > 30 and found() == want
+    for name, size in sizes:
+        with monkeypatch.context() as other:
+            other.setattr(leaks, name, size)
+            assert found() == want, (name, size)
+
+
+def test_sums_of_groups_and_words_of_full_slots(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows, number = rng.integers(0, 9, (20, 5)).astype(np.float32), rng.integers(-1, 20, 400)
+    begin = np.sort(rng.choice(400, 80, replace=False))
+    begin = np.unique(np.concatenate([[0], begin, np.arange(0, 400, leaks.STEP)]))
+    want = [sum((rows[x] for x in part if x >= 0), np.zeros(5)) for part in np.split(number, begin[1:])]
+    for block in (1, 7, 1024):
+        monkeypatch.setattr(leaks, "BLOCK", block)
+        assert np.array_equal(leaks.run_sums(number, begin, rows), want)
+    assert leaks.run_sums(np.full(3, -1), np.array([0]), rows).tolist() == [[0] * 5]
+    low = np.arange(49, dtype=np.uint64)
+    low[40:] |= np.uint64(1 << 63)  # two slots
+    known = leaks.Vocabulary.of(low[::2])
+    assert known.words[known.numbers(low)[::2]].tolist() == low[::2].tolist()
+    assert (known.numbers(low)[1::2] == -1).all() and (known.numbers(~low) == -1).all()
+    assert leaks.Vocabulary.of(low[:0]).numbers(low).tolist() == [-1] * len(low)
+
+
 def test_words_are_not_encoded_again(monkeypatch):
     seen = []
 

@@ -40,54 +40,80 @@ CORPUS_DOCS = 500
 SUM_PARTS = 8
 ITEM_WEIGHT = 16.0  # item passages weigh more, or the space would describe the corpus alone
 BLOCK_BYTES = 1 << 20
-SLOT_BITS = 20
+SLOT_BITS = 16  # at least
 ROWS = 4096  # passages compared with the items at a time
+ITEMS, MARGIN = 256, 64  # items screened at a time, runs around a round that are read for it
+COMMON = 8  # regions that have a word as often as the item, if it is not rare
+BLOCK = 1024  # sums made at a time, so that they stay in a core's cache
 
 
 @dataclass
 class Vocabulary:
-    """The benchmark's distinct word hashes, sorted, with a bit table that most others miss."""
+    """The benchmark's distinct word hashes, sorted, with the first word of each slot, which is a
+    hash's first ``bits`` bits, and the most words that a slot has."""
 
     words: np.ndarray
-    bits: np.ndarray
+    first: np.ndarray
+    bits: int
+    deepest: int
 
     @staticmethod
     def of(words: np.ndarray) -> Vocabulary:
         words = np.unique(words)
-        bits = np.zeros(1 << SLOT_BITS, bool)
-        bits[words >> np.uint64(64 - SLOT_BITS)] = True
-        return Vocabulary(words, bits)
+        bits = max(SLOT_BITS, (16 * len(words)).bit_length())
+        slot, at, size = np.unique(words >> np.uint64(64 - bits), return_index=True, return_counts=True)
+        first = np.zeros(1 << bits, np.int32)  # of an empty slot: any word, as it differs
+        first[slot] = at
+        return Vocabulary(words, first, bits, int(size.max(initial=0)))
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Column of each word, -1 for words the benchmark does not have."""
-        out = np.full(len(hashes), -1, np.int64)
-        at = np.flatnonzero(self.bits[hashes >> np.uint64(64 - SLOT_BITS)])
-        place = np.minimum(np.searchsorted(self.words, hashes[at]), len(self.words) - 1)
-        same = self.words[place] == hashes[at]
-        out[at[same]] = place[same]
+        if not len(self.words):
+            return np.full(len(hashes), -1, np.int32)
+        place = self.first[(hashes >> np.uint64(64 - self.bits)).view(np.int64)]
+        out = np.where(self.words[place] == hashes, place, np.int32(-1))
+        for k in range(1, self.deepest):
+            at = np.flatnonzero(out < 0)
+            other = np.minimum(place[at] + k, len(self.words) - 1)
+            same = self.words[other] == hashes[at]
+            out[at[same]] = other[same]
         return out
 
 
 def segments(doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Begins of runs of STEP words within each text, and each run's text."""
-    first = np.searchsorted(doc, np.arange(n))
-    within = np.arange(len(doc)) - first[doc]
-    begin = np.flatnonzero(within % STEP == 0)
-    return begin, doc[begin]
+    first = np.searchsorted(doc, np.arange(n + 1))
+    runs = -(-np.diff(first) // STEP)
+    owner = np.repeat(np.arange(n), runs)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+    return first[owner] + STEP * within, owner
 
 
 def run_sums(number: np.ndarray, begin: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Sum of the word vectors of each run; unknown words (-1) add nothing.
+    """Sum of the word vectors of each run; unknown words (-1) add nothing."""
+    known = number >= 0
+    first = np.append(0, np.cumsum(known))[np.append(begin, len(number))]
+    return group_sums(number[known].astype(np.int64), first[:-1], np.diff(first), vectors)
 
-    A run has at most STEP words, so its words are added one place at a time for all runs.
+
+def group_sums(picked: np.ndarray, first: np.ndarray, size: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of ``rows[picked]`` over groups of ``size`` from ``first``, at most STEP each.
+
+    Rows are added one place at a time for all groups of a block. Larger groups come first, so
+    those that have a place are neighbours and need not be gathered.
     """
-    size = np.diff(np.append(begin, len(number)))
-    padded = np.append(number, np.full(STEP, -1))
-    out = vectors[padded[begin]]  # the last row is zero
-    for k in range(1, STEP):
-        word = padded[begin + k]
-        at = np.flatnonzero((size > k) & (word >= 0))
-        out[at] += vectors[word[at]]
+    order = np.argsort(STEP - size.astype(np.int8), kind="stable")
+    first, size = first[order], size[order]
+    out = np.empty((len(order), rows.shape[1]), rows.dtype)
+    sums, row = (np.empty((min(len(order), BLOCK), rows.shape[1]), rows.dtype) for _ in range(2))
+    for low in range(0, len(order), BLOCK):
+        at, held = first[low : low + BLOCK], size[low : low + BLOCK]
+        sums[:] = 0
+        for k in range(held[0]):
+            n = np.searchsorted(-held, -k)  # groups of more than k rows
+            np.take(rows, picked[at[:n] + k], axis=0, out=row[:n], mode="clip")
+            sums[:n] += row[:n]
+        out[order[low : low + BLOCK]] = sums[: len(at)]
     return out
 
 
@@ -100,7 +126,10 @@ def passages(runs: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     alone = np.ones(len(runs), bool)
     alone[pair], alone[pair + 1] = False, False
     single = np.flatnonzero(alone)
-    return np.concatenate([runs[pair] + runs[pair + 1], runs[single]]), np.concatenate([pair, single])
+    sums = (runs[:-1] + runs[1:])[pair]
+    if not len(single):
+        return sums, pair
+    return np.concatenate([sums, runs[single]]), np.concatenate([pair, single])
 
 
 @dataclass
@@ -111,6 +140,7 @@ class Index:
     items: list[np.ndarray]  # word hashes
     numbers: list[np.ndarray]  # their distinct words' numbers in the vocabulary
     answers: list[np.ndarray]
+    pairs: np.ndarray  # item, distinct word of it and how often it has it, in three rows
     vocabulary: Vocabulary
     weights: np.ndarray  # idf of each word of the vocabulary, and 0 for all other words
     vectors: np.ndarray  # words x RANK, with their idf weights, and a row for all other words
@@ -181,12 +211,13 @@ def _add_product(texts: pa.Array, known: Vocabulary, squares: np.ndarray, vector
         two = np.flatnonzero(own[np.minimum(at + 1, len(own) - 1)] == own[at])
         two = two[at[two] + 1 < len(own)]
         back[at[two] + 1] += part[two]
-        run = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, b - a)))
-        order = np.argsort(number, kind="stable")
-        order = order[np.searchsorted(number[order], 0) :]
-        if not len(order):
+        has = np.flatnonzero(number >= 0)
+        if not len(has):
             continue
-        _scatter(number[order], run[order], back, out)
+        word, run = number[has], np.repeat(np.arange(len(runs)), np.diff(np.append(runs, b - a)))[has]
+        # Sixteen bits are sorted by radix.
+        order = np.argsort(word.astype(np.uint16) if len(out) < 1 << 16 else word, kind="stable")
+        _scatter(word[order], run[order], back, out)
 
 
 def _scatter(word: np.ndarray, run: np.ndarray, back: np.ndarray, out: np.ndarray) -> None:
@@ -195,12 +226,7 @@ def _scatter(word: np.ndarray, run: np.ndarray, back: np.ndarray, out: np.ndarra
     new = np.concatenate([[True], word[1:] != word[:-1]])
     within = np.arange(len(word)) - np.maximum.accumulate(np.where(new, np.arange(len(word)), 0))
     group = np.flatnonzero(within % STEP == 0)
-    padded = np.append(run, np.zeros(STEP, run.dtype))
-    size = np.diff(np.append(group, len(word)))
-    sums = back[run[group]]
-    for k in range(1, STEP):
-        at = np.flatnonzero(size > k)
-        sums[at] += back[padded[group[at] + k]]
+    sums = group_sums(run, group, np.diff(np.append(group, len(word))), back)
     first = np.flatnonzero(new[group])
     out[word[group[first]]] += np.add.reduceat(sums, first, axis=0)
 
@@ -325,9 +351,11 @@ def build(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         answers = [
             word_column(pa.array([a]), LETTERS)[0] if a else w[-max(1, len(w) // 4) :] for a, w in zip(given, words)
         ]
+        pairs, times = np.unique(np.stack([doc, number]), axis=1, return_counts=True)
         out.append(
             Index(
-                block["item_id"].to_pylist(), words, [np.unique(known.numbers(w)) for w in words], answers, known,
+                block["item_id"].to_pylist(), words, [np.unique(known.numbers(w)) for w in words], answers,
+                np.concatenate([pairs, times[None]]), known,
                 np.append(weights, 0).astype(np.float32), vectors, latent.astype(np.float32), owner[at[good]],
                 begin[at[good]] - first[owner[at[good]]], least_cosine(size[good]),
             )
@@ -371,7 +399,10 @@ def search(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
         return []
     hashes, doc = np.concatenate(kept_words), np.concatenate(kept_docs)
     begin, owner = segments(doc, len(texts))
-    numbers = index.vocabulary.numbers(hashes).astype(np.int32)
+    if not len(begin):
+        return []
+    numbers = index.vocabulary.numbers(hashes)
+    screen = Screen(index, numbers, begin)
     spots: list[tuple[np.ndarray, ...]] = []  # run, item passage, cosine
     for low, a, b, runs, own in rounds(begin, owner, len(doc)):
         number = numbers[a:b]
@@ -384,7 +415,9 @@ def search(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
         cosine = (sums / np.sqrt(np.maximum(mass, 1e-12))[:, None]) @ index.latent.T
         near = np.flatnonzero(cosine >= index.least)
         r, p = np.divmod(near, len(index.least))
-        spots.append((low + at[r], p, cosine.ravel()[near]))
+        run = low + at[r]
+        held = np.flatnonzero(screen.passed(low, run, p))
+        spots.append((run[held], p[held], cosine.ravel()[near[held]]))
     run, p, cosine = (np.concatenate(x) for x in zip(*spots))
     if not len(run):
         return []
@@ -397,34 +430,88 @@ def search(texts: pa.Array, index: Index) -> list[tuple[int, int, float, float,
     item, text, place = item[once], text[once], place[once]
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     borders = np.flatnonzero(np.concatenate([[True], np.diff(item) > 0, [True]]))
-    out = []
+    out, views = [], {}
     for k, to in zip(borders[:-1], borders[1:]):
         each = int(item[k])
         words, answer = index.items[each], index.answers[each]
         begins = np.maximum(first[text[k:to]], place[k:to] - 2 * STEP)
         ends = np.minimum(first[text[k:to] + 1], place[k:to] + len(words) + 2 * STEP)
-        left = _enough(numbers, begins, len(words), index.numbers[each], len(index.weights))
+        left = _enough(numbers, begins, len(words), index.numbers[each], len(index.weights), views)
         confirmed: set[int] = set()
         for at in left[np.argsort(-cosine[k + left], kind="stable")].tolist():
             if (whose := int(text[k + at])) in confirmed:
                 continue
             region = hashes[begins[at] : ends[at]]
             share = common_words(words, region) / len(words)
+            if share < LCS:
+                continue
             answered = common_words(answer, region) / max(1, len(answer))
-            if share >= NEARLY or (share >= LCS and answered >= ANSWER):
+            if share >= NEARLY or answered >= ANSWER:
                 out.append((whose, each, float(cosine[k + at]), share, answered))
                 confirmed.add(whose)
     return out
 
 
-def _enough(numbers: np.ndarray, begins: np.ndarray, words: int, distinct: np.ndarray, size: int) -> np.ndarray:
+class Screen:
+    """Whether candidates have enough of the item's rare words in the runs that their regions touch.
+
+    A common subsequence has no word more often than the item has it. All of the item's common
+    words may be in it, so the rest of it must be rare ones, whichever words are held for common:
+    here those that a few regions of these texts have as often. Regions longer than MARGIN runs
+    need none.
+    """
+
+    def __init__(self, index: Index, numbers: np.ndarray, begin: np.ndarray):
+        self.index, self.numbers, self.begin = index, numbers, begin
+        item, word, times = index.pairs
+        size = np.array([len(w) for w in index.items])
+        frequency = np.bincount(numbers[numbers >= 0], minlength=len(index.weights)) / max(1, len(numbers))
+        common = COMMON * frequency[word] * (size + 4 * STEP)[item] >= times
+        self.item, self.word = item[~common], word[~common]
+        need = np.ceil(LCS * size - 1e-6 - np.bincount(item[common], times[common], len(size)))
+        width = -(-size // STEP) + 4  # runs of a region: the item's, and two on each side
+        near = width <= MARGIN
+        self.width = np.where(near, width, 0)
+        self.need = np.where(near, need, 0).astype(np.int16)[index.owner]
+        self.before = np.where(near[index.owner], index.offset // STEP + 2, 0)
+
+    def passed(self, low: int, run: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """For candidates (run of a text, item passage) of the round that begins with run ``low``."""
+        out, owner = np.zeros(len(run), bool), self.index.owner
+        a, z = max(0, low - MARGIN), min(len(self.begin), low + ROWS + MARGIN)
+        number = self.numbers[self.begin[a] : self.begin[z] if z < len(self.begin) else len(self.numbers)]
+        first = run - a + MARGIN - self.before[p]
+        for start in range(0, len(self.width), ITEMS):
+            width = self.width[start : start + ITEMS]
+            column = np.empty(len(width), np.int64)  # the widest come first
+            column[np.argsort(-width, kind="stable")] = np.arange(len(width))
+            mine = slice(*np.searchsorted(self.item, [start, start + ITEMS]))
+            member = np.zeros((len(self.index.weights), len(width)), np.uint8)
+            member[self.word[mine], column[self.item[mine] - start]] = 1
+            used = np.zeros(len(member), bool)  # its last place is that of unknown words
+            used[self.word[mine]] = True
+            counts = run_sums(np.where(used[number], number, -1), self.begin[a:z] - self.begin[a], member)
+            total = np.zeros((MARGIN + len(counts), len(width)), np.int16)  # by a region's first run
+            for k in range(width.max()):
+                wide = np.count_nonzero(width > k)
+                total[MARGIN - k : MARGIN - k + len(counts), :wide] += counts[:, :wide]
+            here = (owner >= start) & (owner < start + ITEMS)
+            at = slice(None) if here.all() else np.flatnonzero(here[p])
+            out[at] = total[first[at], column[owner[p[at]] - start]] >= self.need[p[at]]
+        return out
+
+
+def _enough(numbers: np.ndarray, begins: np.ndarray, words: int, distinct: np.ndarray, size: int, views: dict) -> np.ndarray:
     """Which regions hold enough of an item's words for a common subsequence of the wanted
-    length, by places and then by distinct words; a text's last regions are read beyond its end."""
+    length, by places and then by distinct words; a text's last regions are read beyond its end.
+    ``views`` keeps the words' windows by width."""
     n, most = len(distinct), (1 - LCS) * words + 1e-9
     place = np.full(size, n, np.uint8 if n < 256 else np.int32)  # n for words the item does not have
     place[distinct] = np.arange(n)
     width = min(words + 4 * STEP, len(numbers))
-    rows = np.lib.stride_tricks.sliding_window_view(numbers, width)
+    if width not in views:
+        views[width] = np.lib.stride_tricks.sliding_window_view(numbers, width)
+    rows = views[width]
     chunk = max(1, (1 << 19) // (width + n))
     left = []
     for low in range(0, len(begins), chunk):

@@ -99,7 +99,7 @@ def pieces(texts: pa.Array, table: np.ndarray) -> Iterator[Piece]:
     at, n = 0, len(data)
     while at < n:
         to = min(n, at + PIECE)
-        code = table[data[at:to]]
+        code = np.take(table, data[at:to], mode="clip")
         if to < n:
             gaps = np.flatnonzero(code == 0)
             k = np.searchsorted(places, to, "right") - 1
@@ -114,7 +114,7 @@ def pieces(texts: pa.Array, table: np.ndarray) -> Iterator[Piece]:
                 to = stop
                 if len(gaps) or stop == nearest or to == n:
                     cut = to
-            code = table[data[at:cut]]
+            code = code[: cut - at] if cut <= at + len(code) else np.take(table, data[at:cut], mode="clip")
             to = cut
         if table is LETTERS:
             _fold_latin(code)
@@ -129,14 +129,15 @@ def _piece(code: np.ndarray, at: int, places: np.ndarray) -> Piece:
     np.cumsum(code.astype(np.uint64) * _powers[:size], out=sums[1:])
     inside = np.zeros(size + 2, bool)
     inside[1:-1] = code > 0
-    first = inside[1:-1] & ~inside[:-2]
-    last = inside[1:-1] & ~inside[2:]
-    own = places[(places > at) & (places < at + size)] - at
-    first[own] |= code[own] > 0
-    last[own - 1] |= code[own - 1] > 0
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    doc = np.searchsorted(places, start + at, "right") - 1
-    return Piece(code, sums, start, end, doc, at)
+    border = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = border[::2], border[1::2]
+    low, high = np.searchsorted(places, at, "right") - 1, np.searchsorted(places, at + size)
+    own = places[low + 1 : high] - at
+    joined = np.unique(own[(code[own] > 0) & (code[own - 1] > 0)])  # a word ends where a text does
+    start = np.insert(start, np.searchsorted(start, joined), joined)
+    end = np.insert(end, np.searchsorted(end, joined), joined)
+    words = np.diff(np.concatenate([[0], np.searchsorted(start, own), [len(start)]]))
+    return Piece(code, sums, start, end, np.repeat(np.arange(low, high), words), at)
 
 
 def slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, pa.Array]]:
